@@ -64,6 +64,16 @@ bronze AS (
     CAST(year(l_shipdate) AS VARCHAR) AS year,
     lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') AS month
   FROM b1
+),
+nbronze AS (
+  SELECT CAST(VendorID AS BIGINT) AS VendorID, tpep_pickup_datetime, tpep_dropoff_datetime,
+    CAST(passenger_count AS DOUBLE) AS passenger_count, trip_distance,
+    CAST(RatecodeID AS DOUBLE) AS RatecodeID, store_and_fwd_flag,
+    CAST(PULocationID AS BIGINT) AS PULocationID, CAST(DOLocationID AS BIGINT) AS DOLocationID,
+    CAST(payment_type AS BIGINT) AS payment_type, fare_amount, extra, mta_tax, tip_amount,
+    tolls_amount, improvement_surcharge, total_amount, congestion_surcharge,
+    Airport_fee AS airport_fee, year, month
+  FROM bronze
 )"""
 
 # Critical rules as one predicate (used for Silver and its complement).
@@ -302,3 +312,383 @@ SELECT d.date_key, d.date,
 FROM fact_trip f JOIN dim_date d ON f.pickup_date_key = d.date_key
 GROUP BY d.date_key, d.date
 """)
+
+
+# ---- scans and Silver ---------------------------------------------------------
+
+QUERIES["io1_bronze_month_scan"] = with_bronze("SELECT * FROM nbronze")
+QUERIES["io3_zone_lookup"] = with_gold("SELECT * FROM zone_lookup")
+QUERIES["sn4_silver_yellow_taxi"] = with_silver("SELECT * FROM silver")
+
+# (id, name, predicate kept) of the 16 critical rules.
+CRITICAL_RULES = [
+    ("CR1", "pickup_not_null", "tpep_pickup_datetime IS NOT NULL"),
+    ("CR2", "dropoff_not_null", "tpep_dropoff_datetime IS NOT NULL"),
+    ("CR3", "dropoff_after_pickup", "tpep_dropoff_datetime > tpep_pickup_datetime"),
+    ("CR4", "pickup_on_or_after_month_start",
+     "tpep_pickup_datetime >= CAST(make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), 1) AS TIMESTAMP)"),
+    ("CR5", "pickup_before_next_month",
+     "tpep_pickup_datetime < CAST(make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), 1) + INTERVAL 1 MONTH AS TIMESTAMP)"),
+    ("CR6", "distance_not_null", "trip_distance IS NOT NULL"),
+    ("CR7", "distance_positive", "trip_distance > 0"),
+    ("CR8", "passengers_not_null", "passenger_count IS NOT NULL"),
+    ("CR9", "passengers_positive", "passenger_count > 0"),
+    ("CR10", "fare_not_null", "fare_amount IS NOT NULL"),
+    ("CR11", "fare_not_negative", "fare_amount >= 0"),
+    ("CR12", "total_not_null", "total_amount IS NOT NULL"),
+    ("CR13", "total_not_negative", "total_amount >= 0"),
+    ("CR14", "pickup_location_not_null", "PULocationID IS NOT NULL"),
+    ("CR15", "dropoff_location_not_null", "DOLocationID IS NOT NULL"),
+    ("CR16", "payment_type_not_null", "payment_type IS NOT NULL"),
+]
+
+
+def _fails(pred: str) -> str:
+    return f"NOT coalesce({pred}, false)"
+
+
+QUERIES["cr_rule_failure_counts"] = with_bronze(
+    "SELECT year, month,\n  " + ",\n  ".join(
+        f"CAST(sum(CASE WHEN {_fails(p)} THEN 1 ELSE 0 END) AS BIGINT) "
+        f"AS {i.lower()}_{n}_failures" for i, n, p in CRITICAL_RULES)
+    + "\nFROM nbronze GROUP BY year, month")
+
+QUERIES["rc1_row_reconciliation"] = with_bronze(f"""
+SELECT year, month, count(*) AS bronze_count,
+  CAST(sum(CASE WHEN coalesce({CRITICAL_OK}, false) THEN 1 ELSE 0 END) AS BIGINT) AS silver_count,
+  count(*) - CAST(sum(CASE WHEN coalesce({CRITICAL_OK}, false) THEN 1 ELSE 0 END) AS BIGINT)
+    AS dropped_count
+FROM nbronze GROUP BY year, month""")
+
+QUERIES["dc2_rejected_rows"] = with_bronze(
+    "SELECT *,\n  concat_ws(',', " + ", ".join(
+        f"CASE WHEN {_fails(p)} THEN '{i}' END" for i, _, p in CRITICAL_RULES)
+    + ") AS failed_rules,\n  CAST(" + " + ".join(
+        f"(CASE WHEN {_fails(p)} THEN 1 ELSE 0 END)" for _, _, p in CRITICAL_RULES)
+    + f" AS INTEGER) AS failed_rule_count\nFROM nbronze WHERE NOT coalesce({CRITICAL_OK}, false)")
+
+
+# ---- profiling ----------------------------------------------------------------------
+
+def fmean(expr: str) -> str:
+    return f"({fsum(expr)} / count({expr}))"
+
+
+PF1 = f"""
+  count(*) AS total_rows,
+  count(DISTINCT VendorID) AS distinct_vendor_count,
+  count(DISTINCT payment_type) AS distinct_payment_type_count,
+  count(DISTINCT RatecodeID) AS distinct_ratecode_count,
+  count(DISTINCT PULocationID) AS distinct_pickup_location_count,
+  count(DISTINCT DOLocationID) AS distinct_dropoff_location_count,
+  min(tpep_pickup_datetime) AS min_pickup_datetime,
+  max(tpep_pickup_datetime) AS max_pickup_datetime,
+  min(tpep_dropoff_datetime) AS min_dropoff_datetime,
+  max(tpep_dropoff_datetime) AS max_dropoff_datetime,
+  min(trip_distance) AS min_trip_distance, max(trip_distance) AS max_trip_distance,
+  {fmean('trip_distance')} AS avg_trip_distance,
+  min(fare_amount) AS min_fare_amount, max(fare_amount) AS max_fare_amount,
+  {fmean('fare_amount')} AS avg_fare_amount,
+  min(total_amount) AS min_total_amount, max(total_amount) AS max_total_amount,
+  {fmean('total_amount')} AS avg_total_amount"""
+
+NULL_COLS = [("VendorID", "null_vendor_id"), ("tpep_pickup_datetime", "null_pickup_datetime"),
+             ("tpep_dropoff_datetime", "null_dropoff_datetime"),
+             ("passenger_count", "null_passenger_count"), ("trip_distance", "null_trip_distance"),
+             ("RatecodeID", "null_ratecode_id"), ("store_and_fwd_flag", "null_store_and_fwd_flag"),
+             ("PULocationID", "null_pickup_location_id"),
+             ("DOLocationID", "null_dropoff_location_id"),
+             ("payment_type", "null_payment_type"), ("fare_amount", "null_fare_amount"),
+             ("total_amount", "null_total_amount")]
+
+CRITICAL = [
+    ("tpep_pickup_datetime IS NULL OR tpep_dropoff_datetime IS NULL "
+     "OR tpep_dropoff_datetime <= tpep_pickup_datetime", "invalid_datetime_count"),
+    ("trip_distance IS NULL OR trip_distance <= 0", "invalid_distance_count"),
+    ("passenger_count IS NULL OR passenger_count <= 0", "invalid_passenger_count"),
+    ("fare_amount IS NULL OR fare_amount < 0", "invalid_fare_count"),
+    ("total_amount IS NULL OR total_amount < 0", "invalid_total_amount_count"),
+    ("PULocationID IS NULL", "null_pickup_location_count"),
+    ("DOLocationID IS NULL", "null_dropoff_location_count"),
+    ("payment_type IS NULL", "null_payment_type_count"),
+]
+
+WARNING = [
+    ("VendorID IS NOT NULL AND VendorID NOT IN (1, 2)", "invalid_vendor_count"),
+    ("payment_type IS NOT NULL AND payment_type NOT IN (1, 2, 3, 4, 5, 6)",
+     "invalid_payment_type_domain_count"),
+    ("RatecodeID IS NOT NULL AND RatecodeID NOT IN (1, 2, 3, 4, 5, 6, 99)",
+     "invalid_ratecode_count"),
+    ("store_and_fwd_flag IS NOT NULL AND store_and_fwd_flag NOT IN ('Y', 'N')",
+     "invalid_store_and_fwd_flag_count"),
+    ("extra < 0", "negative_extra_count"),
+    ("mta_tax < 0", "negative_mta_tax_count"),
+    ("tip_amount < 0", "negative_tip_count"),
+    ("tolls_amount < 0", "negative_tolls_count"),
+    ("improvement_surcharge < 0", "negative_improvement_surcharge_count"),
+    ("congestion_surcharge < 0", "negative_congestion_surcharge_count"),
+    ("airport_fee < 0", "negative_airport_fee_count"),
+    ("PULocationID IS NOT NULL AND (PULocationID < 1 OR PULocationID > 265)",
+     "pickup_location_out_of_range_count"),
+    ("DOLocationID IS NOT NULL AND (DOLocationID < 1 OR DOLocationID > 265)",
+     "dropoff_location_out_of_range_count"),
+    ("trip_distance > 100", "very_long_distance_count"),
+    ("date_diff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) > 1440",
+     "very_long_duration_count"),
+]
+
+
+def _counts(pairs) -> str:
+    return ",\n  ".join(cnt(c, n) for c, n in pairs)
+
+
+QUERIES["pf1_summary"] = with_bronze(f"SELECT year, month, {PF1}\nFROM nbronze GROUP BY year, month")
+QUERIES["pf2_null_checks"] = with_bronze(
+    "SELECT year, month,\n  " + _counts([(f"{c} IS NULL", n) for c, n in NULL_COLS])
+    + "\nFROM nbronze GROUP BY year, month")
+QUERIES["pf3_critical_quality"] = with_bronze(
+    "SELECT year, month, count(*) AS total_rows,\n  " + _counts(CRITICAL)
+    + "\nFROM nbronze GROUP BY year, month")
+QUERIES["pf4_warning_quality"] = with_bronze(
+    "SELECT year, month,\n  " + _counts(WARNING) + "\nFROM nbronze GROUP BY year, month")
+
+for _key, _col in [("pf5_payment_type_distribution", "payment_type"),
+                   ("pf5_ratecode_distribution", "RatecodeID"),
+                   ("pf5_vendor_distribution", "VendorID"),
+                   ("pf5_store_and_fwd_distribution", "store_and_fwd_flag")]:
+    QUERIES[_key] = with_bronze(
+        f"SELECT year, month, {_col}, count(*) AS total_rows FROM nbronze "
+        f"GROUP BY year, month, {_col}")
+
+QUERIES["pf5_distributions_one_pass"] = with_bronze("\nUNION ALL\n".join(
+    f"SELECT year, month, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, "
+    f"count(*) AS total_rows FROM nbronze GROUP BY year, month, {c}"
+    for c in ["payment_type", "RatecodeID", "VendorID", "store_and_fwd_flag"]))
+
+_CRIT_SUM = " + ".join(f"sum(CASE WHEN {c} THEN 1 ELSE 0 END)" for c, _ in CRITICAL)
+_WARN_SUM = " + ".join(f"sum(CASE WHEN {c} THEN 1 ELSE 0 END)" for c, _ in WARNING)
+MONTHLY_SUMMARY = f"""
+monthly_summary AS (
+  SELECT year || '-' || month AS period, CAST(year AS INTEGER) AS year,
+    CAST(month AS INTEGER) AS month, count(*) AS total_rows,
+    CAST({_CRIT_SUM} AS BIGINT) AS critical_issue_count,
+    CAST({_WARN_SUM} AS BIGINT) AS warning_issue_count,
+    min(tpep_pickup_datetime) AS min_pickup_datetime,
+    max(tpep_pickup_datetime) AS max_pickup_datetime,
+    min(tpep_dropoff_datetime) AS min_dropoff_datetime,
+    max(tpep_dropoff_datetime) AS max_dropoff_datetime
+  FROM nbronze GROUP BY year, month
+)"""
+QUERIES["pf7_monthly_summary"] = with_bronze(
+    "," + MONTHLY_SUMMARY + "\nSELECT * FROM monthly_summary").replace("),\n,", "),\n")
+QUERIES["dc6_quality_gate"] = with_bronze("," + MONTHLY_SUMMARY + """
+SELECT period, year, month, total_rows, critical_issue_count,
+  critical_issue_count / total_rows AS critical_issue_ratio,
+  1E-1 AS max_critical_ratio,
+  CASE WHEN critical_issue_count / total_rows <= 1E-1 THEN 'passed' ELSE 'failed' END AS gate
+FROM monthly_summary""").replace("),\n,", "),\n")
+QUERIES["dc5_volume_checks"] = with_gold("""
+SELECT 'bronze_row_count' AS "check", count(*) AS row_count FROM nbronze
+UNION ALL
+SELECT 'zone_row_count' AS "check", count(*) AS row_count FROM zone_lookup""")
+
+
+# ---- Gold ------------------------------------------------------------------------------
+
+QUERIES["gd1_dim_date"] = with_gold("SELECT * FROM dim_date")
+QUERIES["gd6_dim_zone"] = with_gold("SELECT * FROM dim_zone")
+QUERIES["gf4_fact_trip"] = with_gold("SELECT * FROM fact_trip")
+
+AVG7 = ["total_amount", "fare_amount", "tip_amount", "tip_rate", "trip_distance",
+        "trip_duration_minutes", "fare_per_mile"]
+
+
+def _avgs(cols) -> str:
+    return ",\n  ".join(mavg(f"f.{c}", f"avg_{c}") for c in cols)
+
+
+MARTS = {}
+MARTS["mart_daily_trip_revenue"] = QUERIES["mt1_daily_trip_revenue"].split(
+    "\n", 1)[0] and QUERIES["mt1_daily_trip_revenue"][len(with_gold("")):]
+MARTS["mart_hourly_demand"] = f"""
+SELECT d.date_key, d.date, d.year, d.month, d.day_of_week, d.is_weekend,
+  h.hour_key, h.hour, h.time_period,
+  count(f.trip_id) AS total_trips,
+  {isum('f.passenger_count', 'total_passengers')},
+  {msum('f.total_amount', 'total_amount')},
+  {msum('f.fare_amount', 'total_fare_amount')},
+  {msum('f.tip_amount', 'total_tip_amount')},
+  {_avgs(AVG7)}
+FROM fact_trip f
+JOIN dim_date d ON f.pickup_date_key = d.date_key
+JOIN dim_hour h ON f.pickup_hour_key = h.hour_key
+GROUP BY d.date_key, d.date, d.year, d.month, d.day_of_week, d.is_weekend,
+  h.hour_key, h.hour, h.time_period
+"""
+_ZONE_SUMS = f"""
+  {isum('f.passenger_count', 'total_passengers')},
+  {msum('f.total_amount', 'total_amount')},
+  {msum('f.fare_amount', 'total_fare_amount')},
+  {msum('f.tip_amount', 'total_tip_amount')},
+  {msum('f.tolls_amount', 'total_tolls_amount')},
+  {msum('f.congestion_surcharge', 'total_congestion_surcharge')},
+  {msum('f.airport_fee', 'total_airport_fee')},"""
+MARTS["mart_pickup_zone_performance"] = f"""
+SELECT z.location_id AS pickup_location_id, z.borough AS pickup_borough,
+  z.zone AS pickup_zone, z.service_zone AS pickup_service_zone,
+  count(f.trip_id) AS total_trips,{_ZONE_SUMS}
+  {_avgs(AVG7)}
+FROM fact_trip f JOIN dim_zone z ON f.pickup_location_id = z.location_id
+GROUP BY z.location_id, z.borough, z.zone, z.service_zone
+"""
+MARTS["mart_payment_behavior"] = f"""
+SELECT p.payment_type_id, p.payment_type_name, p.is_standard_payment,
+  count(f.trip_id) AS total_trips,
+  {isum('f.passenger_count', 'total_passengers')},
+  {msum('f.total_amount', 'total_amount')},
+  {msum('f.fare_amount', 'total_fare_amount')},
+  {msum('f.tip_amount', 'total_tip_amount')},
+  {msum('f.tolls_amount', 'total_tolls_amount')},
+  {_avgs(["total_amount", "fare_amount", "tip_amount", "tip_rate", "fare_per_mile",
+          "trip_distance", "trip_duration_minutes"])}
+FROM fact_trip f JOIN dim_payment_type p ON f.payment_type_id = p.payment_type_id
+GROUP BY p.payment_type_id, p.payment_type_name, p.is_standard_payment
+"""
+_AIRPORTS = "('JFK Airport', 'LaGuardia Airport', 'Newark Airport')"
+MARTS["mart_airport_trip_summary"] = f"""
+SELECT airport_trip_type,
+  count(f.trip_id) AS total_trips,{_ZONE_SUMS}
+  {_avgs(AVG7)}
+FROM (
+  SELECT f.*,
+    CASE WHEN pz.zone IN {_AIRPORTS} AND dz.zone IN {_AIRPORTS} THEN 'airport_to_airport'
+         WHEN pz.zone IN {_AIRPORTS} THEN 'airport_pickup'
+         WHEN dz.zone IN {_AIRPORTS} THEN 'airport_dropoff'
+         ELSE 'non_airport' END AS airport_trip_type
+  FROM fact_trip f
+  JOIN dim_zone pz ON f.pickup_location_id = pz.location_id
+  JOIN dim_zone dz ON f.dropoff_location_id = dz.location_id
+) f
+GROUP BY airport_trip_type
+"""
+QUERIES["mt2_hourly_demand"] = with_gold(MARTS["mart_hourly_demand"])
+QUERIES["mt3_pickup_zone_performance"] = with_gold(MARTS["mart_pickup_zone_performance"])
+QUERIES["mt4_payment_behavior"] = with_gold(MARTS["mart_payment_behavior"])
+QUERIES["mt5_airport_trip_summary"] = with_gold(MARTS["mart_airport_trip_summary"])
+
+
+# ---- ad-hoc queries ------------------------------------------------------------------------
+
+QUERIES["aq1_monthly_trip_summary"] = with_silver(f"""
+SELECT year, month, count(*) AS trip_count,
+  {msum('total_amount', 'total_revenue')},
+  {mavg('total_amount', 'avg_total_amount')},
+  {mavg('trip_distance', 'avg_trip_distance')},
+  {mavg('trip_duration_minutes', 'avg_trip_duration_minutes')},
+  {cnt('is_analytical_outlier', 'analytical_outlier_count')}
+FROM silver GROUP BY year, month ORDER BY year, month""")
+
+QUERIES["aq2_payment_type_summary"] = with_silver(f"""
+SELECT year, month, payment_type, count(*) AS trip_count,
+  {msum('total_amount', 'total_revenue')},
+  {mavg('fare_amount', 'avg_fare_amount')},
+  {mavg('tip_amount', 'avg_tip_amount')},
+  {mavg('tip_rate', 'avg_tip_rate')}
+FROM silver GROUP BY year, month, payment_type""")
+
+QUERIES["aq3_hourly_demand_pattern"] = with_silver(f"""
+SELECT year, month, pickup_hour, count(*) AS trip_count,
+  {msum('total_amount', 'total_revenue')},
+  {mavg('trip_distance', 'avg_trip_distance')},
+  {mavg('trip_duration_minutes', 'avg_trip_duration_minutes')}
+FROM silver GROUP BY year, month, pickup_hour""")
+
+QUERIES["aq4_top_pickup_zones"] = with_silver(f"""
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY year, month
+                 ORDER BY trip_count DESC, pickup_location_id) AS INTEGER) AS "rank"
+  FROM (
+    SELECT year, month, pickup_location_id, count(*) AS trip_count,
+      {msum('total_amount', 'total_revenue')},
+      {mavg('total_amount', 'avg_total_amount')},
+      {mavg('trip_distance', 'avg_trip_distance')}
+    FROM silver GROUP BY year, month, pickup_location_id))
+WHERE "rank" <= 25""")
+
+QUERIES["dc3_top_pickup_zones_named"] = with_gold("""
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY year, month
+                 ORDER BY trip_count DESC, pickup_location_id) AS INTEGER) AS "rank"
+  FROM (
+    SELECT c.year, c.month, c.PULocationID AS pickup_location_id,
+      z.Borough AS borough, z.Zone AS zone, c.trip_count
+    FROM (SELECT year, month, PULocationID, count(*) AS trip_count
+          FROM nbronze GROUP BY year, month, PULocationID) c
+    JOIN zone_lookup z ON c.PULocationID = z.LocationID))
+WHERE "rank" <= 10""")
+
+
+# ---- batch scope -----------------------------------------------------------------------------
+
+_LANDED = "(SELECT DISTINCT year, month FROM bronze)"
+QUERIES["bm5_pending_months"] = with_silver(f"""
+SELECT m.year || '-' || m.month AS period, m.year, m.month
+FROM {_LANDED} m
+WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.year = m.year AND s.month = m.month)""")
+QUERIES["bm6_partition_coverage"] = with_silver(f"""
+SELECT m.year || '-' || m.month AS period, m.year, m.month,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS trip_count,
+  CASE WHEN coalesce(c.n, 0) > 0 THEN 'passed' ELSE 'failed' END AS validation
+FROM {_LANDED} m
+LEFT JOIN (SELECT year, month, count(*) AS n FROM silver GROUP BY year, month) c
+  ON c.year = m.year AND c.month = m.month""")
+
+
+# ---- assertions ----------------------------------------------------------------------------------
+
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def _assertion_sql(a) -> str:
+    head = f"SELECT '{a.model}' AS model, '{a.column}' AS column_name, '{a.test}' AS test_name, "
+    col = f'"{a.column}"'
+    if a.test == "not_null":
+        body = f"count(*) FILTER (WHERE {col} IS NULL) AS failures FROM {a.model}"
+    elif a.test == "accepted_values":
+        vals = ", ".join(_lit(v) for v in a.argument)
+        body = (f"count(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})) "
+                f"AS failures FROM {a.model}")
+    elif a.test == "unique":
+        body = (f"(SELECT count(*) FROM (SELECT {col} FROM {a.model} WHERE {col} IS NOT NULL "
+                f"GROUP BY {col} HAVING count(*) > 1)) AS failures")
+    else:  # relationships
+        parent, pcol = a.argument
+        body = (f"count(*) AS failures FROM {a.model} c LEFT JOIN {parent} p "
+                f"ON c.{col} = p.\"{pcol}\" WHERE c.{col} IS NOT NULL AND p.\"{pcol}\" IS NULL")
+    return head + body
+
+
+def assertions_sql(assertions) -> str:
+    marts = ",\n".join(f"{name} AS ({body})" for name, body in MARTS.items())
+    union = "\nUNION ALL\n".join(f"({_assertion_sql(a)})" for a in assertions)
+    return with_gold(f""",
+{marts}
+SELECT model, column_name, test_name, CAST(failures AS BIGINT) AS failures,
+  failures = 0 AS passed
+FROM (
+{union}
+)""")
+
+
+def _register_assertions():
+    import sys
+    import os
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from fareflow.operators import checks  # the declared assertion list (data)
+    QUERIES["qt_core_assertions"] = assertions_sql(checks.CORE_ASSERTIONS)
+    QUERIES["qt_mart_assertions"] = assertions_sql(checks.MART_ASSERTIONS)
+    QUERIES["qt5_default_selection"] = assertions_sql(checks.default_selection())
+
+
+_register_assertions()
