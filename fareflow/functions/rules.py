@@ -80,8 +80,18 @@ def critical_rules(window_start: Column | None, window_end: Column | None,
     return rules
 
 
+def conjunction(rules: list[Rule]) -> Column:
+    """Plain AND of the rules, for ``filter``: NULL rejects there anyway, and
+    a bare conjunction lets Catalyst split it and push each rule that
+    compares a column with a literal down to the parquet scan."""
+    if not rules:
+        return F.lit(True)
+    return _and_all([r.keep() for r in rules])
+
+
 def passes_all(rules: list[Rule]) -> Column:
-    """Conjunction of the rules; NULL counts as a failure."""
+    """Conjunction of the rules as a two-valued flag (NULL -> false), for
+    counting and for selecting the rejected complement."""
     if not rules:
         return F.lit(True)
     return F.coalesce(_and_all([r.keep() for r in rules]), F.lit(False))

@@ -15,7 +15,7 @@ from fareflow.functions.expressions import (
     any_of, count_when, epoch_seconds, guarded_ratio, month_start, next_month_start,
 )
 from fareflow.functions.rules import (
-    critical_rules, failed_rule_ids, outlier_flags, passes_all, warning_flags,
+    conjunction, critical_rules, failed_rule_ids, outlier_flags, passes_all, warning_flags,
 )
 from fareflow.schema import FEE_COLUMNS, SILVER_COLUMNS
 
@@ -35,7 +35,7 @@ def silver_rules(strict_payment_domain: bool = False, month_window: bool = True)
 
 def clean(bronze: DataFrame, strict_payment_domain: bool = False) -> DataFrame:
     """Rows passing all critical rules (NULL comparisons reject)."""
-    return bronze.filter(passes_all(silver_rules(strict_payment_domain)))
+    return bronze.filter(conjunction(silver_rules(strict_payment_domain)))
 
 
 def rejected(bronze: DataFrame, strict_payment_domain: bool = False) -> DataFrame:

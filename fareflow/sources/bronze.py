@@ -86,14 +86,27 @@ def read_bronze_month(spark: SparkSession, base: str, year: int, month: int) ->
 
 def read_bronze_months(spark: SparkSession, base: str,
                        months: Iterable[tuple[int, int]]) -> DataFrame:
-    """Several months, each read and normalised on its own, then combined.
-
-    The union is a narrow concatenation (no shuffle); each branch keeps its
-    own parquet scan so literal filters still push down per month.
+    """Several months in one scan; per-month scans only when types conflict.
+
+    One scan with schema merging covers the common drift: a column missing
+    in some months reads as NULL there (Silver fills fees with 0.0 either
+    way) and names differing only by case resolve to one column (analysis
+    is case-insensitive).  When months store a column with incompatible
+    types the merge fails; then each month is read and normalised on its
+    own and the months are concatenated (a narrow union, no shuffle).
     """
-    frames = [read_bronze_month(spark, base, y, m) for y, m in months]
-    if not frames:
+    months = list(dict.fromkeys((int(y), int(m)) for y, m in months))
+    if not months:
         raise ValueError("no months given")
+    paths = [month_path(base, y, m) for y, m in months]
+    try:
+        raw = (spark.read.option("mergeSchema", "true").option("basePath", base.rstrip("/"))
+               .parquet(*paths))
+        return normalize_schema(raw, keep=("year", "month"))
+    except Exception as err:  # incompatible physical types between months
+        if "merge" not in str(err).lower() and "incompatible" not in str(err).lower():
+            raise
+    frames = [read_bronze_month(spark, base, y, m) for y, m in months]
     return reduce(DataFrame.unionByName, frames)
 
 

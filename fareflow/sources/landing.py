@@ -22,11 +22,14 @@ from fareflow.sources import fixture
 from fareflow.sources.paths import path_exists, touch
 
 MARKER = "_LANDED"
+# Bumped whenever the landed layout changes, so a new layout lands in a new
+# folder and nothing ever has to be deleted.
+LAYOUT_VERSION = "v2"
 
 
 def _key(sf_dir: str) -> str:
     """Folder key: the test-data path plus the size/mtime of its inputs."""
-    parts = [os.path.abspath(sf_dir)]
+    parts = [LAYOUT_VERSION, os.path.abspath(sf_dir)]
     for t in ("lineitem", "nation", "region"):
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
@@ -43,7 +46,10 @@ def bronze_base(spark: SparkSession, sf_dir: str) -> str:
     """Bronze root holding ``year=YYYY/month=MM/`` partitions (written once)."""
     base = f"{landing_root(spark, sf_dir)}/bronze/yellow_taxi"
     if not path_exists(spark, f"{base}/{MARKER}"):
-        (fixture.read_fixture_bronze(spark, sf_dir)
+        # The adapter rows are not month-aligned; rebalancing on the partition
+        # columns gives each month few files, and AQE splits a hot month over
+        # several tasks instead of sending it to one.
+        (fixture.read_fixture_bronze(spark, sf_dir).hint("rebalance", "year", "month")
          .write.mode("overwrite")
          .option("partitionOverwriteMode", "static")
          .partitionBy("year", "month").parquet(base))
