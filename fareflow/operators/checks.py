@@ -4,14 +4,15 @@ Assertions are data: ``(model, column, test, argument, tags)``.  Running them
 yields one row per assertion ``(model, column_name, test_name, failures,
 passed)``; failures are reported, never raised.
 
-Per table the work is two passes, whatever the number of assertions:
+Per table the work is at most three passes, whatever the number of
+assertions:
 
-* one aggregate computes every ``not_null``, ``accepted_values`` and
-  ``relationships`` count; each parent key set is joined to the child rows
-  through a size-checked broadcast (left join, so no child row is dropped
-  and nothing is shuffled);
+* one global aggregate computes every ``not_null`` and ``accepted_values``
+  count (no shuffle beyond one partial row per task);
 * one grouped count over an unpivot of every ``unique`` column finds the
-  duplicated values of all of them with a single shuffle.
+  duplicated values of all of them with a single shuffle;
+* one grouped count over an unpivot of every ``relationships`` column,
+  anti-joined to the parent keys, finds the orphans of all of them.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.functions.expressions import count_when
-from fareflow.plans.joins import bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -132,31 +132,55 @@ RESULT_SCHEMA = ("model string, column_name string, test_name string, "
                  "failures bigint, passed boolean")
 
 
-def _one_pass(model: str, df: DataFrame, tests: list[Assertion],
-              tables: dict[str, DataFrame]) -> DataFrame | None:
-    """not_null / accepted_values / relationships of one table in one aggregate."""
+def _one_pass(model: str, df: DataFrame, tests: list[Assertion]) -> DataFrame | None:
+    """not_null / accepted_values of one table in one aggregate."""
     if not tests:
         return None
-    rows = df
     counters: list[tuple[Assertion, Column]] = []
-    for i, a in enumerate(tests):
+    for a in tests:
         c = F.col(a.column)
         if a.test == "not_null":
             counters.append((a, c.isNull()))
-        elif a.test == "accepted_values":
+        else:  # accepted_values
             counters.append((a, c.isNotNull() & ~c.isin(*a.argument)))
-        elif a.test == "relationships":
-            parent, pcol = a.argument
-            marker = f"_parent_{i}"
-            keys = (tables[parent].select(F.col(pcol).alias(marker))
-                    .filter(F.col(marker).isNotNull()).distinct())
-            rows = rows.join(bounded_broadcast(keys), c == F.col(marker), "left")
-            counters.append((a, c.isNotNull() & F.col(marker).isNull()))
-    agg = rows.agg(*[count_when(cond).cast("long").alias(f"_f{i}")
-                     for i, (_, cond) in enumerate(counters)])
+    agg = df.agg(*[count_when(cond).cast("long").alias(f"_f{i}")
+                   for i, (_, cond) in enumerate(counters)])
     return _unpivot(agg, [a for a, _ in counters])
 
 
+def _relationships(model: str, df: DataFrame, tests: list[Assertion],
+                   tables: dict[str, DataFrame]) -> DataFrame | None:
+    """Every relationships test of one table with one scan and one small shuffle.
+
+    The child keys of all tested columns are unpivoted and counted per
+    distinct key (map-side partial aggregation: a task emits one row per key
+    it saw, so the shuffle is bounded by key cardinality, not by rows).  The
+    counted keys are then anti-joined to the parent key sets, which are
+    small; no broadcast needs a size guess, AQE picks the strategy from the
+    real sizes.  Failures are child rows, as in the declarative test.
+    """
+    if not tests:
+        return None
+    entries = ", ".join(f"'{a.column}', CAST(`{a.column}` AS STRING)" for a in tests)
+    child = (df.select(F.expr(f"stack({len(tests)}, {entries})").alias("column_name", "key"))
+             .filter(F.col("key").isNotNull())
+             .groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("n")))
+    parents = None
+    for a in tests:
+        pmodel, pcol = a.argument
+        keys = tables[pmodel].select(F.lit(a.column).alias("column_name"),
+                                     F.col(pcol).cast("string").alias("key"))
+        parents = keys if parents is None else parents.unionByName(keys)
+    orphans = (child.join(parents.filter(F.col("key").isNotNull()).distinct(),
+                          ["column_name", "key"], "left_anti")
+               .groupBy("column_name").agg(F.sum("n").alias("failures")))
+    names = df.sparkSession.createDataFrame([(a.column,) for a in tests], "column_name string")
+    return (names.join(orphans, "column_name", "left")
+            .select(F.lit(model).alias("model"), "column_name",
+                    F.lit("relationships").alias("test_name"),
+                    F.coalesce("failures", F.lit(0)).cast("long").alias("failures")))
+
+
 def _unpivot(agg: DataFrame, tests: list[Assertion]) -> DataFrame:
     """One-row aggregate (_f0, _f1, ...) -> one row per assertion."""
     entries = ", ".join(
@@ -192,8 +216,10 @@ def run_assertions(spark: SparkSession, tables: dict[str, DataFrame],
             continue
         mine = [a for a in assertions if a.model == model]
         df = tables[model]
-        for part in (_one_pass(model, df, [a for a in mine if a.test != "unique"], tables),
-                     _uniques(model, df, [a for a in mine if a.test == "unique"])):
+        by_test = lambda *names: [a for a in mine if a.test in names]
+        for part in (_one_pass(model, df, by_test("not_null", "accepted_values")),
+                     _uniques(model, df, by_test("unique")),
+                     _relationships(model, df, by_test("relationships"), tables)):
             if part is not None:
                 parts.append(part)
     if not parts:

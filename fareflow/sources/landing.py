@@ -42,17 +42,24 @@ def landing_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{checkpoint_dir(spark)}/fareflow/landing/{_key(sf_dir)}"
 
 
+def land_bronze(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """Write the adapter's Bronze rows under ``base/year=YYYY/month=MM/``.
+
+    The adapter rows are not month-aligned; rebalancing on the partition
+    columns gives each month few files, and AQE splits a hot month over
+    several tasks instead of sending it to one.
+    """
+    (fixture.read_fixture_bronze(spark, sf_dir).hint("rebalance", "year", "month")
+     .write.mode("overwrite")
+     .option("partitionOverwriteMode", "static")
+     .partitionBy("year", "month").parquet(base))
+
+
 def bronze_base(spark: SparkSession, sf_dir: str) -> str:
     """Bronze root holding ``year=YYYY/month=MM/`` partitions (written once)."""
     base = f"{landing_root(spark, sf_dir)}/bronze/yellow_taxi"
     if not path_exists(spark, f"{base}/{MARKER}"):
-        # The adapter rows are not month-aligned; rebalancing on the partition
-        # columns gives each month few files, and AQE splits a hot month over
-        # several tasks instead of sending it to one.
-        (fixture.read_fixture_bronze(spark, sf_dir).hint("rebalance", "year", "month")
-         .write.mode("overwrite")
-         .option("partitionOverwriteMode", "static")
-         .partitionBy("year", "month").parquet(base))
+        land_bronze(spark, sf_dir, base)
         touch(spark, f"{base}/{MARKER}")
     return base
 

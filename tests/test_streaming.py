@@ -1,0 +1,24 @@
+"""The streaming Silver job equals the batch transform and is idempotent."""
+
+from fareflow.plans import layers as L
+from fareflow.sources import landing
+from fareflow.streaming.silver_stream import start_silver_stream
+
+from conftest import SF_SMALL
+
+
+def test_stream_matches_batch_and_skips_seen_files(spark, scratch):
+    base = landing.bronze_base(spark, SF_SMALL)
+    out, ckpt = f"{scratch}/silver", f"{scratch}/ckpt"
+    q = start_silver_stream(spark, base, out, ckpt, max_files_per_trigger=20)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    streamed = spark.read.parquet(out)
+    batch = L.silver(spark, SF_SMALL)
+    assert streamed.count() == batch.count() == 5259
+    cols = [c for c in batch.columns]
+    assert streamed.select(*cols).exceptAll(batch).count() == 0
+    # a second run finds no new Bronze file and writes nothing
+    q2 = start_silver_stream(spark, base, out, ckpt)
+    q2.awaitTermination(600)
+    assert spark.read.parquet(out).count() == 5259
