@@ -68,6 +68,12 @@ def dc2(spark, sf):
 
 # ---- profiling ------------------------------------------------------------
 
+@register("pf_profile_one_pass")
+def pf_all(spark, sf):
+    """PF1-PF4 for every month from one scan and one aggregate."""
+    return pf.profile(L.bronze(spark, sf))
+
+
 @register("pf1_summary")
 def pf1(spark, sf):
     return pf.summary(L.bronze(spark, sf))

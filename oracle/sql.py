@@ -443,6 +443,11 @@ def _counts(pairs) -> str:
 
 
 QUERIES["pf1_summary"] = with_bronze(f"SELECT year, month, {PF1}\nFROM nbronze GROUP BY year, month")
+QUERIES["pf_profile_one_pass"] = with_bronze(
+    f"SELECT year, month, {PF1},\n  "
+    + _counts([(f"{c} IS NULL", n) for c, n in NULL_COLS]) + ",\n  "
+    + _counts(CRITICAL) + ",\n  " + _counts(WARNING)
+    + "\nFROM nbronze GROUP BY year, month")
 QUERIES["pf2_null_checks"] = with_bronze(
     "SELECT year, month,\n  " + _counts([(f"{c} IS NULL", n) for c, n in NULL_COLS])
     + "\nFROM nbronze GROUP BY year, month")
