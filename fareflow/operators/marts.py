@@ -78,6 +78,7 @@ def mart_hourly_demand(fact: DataFrame, dim_date: DataFrame, dim_hour: DataFrame
     with_date = lookup_after_aggregate(
         agg, dim_date.select("date_key", "date", "year", "month", "day_of_week", "is_weekend"),
         {"pickup_date_key": "date_key"})
+    # dim_hour is a 24-row constant relation: its size is fixed by construction.
     with_hour = lookup_after_aggregate(with_date, F.broadcast(dim_hour),
                                        {"pickup_hour_key": "hour_key"})
     return with_hour.select("date_key", "date", "year", "month", "day_of_week", "is_weekend",
@@ -124,6 +125,7 @@ def mart_payment_behavior(fact: DataFrame, dim_payment_type: DataFrame) -> DataF
                "trip_distance", "trip_duration_minutes"),
     )
     measures = [c for c in agg.columns if c != "payment_type_id"]
+    # dim_payment_type is a 4-row constant relation.
     joined = lookup_after_aggregate(agg, F.broadcast(dim_payment_type),
                                     {"payment_type_id": "payment_type_id"})
     return joined.select("payment_type_id", "payment_type_name", "is_standard_payment",

@@ -127,6 +127,7 @@ def restrict(df: DataFrame, months: Iterable[tuple[int, int]] | DataFrame) -> Da
     dynamic partition pruning on a partitioned table.
     """
     if isinstance(months, DataFrame):
+        # Distinct (year, month) pairs: at most 12 per year of the calendar.
         keys = months.select("year", "month").distinct()
         return df.join(F.broadcast(keys), ["year", "month"], "left_semi")
     return df.filter(months_predicate(months))

@@ -7,6 +7,8 @@ long lineage, and a lost executor only repeats the current step.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,26 +33,40 @@ def build_gold(spark: SparkSession, silver: DataFrame, zone_lookup: DataFrame,
     # Silver dates, and the fact is already filtered and column-pruned.
     dates = fact.select(F.to_date("pickup_datetime").alias("date")).distinct()
     write_table(dims.dates_to_dim(dates), paths["dim_date"])
-    write_table(dims.dim_hour(spark), paths["dim_hour"])
-    write_table(dims.dim_payment_type(spark), paths["dim_payment_type"])
-    write_table(dims.dim_rate_code(spark), paths["dim_rate_code"])
-    write_table(dims.dim_vendor(spark), paths["dim_vendor"])
-    write_table(dims.dim_zone(zone_lookup), paths["dim_zone"])
+    _write_all(spark, {
+        "dim_hour": dims.dim_hour(spark),
+        "dim_payment_type": dims.dim_payment_type(spark),
+        "dim_rate_code": dims.dim_rate_code(spark),
+        "dim_vendor": dims.dim_vendor(spark),
+        "dim_zone": dims.dim_zone(zone_lookup),
+    }, paths)
     if with_marts:
         t = {n: spark.read.parquet(paths[n]) for n in CORE_TABLES}
-        write_table(marts.mart_daily_trip_revenue(fact, t["dim_date"]),
-                    paths["mart_daily_trip_revenue"])
-        write_table(marts.mart_hourly_demand(fact, t["dim_date"], t["dim_hour"]),
-                    paths["mart_hourly_demand"])
-        write_table(marts.mart_pickup_zone_performance(fact, t["dim_zone"]),
-                    paths["mart_pickup_zone_performance"])
-        write_table(marts.mart_payment_behavior(fact, t["dim_payment_type"]),
-                    paths["mart_payment_behavior"])
-        write_table(marts.mart_airport_trip_summary(fact, t["dim_zone"]),
-                    paths["mart_airport_trip_summary"])
+        _write_all(spark, {
+            "mart_daily_trip_revenue": marts.mart_daily_trip_revenue(fact, t["dim_date"]),
+            "mart_hourly_demand": marts.mart_hourly_demand(fact, t["dim_date"], t["dim_hour"]),
+            "mart_pickup_zone_performance":
+                marts.mart_pickup_zone_performance(fact, t["dim_zone"]),
+            "mart_payment_behavior": marts.mart_payment_behavior(fact, t["dim_payment_type"]),
+            "mart_airport_trip_summary": marts.mart_airport_trip_summary(fact, t["dim_zone"]),
+        }, paths)
     return paths
 
 
+def _write_all(spark: SparkSession, tables: dict[str, DataFrame], paths: dict[str, str],
+               parallel: int = 4) -> None:
+    """Write independent tables as concurrent Spark jobs.
+
+    Each table is a small job (a dimension, or one aggregate over the fact);
+    submitted together they share the executors instead of queueing one by
+    one.  Any failure is raised after all submitted jobs finish.
+    """
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = [pool.submit(write_table, df, paths[name]) for name, df in tables.items()]
+        for f in futures:
+            f.result()
+
+
 def test_gold(spark: SparkSession, paths: dict[str, str],
               selection: list[checks.Assertion] | None = None) -> DataFrame:
     """Run the assertions over the written tables (default selection: QT5)."""

@@ -1,0 +1,22 @@
+"""Lineage cuts: write an intermediate result to the shared folder, read it back.
+
+Used where one large intermediate feeds several passes (the fact table under
+the assertions).  The files live under ``spark.checkpoint.dir`` (shared on a
+cluster), so a lost executor re-reads them instead of recomputing the whole
+lineage, and the read-back plan gets column pruning and pushdown.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+
+from fareflow.session import checkpoint_dir
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/fareflow/materialized/{uuid.uuid4().hex}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

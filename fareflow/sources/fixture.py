@@ -107,6 +107,7 @@ def zone_lookup(spark: SparkSession, nation: DataFrame, region: DataFrame) -> Da
     for zid, zname in AIRPORT_ZONES.items():
         name = F.when(F.col("id") == zid, F.lit(zname)).otherwise(name)
     airports = list(AIRPORT_ZONES)
+    # nation x region is 25 rows by the TPC-H definition.
     return (ids.join(F.broadcast(nr), (ids.id - 1) % 25 == nr.n_nationkey)
             .select(F.col("id").alias("LocationID"),
                     F.col("r_name").alias("Borough"),
