@@ -67,6 +67,39 @@ def dc2(spark, sf):
     return rej.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+def _fresh_folder(spark, name: str) -> str:
+    import uuid
+    from fareflow.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/fareflow/runs/{uuid.uuid4().hex}/{name}"
+
+
+@register("io7_silver_partitions_read_back")
+def io7(spark, sf):
+    """IO7 + IO4: Silver written by month partition (dynamic overwrite), read back."""
+    from fareflow.sources.sinks import write_month_partitions
+    from fareflow.sources.tables import read_partitioned
+    from fareflow.schema import SILVER_COLUMNS
+    path = _fresh_folder(spark, "silver")
+    write_month_partitions(L.silver(spark, sf), path)
+    return read_partitioned(spark, path).select(*[n for n, _ in SILVER_COLUMNS])
+
+
+@register("dc7_run_summary")
+def dc7(spark, sf):
+    """DC7 + RC1 + BM5: the Silver batch job over every landed month.
+
+    One write job; Bronze/Silver counts observed during the write.  The
+    output folder is fresh, so every month reports 'written'.
+    """
+    from fareflow.plans.silver_job import run_silver_job
+    from fareflow.sources import landing
+    months = [(int(r["year"]), int(r["month"]))
+              for r in _landed_months(spark, sf).select("year", "month").collect()]
+    summary = run_silver_job(spark, landing.bronze_base(spark, sf),
+                             _fresh_folder(spark, "silver"), months)
+    return summary.drop("output_path")
+
+
 # ---- profiling ------------------------------------------------------------
 
 @register("pf_profile_one_pass")

@@ -288,7 +288,7 @@ def cnt(cond: str, alias: str) -> str:
 
 QUERIES: dict[str, str] = {}
 
-QUERIES["mt1_daily_trip_revenue"] = with_gold(f"""
+MT1_BODY = f"""
 SELECT d.date_key, d.date,
   count(f.trip_id) AS total_trips,
   {isum('coalesce(f.passenger_count, 0)', 'total_passengers')},
@@ -311,7 +311,9 @@ SELECT d.date_key, d.date,
   {cnt('coalesce(f.has_warning_quality_issue, false)', 'warning_trip_count')}
 FROM fact_trip f JOIN dim_date d ON f.pickup_date_key = d.date_key
 GROUP BY d.date_key, d.date
-""")
+"""
+QUERIES["mt1_daily_trip_revenue"] = with_gold(MT1_BODY)
+
 
 
 # ---- scans and Silver ---------------------------------------------------------
@@ -513,8 +515,7 @@ def _avgs(cols) -> str:
 
 
 MARTS = {}
-MARTS["mart_daily_trip_revenue"] = QUERIES["mt1_daily_trip_revenue"].split(
-    "\n", 1)[0] and QUERIES["mt1_daily_trip_revenue"][len(with_gold("")):]
+MARTS["mart_daily_trip_revenue"] = MT1_BODY
 MARTS["mart_hourly_demand"] = f"""
 SELECT d.date_key, d.date, d.year, d.month, d.day_of_week, d.is_weekend,
   h.hour_key, h.hour, h.time_period,
@@ -636,6 +637,13 @@ WHERE "rank" <= 10""")
 # ---- batch scope -----------------------------------------------------------------------------
 
 _LANDED = "(SELECT DISTINCT year, month FROM bronze)"
+QUERIES["io7_silver_partitions_read_back"] = with_silver("SELECT * FROM silver")
+QUERIES["dc7_run_summary"] = with_silver(f"""
+SELECT m.year || '-' || m.month AS period, m.year, m.month, 'written' AS status,
+  (SELECT count(*) FROM bronze) AS job_bronze_count,
+  (SELECT count(*) FROM silver) AS job_silver_count,
+  (SELECT count(*) FROM bronze) - (SELECT count(*) FROM silver) AS job_dropped_count
+FROM {_LANDED} m""")
 QUERIES["bm5_pending_months"] = with_silver(f"""
 SELECT m.year || '-' || m.month AS period, m.year, m.month
 FROM {_LANDED} m
