@@ -43,7 +43,7 @@ def io3(spark, sf):
     return L.zone_lookup(spark, sf)
 
 
-@register("sn4_silver_yellow_taxi")
+@register("sn4_silver_trips")
 def silver(spark, sf):
     """CR + SN3/SN4 + DV + WF + OF: the 45-column Silver rows."""
     return L.silver(spark, sf)

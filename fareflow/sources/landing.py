@@ -57,7 +57,7 @@ def land_bronze(spark: SparkSession, sf_dir: str, base: str) -> None:
 
 def bronze_base(spark: SparkSession, sf_dir: str) -> str:
     """Bronze root holding ``year=YYYY/month=MM/`` partitions (written once)."""
-    base = f"{landing_root(spark, sf_dir)}/bronze/yellow_taxi"
+    base = f"{landing_root(spark, sf_dir)}/bronze/trips"
     if not path_exists(spark, f"{base}/{MARKER}"):
         land_bronze(spark, sf_dir, base)
         touch(spark, f"{base}/{MARKER}")

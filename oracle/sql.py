@@ -320,7 +320,7 @@ QUERIES["mt1_daily_trip_revenue"] = with_gold(MT1_BODY)
 
 QUERIES["io1_bronze_month_scan"] = with_bronze("SELECT * FROM nbronze")
 QUERIES["io3_zone_lookup"] = with_gold("SELECT * FROM zone_lookup")
-QUERIES["sn4_silver_yellow_taxi"] = with_silver("SELECT * FROM silver")
+QUERIES["sn4_silver_trips"] = with_silver("SELECT * FROM silver")
 
 # (id, name, predicate kept) of the 16 critical rules.
 CRITICAL_RULES = [

@@ -21,12 +21,12 @@ def test_catalog_table_prunes_by_string_partitions(spark, scratch):
     silver = L.silver(spark, SF_SMALL).filter(F.col("year").isin("1996", "1997"))
     write_month_partitions(silver, f"{scratch}/silver")
     create_database(spark, "fareflow_test")
-    t = register_silver_table(spark, "fareflow_test.silver_yellow_taxi", f"{scratch}/silver")
+    t = register_silver_table(spark, "fareflow_test.silver_trips", f"{scratch}/silver")
     assert t.schema["month"].dataType.simpleString() == "string"
-    one = spark.sql("SELECT count(*) FROM fareflow_test.silver_yellow_taxi "
+    one = spark.sql("SELECT count(*) FROM fareflow_test.silver_trips "
                     "WHERE year = '1996' AND month = '01'").first()[0]
     assert one == silver.filter("year = '1996' AND month = '01'").count() > 0
-    spark.sql("DROP TABLE fareflow_test.silver_yellow_taxi")
+    spark.sql("DROP TABLE fareflow_test.silver_trips")
 
 
 def test_visible_years(spark, scratch):
