@@ -1,0 +1,3 @@
+"""fareflow: trip-record lakehouse analytics as Spark DataFrame jobs."""
+
+__version__ = "0.1.0"
