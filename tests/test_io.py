@@ -174,3 +174,16 @@ def test_gold_build_and_default_tests(spark, scratch):
     assert all(r.passed for r in complete)
     missing = bm.gold_completeness(spark, {**paths, "dim_x": f"{scratch}/none"}, months).collect()
     assert not all(r.passed for r in missing)
+
+
+def test_case_only_drift_keeps_values_in_one_scan(spark, scratch):
+    base = f"{scratch}/bronze"
+    (_raw_month(spark, 2023, 1, 10, "plain").withColumn("airport_fee", F.lit(1.25))
+     .write.parquet(month_path(base, 2023, 1)))
+    (_raw_month(spark, 2024, 1, 10, "capital_airport_fee").withColumn("Airport_fee", F.lit(1.75))
+     .write.parquet(month_path(base, 2024, 1)))
+    df = read_bronze_months(spark, base, [(2023, 1), (2024, 1)])
+    got = dict(df.groupBy("year").agg(F.max("airport_fee")).collect())
+    assert got == {"2023": 1.25, "2024": 1.75}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1  # one scan, no per-month union
