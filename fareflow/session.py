@@ -44,16 +44,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is always
-    used as given.  Only when it is unset (local tests) a private folder is
-    created and recorded in the session.
+    used as given (as is a folder already set on the context).  Only when
+    neither is set (local tests) a private folder is created and set as the
+    context's checkpoint folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.sparkContext.getCheckpointDir())
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="fareflow-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    # ``spark.checkpoint.dir`` is a core setting and cannot be changed on a
+    # running session; the context's checkpoint folder can.
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fareflow-ckpt-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
