@@ -8,6 +8,8 @@ data point the same scans at the real folders, the rest is unchanged.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from fareflow.operators import dims, fact as fact_ops, silver as silver_ops
@@ -16,31 +18,57 @@ from fareflow.sources.bronze import read_bronze_table
 from fareflow.sources.zones import read_zone_lookup
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    """Reuse a built plan per (session, folder).
+
+    A DataFrame is an immutable, lazy plan: reusing it caches no data, it
+    only saves rebuilding the same expression trees (thousands of driver-JVM
+    calls for Silver) for every query over the same inputs.
+    """
+    @wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (fn.__name__, id(spark), spark.sparkContext.applicationId, sf_dir)
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, sf_dir)
+        return _PLANS[key]
+    return wrapper
+
+
+@_memo
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised Bronze (canonical names and types) with year/month."""
     return read_bronze_table(spark, landing.bronze_base(spark, sf_dir))
 
 
+@_memo
 def bronze_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze files as stored: raw names, drifting ``Airport_fee``."""
     return spark.read.parquet(landing.bronze_base(spark, sf_dir))
 
 
+@_memo
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_zone_lookup(spark, landing.zone_csv(spark, sf_dir))
 
 
+@_memo
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_ops.to_silver(bronze(spark, sf_dir))
 
 
+@_memo
 def fact_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_ops.fact_trip(silver(spark, sf_dir))
 
 
+@_memo
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.dim_date(silver(spark, sf_dir))
 
 
+@_memo
 def dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.dim_zone(zone_lookup(spark, sf_dir))

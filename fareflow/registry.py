@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.operators import (
-    checks, dims, fact as fact_ops, marts, months as bm, profile as pf,
+    checks, dims, marts, months as bm, profile as pf,
     queries as aq, silver as sv,
 )
 from fareflow.plans import layers as L
@@ -186,14 +186,13 @@ def gf4(spark, sf):
 
 @register("mt1_daily_trip_revenue")
 def mt1(spark, sf):
-    s = L.silver(spark, sf)
-    return marts.mart_daily_trip_revenue(fact_ops.fact_trip(s), dims.dim_date(s))
+    return marts.mart_daily_trip_revenue(L.fact_trip(spark, sf), L.dim_date(spark, sf))
 
 
 @register("mt2_hourly_demand")
 def mt2(spark, sf):
-    s = L.silver(spark, sf)
-    return marts.mart_hourly_demand(fact_ops.fact_trip(s), dims.dim_date(s), dims.dim_hour(spark))
+    return marts.mart_hourly_demand(L.fact_trip(spark, sf), L.dim_date(spark, sf),
+                                    dims.dim_hour(spark))
 
 
 @register("mt3_pickup_zone_performance")
@@ -273,7 +272,7 @@ def _gold_tables(spark, sf) -> dict[str, DataFrame]:
     passes and all five marts, so it is written once to the shared folder and
     read back (a lineage cut) instead of being derived from Bronze each time;
     ``dim_date`` comes from its dates, as in the Gold build."""
-    fact = materialize(fact_ops.fact_trip(L.silver(spark, sf)), "fact_trip")
+    fact = materialize(L.fact_trip(spark, sf), "fact_trip")
     dates = fact.select(F.to_date("pickup_datetime").alias("date")).distinct()
     t = {"dim_date": dims.dates_to_dim(dates), "dim_hour": dims.dim_hour(spark),
          "dim_payment_type": dims.dim_payment_type(spark),
