@@ -48,14 +48,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     neither is set (local tests) a private folder is created and set as the
     context's checkpoint folder.
     """
-    configured = (spark.conf.get("spark.checkpoint.dir", None)
-                  or spark.sparkContext.getCheckpointDir())
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)  # for DataFrame.checkpoint()
         return configured.rstrip("/")
     # ``spark.checkpoint.dir`` is a core setting and cannot be changed on a
     # running session; the context's checkpoint folder can.
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fareflow-ckpt-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="fareflow-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
