@@ -64,6 +64,38 @@ def bronze_base(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
+# Source files whose code decides the Silver rows; their content is part of
+# the Silver folder key, so changed rules never reuse an older Silver.
+_SILVER_CODE = ["schema.py", "functions/expressions.py", "functions/rules.py",
+                "sources/bronze.py", "operators/silver.py", "plans/silver_job.py"]
+
+
+def _code_fingerprint(files: list[str]) -> str:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for rel in files:
+        with open(os.path.join(root, rel), "rb") as f:
+            h.update(rel.encode() + b"\0" + f.read())
+    return h.hexdigest()[:12]
+
+
+def silver_base(spark: SparkSession, sf_dir: str) -> str:
+    """Silver table (``year=/month=`` partitions) built once by the month batch
+    job from the landed Bronze, as the published table the queries read."""
+    from fareflow.plans.silver_job import run_silver_job
+    from fareflow.sources.bronze import read_bronze_table
+
+    bronze = bronze_base(spark, sf_dir)
+    base = f"{landing_root(spark, sf_dir)}/silver/trips-{_code_fingerprint(_SILVER_CODE)}"
+    if not path_exists(spark, f"{base}/{MARKER}"):
+        # The month list is configuration-sized (one row per month).
+        months = [(int(r["year"]), int(r["month"])) for r in
+                  read_bronze_table(spark, bronze).select("year", "month").distinct().collect()]
+        run_silver_job(spark, bronze, base, months, force=True).collect()
+        touch(spark, f"{base}/{MARKER}")
+    return base
+
+
 def zone_csv(spark: SparkSession, sf_dir: str) -> str:
     """Zone lookup as a headed CSV folder (written once)."""
     path = f"{landing_root(spark, sf_dir)}/reference/taxi_zone_lookup"
