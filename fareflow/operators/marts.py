@@ -141,14 +141,17 @@ def airport_trip_type(pickup_zone: Column, dropoff_zone: Column) -> Column:
 
 
 def mart_airport_trip_summary(fact: DataFrame, dim_zone: DataFrame) -> DataFrame:
-    """MT5: trips joined to the zone dimension in both roles, then classified."""
+    """MT5: trips joined to the zone dimension in both roles, then classified.
+
+    Both roles join the same size-checked broadcast of the zone table
+    (a few hundred rows), aliased per role.
+    """
     zones = bounded_broadcast(dim_zone.select("location_id", "zone"))
-    pz = zones.select(F.col("location_id").alias("_pu_id"), F.col("zone").alias("_pu_zone"))
-    dz = zones.select(F.col("location_id").alias("_do_id"), F.col("zone").alias("_do_zone"))
-    trips = (fact.join(pz, fact.pickup_location_id == pz._pu_id, "inner")
-             .join(dz, F.col("dropoff_location_id") == dz._do_id, "inner"))
+    pz, dz = zones.alias("pz"), zones.alias("dz")
+    trips = (fact.join(pz, fact.pickup_location_id == F.col("pz.location_id"), "inner")
+             .join(dz, F.col("dropoff_location_id") == F.col("dz.location_id"), "inner"))
     return (trips.withColumn("airport_trip_type",
-                             airport_trip_type(F.col("_pu_zone"), F.col("_do_zone")))
+                             airport_trip_type(F.col("pz.zone"), F.col("dz.zone")))
             .groupBy("airport_trip_type").agg(
                 _trips(),
                 F.sum("passenger_count").alias("total_passengers"),
