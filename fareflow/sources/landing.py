@@ -5,9 +5,10 @@ and the zone lookup as a CSV file.  The test tables hold no trips, so the
 adapter output (``sources.fixture``) is written once per test-data folder
 into the shared checkpoint folder in exactly that layout, and every query
 then reads those files with the ordinary scans (IO1, IO3).  The write is one
-narrow job; Spark's commit protocol makes it survive lost executors, and a
-marker written after the commit makes it idempotent (a folder without the
-marker is rewritten).
+narrow job; Spark's commit protocol makes it survive lost executors, and each
+landing is written to a private folder and renamed into place once complete
+(``paths.publish_once``), so a crashed or concurrent run never exposes a
+partial folder.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import SparkSession
 
 from fareflow.session import checkpoint_dir
 from fareflow.sources import fixture
-from fareflow.sources.paths import path_exists, touch
+from fareflow.sources.paths import path_exists, publish_once
 
 MARKER = "_LANDED"
 # Bumped whenever the landed layout changes, so a new layout lands in a new
@@ -58,10 +59,7 @@ def land_bronze(spark: SparkSession, sf_dir: str, base: str) -> None:
 def bronze_base(spark: SparkSession, sf_dir: str) -> str:
     """Bronze root holding ``year=YYYY/month=MM/`` partitions (written once)."""
     base = f"{landing_root(spark, sf_dir)}/bronze/trips"
-    if not path_exists(spark, f"{base}/{MARKER}"):
-        land_bronze(spark, sf_dir, base)
-        touch(spark, f"{base}/{MARKER}")
-    return base
+    return publish_once(spark, base, lambda folder: land_bronze(spark, sf_dir, folder), MARKER)
 
 
 # Source files whose code decides the Silver rows; their content is part of
@@ -87,20 +85,22 @@ def silver_base(spark: SparkSession, sf_dir: str) -> str:
 
     bronze = bronze_base(spark, sf_dir)
     base = f"{landing_root(spark, sf_dir)}/silver/trips-{_code_fingerprint(_SILVER_CODE)}"
-    if not path_exists(spark, f"{base}/{MARKER}"):
-        # The month list is configuration-sized (one row per month).
-        months = [(int(r["year"]), int(r["month"])) for r in
-                  read_bronze_table(spark, bronze).select("year", "month").distinct().collect()]
-        run_silver_job(spark, bronze, base, months, force=True).collect()
-        touch(spark, f"{base}/{MARKER}")
-    return base
+    if path_exists(spark, f"{base}/{MARKER}"):
+        return base
+    # The month list is configuration-sized (one row per month).
+    months = [(int(r["year"]), int(r["month"])) for r in
+              read_bronze_table(spark, bronze).select("year", "month").distinct().collect()]
+    return publish_once(
+        spark, base,
+        lambda folder: run_silver_job(spark, bronze, folder, months, force=True).collect(),
+        MARKER)
 
 
 def zone_csv(spark: SparkSession, sf_dir: str) -> str:
     """Zone lookup as a headed CSV folder (written once)."""
-    path = f"{landing_root(spark, sf_dir)}/reference/taxi_zone_lookup"
-    if not path_exists(spark, f"{path}/{MARKER}"):
-        (fixture.read_fixture_zones(spark, sf_dir).coalesce(1)
-         .write.mode("overwrite").option("header", True).csv(path))
-        touch(spark, f"{path}/{MARKER}")
-    return path
+    path = f"{landing_root(spark, sf_dir)}/reference/zone_lookup"
+    return publish_once(
+        spark, path,
+        lambda folder: (fixture.read_fixture_zones(spark, sf_dir).coalesce(1)
+                        .write.mode("overwrite").option("header", True).csv(folder)),
+        MARKER)

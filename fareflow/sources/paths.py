@@ -33,3 +33,31 @@ def touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file (overwrites an existing one)."""
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def publish_once(spark: SparkSession, target: str, write, marker: str = "_LANDED") -> str:
+    """Build ``target`` once, atomically.
+
+    ``write(folder)`` fills a private temporary folder next to ``target``;
+    the folder is marked complete and then renamed into place.  A rename of
+    a folder is atomic on HDFS and local file systems, so readers never see a
+    partial result, a crashed run leaves only an unused temporary folder,
+    and when two runs race the first rename wins and the other's copy is
+    simply not used.
+    """
+    import uuid
+
+    fs, p = _fs(spark, target)
+    if fs.exists(p.suffix(f"/{marker}")):
+        return target
+    if fs.exists(p):  # an unmarked folder from an older run: rebuild in place
+        write(target)
+        touch(spark, f"{target}/{marker}")
+        return target
+    tmp = f"{target}.__tmp_{uuid.uuid4().hex}"
+    write(tmp)
+    touch(spark, f"{tmp}/{marker}")
+    fs.mkdirs(p.getParent())
+    _, tp = _fs(spark, tmp)
+    fs.rename(tp, p)
+    return target

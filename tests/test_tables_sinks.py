@@ -49,3 +49,21 @@ def test_profile_csv_sinks(spark, scratch):
     periods = [r["period"] for r in rows]
     assert periods == sorted(periods) and len(periods) == 83
     assert sum(int(r["total_rows"]) for r in rows) == 6000
+
+
+def test_publish_once_writes_once_and_atomically(spark, scratch):
+    import os
+    from fareflow.sources.paths import publish_once
+    calls = []
+
+    def write(folder):
+        calls.append(folder)
+        spark.range(5).write.mode("overwrite").parquet(folder)
+
+    target = f"{scratch}/published/table"
+    assert publish_once(spark, target, write) == target
+    assert publish_once(spark, target, write) == target
+    assert len(calls) == 1 and calls[0] != target  # built aside, then renamed
+    assert spark.read.parquet(target).count() == 5
+    leftovers = [d for d in os.listdir(f"{scratch}/published") if "__tmp_" in d]
+    assert leftovers == []
