@@ -487,13 +487,13 @@ monthly_summary AS (
   FROM nbronze GROUP BY year, month
 )"""
 QUERIES["pf7_monthly_summary"] = with_bronze(
-    "," + MONTHLY_SUMMARY + "\nSELECT * FROM monthly_summary").replace("),\n,", "),\n")
+    "," + MONTHLY_SUMMARY + "\nSELECT * FROM monthly_summary")
 QUERIES["dc6_quality_gate"] = with_bronze("," + MONTHLY_SUMMARY + """
 SELECT period, year, month, total_rows, critical_issue_count,
   critical_issue_count / total_rows AS critical_issue_ratio,
   1E-1 AS max_critical_ratio,
   CASE WHEN critical_issue_count / total_rows <= 1E-1 THEN 'passed' ELSE 'failed' END AS gate
-FROM monthly_summary""").replace("),\n,", "),\n")
+FROM monthly_summary""")
 QUERIES["dc5_volume_checks"] = with_gold("""
 SELECT 'bronze_row_count' AS "check", count(*) AS row_count FROM nbronze
 UNION ALL
