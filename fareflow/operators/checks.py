@@ -191,18 +191,35 @@ def _unpivot(agg: DataFrame, tests: list[Assertion]) -> DataFrame:
 
 
 def _uniques(model: str, df: DataFrame, tests: list[Assertion]) -> DataFrame | None:
-    """All unique tests of one table: unpivot, group, count duplicated values."""
+    """All unique tests of one table: one scan, one shuffle of the tested values.
+
+    This is the one check whose shuffle grows with the rows (every distinct
+    value must meet its duplicates), so it carries as little as possible: a
+    single tested column is grouped as it is (typed, no text cast, no label);
+    several are unpivoted with a small integer id instead of their name.
+    Map-side partial aggregation still collapses a hot value to one row per
+    task.
+    """
     if not tests:
         return None
-    entries = ", ".join(f"'{a.column}', CAST(`{a.column}` AS STRING)" for a in tests)
-    dup_groups = (df.select(F.expr(f"stack({len(tests)}, {entries})").alias("column_name", "value"))
+    if len(tests) == 1:
+        col = tests[0].column
+        dup_values = (df.select(col).filter(F.col(col).isNotNull())
+                      .groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+                      .filter(F.col("n") > 1))
+        failures = dup_values.agg(F.count(F.lit(1)).alias("failures"))
+        return failures.select(F.lit(model).alias("model"), F.lit(col).alias("column_name"),
+                               F.lit("unique").alias("test_name"),
+                               F.col("failures").cast("long").alias("failures"))
+    entries = ", ".join(f"{i}, CAST(`{a.column}` AS STRING)" for i, a in enumerate(tests))
+    dup_groups = (df.select(F.expr(f"stack({len(tests)}, {entries})").alias("cid", "value"))
                   .filter(F.col("value").isNotNull())
-                  .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+                  .groupBy("cid", "value").agg(F.count(F.lit(1)).alias("n"))
                   .filter(F.col("n") > 1)
-                  .groupBy("column_name").agg(F.count(F.lit(1)).alias("failures")))
+                  .groupBy("cid").agg(F.count(F.lit(1)).alias("failures")))
     names = df.sparkSession.createDataFrame(
-        [(a.column,) for a in tests], "column_name string")
-    return (names.join(dup_groups, "column_name", "left")
+        [(i, a.column) for i, a in enumerate(tests)], "cid int, column_name string")
+    return (names.join(dup_groups, "cid", "left")
             .select(F.lit(model).alias("model"), "column_name", F.lit("unique").alias("test_name"),
                     F.coalesce("failures", F.lit(0)).cast("long").alias("failures")))
 
