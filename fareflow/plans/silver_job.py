@@ -48,7 +48,7 @@ def run_silver_job(spark: SparkSession, bronze_base: str, silver_base: str,
         rows, "period string, year string, month string, status string, output_path string")
     return summary.select(
         "*",
-        F.lit(int(counts["bronze_count"])).alias("job_bronze_count"),
-        F.lit(int(counts["silver_count"])).alias("job_silver_count"),
-        F.lit(int(counts["bronze_count"]) - int(counts["silver_count"]))
+        F.lit(int(counts["bronze_count"])).cast("long").alias("job_bronze_count"),
+        F.lit(int(counts["silver_count"])).cast("long").alias("job_silver_count"),
+        F.lit(int(counts["bronze_count"]) - int(counts["silver_count"])).cast("long")
         .alias("job_dropped_count"))
