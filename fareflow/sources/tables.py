@@ -9,9 +9,10 @@ from fareflow.schema import SILVER_COLUMNS
 from fareflow.session import configure
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    """IO6"""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """IO6: create the database if missing (optionally at a given location)."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
 
 
 def silver_ddl(table: str, location: str) -> str:

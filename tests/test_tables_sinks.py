@@ -20,7 +20,7 @@ from conftest import SF_SMALL
 def test_catalog_table_prunes_by_string_partitions(spark, scratch):
     silver = L.silver(spark, SF_SMALL).filter(F.col("year").isin("1996", "1997"))
     write_month_partitions(silver, f"{scratch}/silver")
-    create_database(spark, "fareflow_test")
+    create_database(spark, "fareflow_test", f"{scratch}/warehouse")
     t = register_silver_table(spark, "fareflow_test.silver_trips", f"{scratch}/silver")
     assert t.schema["month"].dataType.simpleString() == "string"
     one = spark.sql("SELECT count(*) FROM fareflow_test.silver_trips "
