@@ -61,6 +61,12 @@ def rc1(spark, sf):
     return sv.reconcile(L.bronze(spark, sf))
 
 
+@register("dc4_strict_payment_reconciliation")
+def dc4(spark, sf):
+    """RC1 with the documented strict payment rule (types 1-4 only) switched on."""
+    return sv.reconcile(L.bronze(spark, sf), strict_payment_domain=True)
+
+
 @register("dc2_rejected_rows")
 def dc2(spark, sf):
     """Rejected Bronze rows with the failed rule ids (as text for comparison)."""

@@ -362,6 +362,14 @@ SELECT year, month, count(*) AS bronze_count,
     AS dropped_count
 FROM nbronze GROUP BY year, month""")
 
+_STRICT_OK = CRITICAL_OK[:-1] + "\n  AND payment_type IN (1, 2, 3, 4))"
+QUERIES["dc4_strict_payment_reconciliation"] = with_bronze(f"""
+SELECT year, month, count(*) AS bronze_count,
+  CAST(sum(CASE WHEN coalesce({_STRICT_OK}, false) THEN 1 ELSE 0 END) AS BIGINT) AS silver_count,
+  count(*) - CAST(sum(CASE WHEN coalesce({_STRICT_OK}, false) THEN 1 ELSE 0 END) AS BIGINT)
+    AS dropped_count
+FROM nbronze GROUP BY year, month""")
+
 QUERIES["dc2_rejected_rows"] = with_bronze(
     "SELECT *,\n  concat_ws(',', " + ", ".join(
         f"CASE WHEN {_fails(p)} THEN '{i}' END" for i, _, p in CRITICAL_RULES)
