@@ -29,8 +29,9 @@ LAYOUT_VERSION = "v2"
 
 
 def _key(sf_dir: str) -> str:
-    """Folder key: the test-data path plus the size/mtime of its inputs."""
-    parts = [LAYOUT_VERSION, os.path.abspath(sf_dir)]
+    """Folder key: the test-data path, the size/mtime of its inputs and the
+    adapter code, so a changed adapter never reuses older landed files."""
+    parts = [LAYOUT_VERSION, _code_fingerprint(["sources/fixture.py"]), os.path.abspath(sf_dir)]
     for t in ("lineitem", "nation", "region"):
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
