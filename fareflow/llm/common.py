@@ -59,6 +59,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def with_text(docs: DataFrame, text: str = "text") -> DataFrame:
     """The columns the text operators need: id and text, null texts as ''."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fareflow.llm.common import prepare, read, with_text
 
@@ -42,3 +43,21 @@ def op8(spark, sf):
     docs = with_text(read(spark, sf, "documents"))
     ids = bpe.encode(docs, ranks, pattern).select("doc_id", "ids")
     return bpe.digests(bpe.decode(ids, ranks))
+
+
+@register("op3_crf_toxicity")
+def op3(spark, sf):
+    """Toxicity score of every document; learned from rows not held out."""
+    from fareflow.llm import crf
+    docs = read(spark, sf, "documents")
+    model = crf.learn(docs, read(spark, sf, "labels"))
+    return crf.tag(docs, model).select(
+        "doc_id", crf.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "spans")
+
+
+@register("op4_simhash_near_dedup")
+def op4(spark, sf):
+    """SimHash fingerprints of every document and their linked groups."""
+    from fareflow.llm import simhash
+    return simhash.report(simhash.near_duplicates(read(spark, sf, "documents")))
