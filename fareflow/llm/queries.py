@@ -61,3 +61,10 @@ def op4(spark, sf):
     """SimHash fingerprints of every document and their linked groups."""
     from fareflow.llm import simhash
     return simhash.report(simhash.near_duplicates(read(spark, sf, "documents")))
+
+
+@register("op5_secret_battery")
+def op5(spark, sf):
+    """Secrets in every document: fixed patterns and the randomness battery."""
+    from fareflow.llm import secrets
+    return secrets.report(secrets.scan(read(spark, sf, "documents").select("doc_id", "text")))
