@@ -75,17 +75,31 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def _half_ball(fps: DataFrame) -> DataFrame:
-    """``(key, fp)``: every 32-bit half with all values within one bit of it.
+    """``(key, fp, flip)``: every 32-bit half with all values within one bit of it.
 
-    The key carries the half's number above the value.
+    The key carries the half's number above the value; ``flip`` is the bit
+    that was changed, 0 for none.
     """
-    flips = [0] + [1 << i for i in range(32)]
+    flips = F.array(*[F.lit(0).cast("long")] + [F.lit(1 << i).cast("long") for i in range(32)])
     low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
     high = F.shiftrightunsigned("fp", 32)
     second = F.lit(1 << 32)
-    keys = F.array(*[low.bitwiseXOR(F.lit(x)) for x in flips],
-                   *[high.bitwiseXOR(F.lit(x)).bitwiseOR(second) for x in flips])
-    return fps.select(F.explode(keys).alias("key"), "fp")
+    emitted = fps.select("fp", low.alias("low"), high.alias("high"), F.explode(flips).alias("flip"))
+    return emitted.select("fp", "flip", F.explode(F.array(
+        F.col("low").bitwiseXOR(F.col("flip")),
+        F.col("high").bitwiseXOR(F.col("flip")).bitwiseOR(second))).alias("key"))
+
+
+def _close(u, v, radius: int):
+    """True where members u < v of a bucket are within the radius and meet here first.
+
+    Halves that are equal meet at themselves, halves one bit apart where the
+    lesser fingerprint is unchanged, halves two bits apart where the lesser
+    fingerprint changes the lower bit; so a bucket lists no pair that another
+    bucket of the same half lists too.
+    """
+    first = F.when(v["flip"] == 0, u["flip"] == 0).otherwise(u["flip"] < v["flip"])
+    return first & (F.bit_count(u["fp"].bitwiseXOR(v["fp"])) <= radius)
 
 
 def _whole_ball(fps: DataFrame) -> DataFrame:
@@ -111,10 +125,11 @@ def links(fps: DataFrame, radius: int = RADIUS, pair_limit: int = PAIR_LIMIT) ->
     ball = _half_ball(fps)
     sizes = ball.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = saved(ball.join(sizes, "key"), "met")
-    lists = met.where(F.col("n") <= pair_limit).groupBy("key").agg(F.array_sort(F.collect_list("fp")).alias("m"))
-    pairs = lists.select(F.posexplode("m").alias("i", "u"), "m").select(
-        "u", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("v"))
-    near = pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius).distinct()
+    lists = met.where(F.col("n") <= pair_limit).groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("fp", "flip"))).alias("m"))
+    near = lists.select(F.posexplode("m").alias("i", "u"), "m").select("u.fp", F.explode(F.filter(
+        F.slice("m", F.col("i") + 2, F.size("m")), lambda v: _close(F.col("u"), v, radius))).alias("v")).select(
+        F.col("fp").alias("u"), F.col("v.fp").alias("v")).distinct()
     crowd = met.where(F.col("n") > pair_limit).select("fp").distinct()
     whole = _whole_ball(crowd)
     hubs = whole.groupBy("key").agg(F.min("fp").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "u")
