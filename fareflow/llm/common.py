@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.session import checkpoint_dir
@@ -72,6 +72,15 @@ def with_text(docs: DataFrame, text: str = "text") -> DataFrame:
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where lambdas use it.
+
+    An expression that stands inside the lambda of a higher-order function is
+    evaluated for every element; bound this way it is a variable there.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row ranges of a text column with their bytes.
 

@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareflow.llm.common import saved, with_text
 
@@ -347,25 +348,32 @@ def _evidence(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, "p double, e double, toxic int")
 
 
-def tag(docs: DataFrame, model: Model) -> DataFrame:
-    """``(doc_id, score, spans)``: probability and offending offsets.
+def tag(docs: DataFrame, model: Model, score: str = "score", spans: str = "spans") -> DataFrame:
+    """Add ``score`` and ``spans``: probability and offending offsets.
 
     ``spans`` is an array of (start, end) code point offsets, end exclusive,
-    of the tokens whose toxic marginal is at least one half.
+    of the tokens whose toxic marginal is at least one half.  Columns of the
+    same names are replaced; all others pass through.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kept = docs.drop(score, spans)
+    schema = T.StructType(kept.schema.fields + [
+        T.StructField(score, T.DoubleType()), T.StructField(spans, T.ArrayType(T.StructType([
+            T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
+    names = [f.name for f in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = _tagger(shared)
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            found = [tagger.evidence(t) for t in batch.column("text").to_pylist()]
+            found = [tagger.evidence(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([tagger.score(e) for e, _ in found], pa.float64()),
-                 pa.array([[{"start": a, "end": b} for a, b in s] for _, s in found], span)],
-                names=["doc_id", "score", "spans"])
+                [batch.column(c) for c in names[:-2]] + [
+                    pa.array([tagger.score(e) for e, _ in found], pa.float64()),
+                    pa.array([[{"start": a, "end": b} for a, b in s] for _, s in found], span)],
+                names=names)
 
-    return with_text(docs).mapInArrow(run, "doc_id long, score double, spans array<struct<start:int,end:int>>")
+    return kept.mapInArrow(run, schema)
 
 
 def held_out(doc_id="doc_id"):

@@ -49,7 +49,7 @@ def op8(spark, sf):
 def op3(spark, sf):
     """Toxicity score of every document; learned from rows not held out."""
     from fareflow.llm import crf
-    docs = read(spark, sf, "documents")
+    docs = with_text(read(spark, sf, "documents"))
     model = crf.learn(docs, read(spark, sf, "labels"))
     return crf.tag(docs, model).select(
         "doc_id", crf.held_out().alias("held_out"), "score",
@@ -68,3 +68,10 @@ def op5(spark, sf):
     """Secrets in every document: fixed patterns and the randomness battery."""
     from fareflow.llm import secrets
     return secrets.report(secrets.scan(read(spark, sf, "documents").select("doc_id", "text")))
+
+
+@register("op10_template_decontamination")
+def op10(spark, sf):
+    """Benchmark items that leaked into each document, by template windows."""
+    from fareflow.llm import decontam
+    return decontam.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))

@@ -33,6 +33,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareflow.llm.common import let
+
 # Fixed patterns of the three kinds, and the shortest accepted lengths.
 ASSIGN_NAME = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 ASSIGN_VALUE = "[A-Za-z0-9+/_.=-]+"
@@ -121,15 +123,16 @@ def battery(value: Column) -> Column:
     Trailing padding is not tested.  ``p`` is the combined p-value: small for
     strings that random text of the inferred encoding would rarely give.
     """
-    body = F.regexp_replace(value, "=+$", "")
-    alphabet, size = F.lit(ENCODINGS[-1][1]), F.lit(len(ENCODINGS[-1][1]))
-    for pattern, chars in reversed(ENCODINGS[:-1]):
-        fits = body.rlike(pattern)
-        alphabet = F.when(fits, F.lit(chars)).otherwise(alphabet)
-        size = F.when(fits, F.lit(len(chars))).otherwise(size)
-    codes = F.transform(F.filter(F.split(body, ""), lambda c: c != ""),
-                        lambda c: (F.instr(alphabet, c) - 1).cast("double"))
-    first = F.struct(codes.alias("codes"), size.cast("double").alias("k"))
+    def encoding(body):
+        alphabet = F.lit(ENCODINGS[-1][1])
+        for pattern, chars in reversed(ENCODINGS[:-1]):
+            alphabet = F.when(body.rlike(pattern), F.lit(chars)).otherwise(alphabet)
+        return F.struct(body.alias("body"), alphabet.alias("alphabet"))
+
+    def coded(e):
+        codes = F.transform(F.filter(F.split(e["body"], ""), lambda c: c != ""),
+                            lambda c: (F.instr(e["alphabet"], c) - 1).cast("double"))
+        return F.struct(codes.alias("codes"), F.length(e["alphabet"]).cast("double").alias("k"))
 
     def tests(s):
         codes, k = s["codes"], s["k"]
@@ -168,9 +171,8 @@ def battery(value: Column) -> Column:
         p = F.least(F.lit(1.0), 3 * F.least(chi_p, runs_p, serial_p))
         return F.struct(chi_z.alias("chi_z"), s["runs"].alias("runs"), serial.alias("serial"), p.alias("p"))
 
-    # Each transform over a one-element array names an intermediate once.
-    one = F.transform(F.array(first), tests)
-    return F.element_at(F.transform(one, values), 1)
+    return let(F.regexp_replace(value, "=+$", ""), lambda body: let(encoding(body), lambda e: let(
+        coded(e), lambda c: let(tests(c), values))))
 
 
 def length_class(value: Column) -> Column:
@@ -211,12 +213,11 @@ def scan(docs: DataFrame, text: str = "text", fdr: float = FDR) -> DataFrame:
     cleared = thresholds(source, text, fdr)
 
     def keep(c, base):
-        stratum, number = length_class(c["value"]), p_bin(battery(c["value"])["p"])
         least = F.lit(1 << 30)
         for s, b in cleared.items():
-            least = F.when(stratum == s, F.lit(b)).otherwise(least)
+            least = F.when(length_class(c["value"]) == s, F.lit(b)).otherwise(least)
         apart = ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        return apart & (number < least)
+        return apart & (p_bin(battery(c["value"])["p"]) < least)
 
     found = source.withColumn("_base", base_spans(F.col(text))).withColumn("_more", candidate_spans(F.col(text)))
     more = F.when(F.size("_more") > 0, F.filter("_more", lambda c: keep(c, F.col("_base")))).otherwise(F.col("_more"))
