@@ -75,3 +75,20 @@ def op10(spark, sf):
     """Benchmark items that leaked into each document, by template windows."""
     from fareflow.llm import decontam
     return decontam.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+@register("op7_relative_lz_dedup")
+def op7(spark, sf):
+    """Words of every document outside 20-word runs that occur earlier."""
+    from fareflow.llm import rlz
+    return rlz.dedup(read(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op9_column_bwt_dedup")
+def op9(spark, sf):
+    """Bytes of every document outside 400-byte runs that also start elsewhere."""
+    from fareflow.llm import colbwt
+    return colbwt.dedup(read(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
