@@ -92,3 +92,51 @@ def op9(spark, sf):
     return colbwt.dedup(read(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op6_arc_to_warc")
+def op6(spark, sf):
+    """Pages as legacy archives, converted to WARC, written and read back."""
+    from fareflow.llm import arc
+    path = arc.archive_folder(spark)
+    arc.convert(arc.page_archives(read(spark, sf, "pages")), path)
+    return arc.read_warc(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op6_arc_to_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p
+), m AS (
+  SELECT payload_digest, min(page_id) AS original FROM d WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN original IS NULL OR original = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN original = page_id THEN NULL ELSE original END AS refers_to
+FROM d LEFT JOIN m USING (payload_digest)
+"""
+
+ORACLE["op7_relative_lz_dedup"] = """
+WITH w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, i, list_aggregate(words[i:i + 19], 'string_agg', ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w WHERE len(words) >= 20)
+), f AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS n FROM s
+), gone AS (
+  SELECT doc_id, list(DISTINCT j) AS cut
+  FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM f WHERE n > 1) GROUP BY doc_id
+), k AS (
+  SELECT w.doc_id, len(words) AS n_words, coalesce(len(cut), 0) AS n_removed,
+    CASE WHEN cut IS NULL THEN words
+         ELSE [words[j] FOR j IN range(1, len(words) + 1) IF NOT list_contains(cut, j)] END AS kept
+  FROM w LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+  sha256(array_to_string(kept, ' ')) AS kept_sha256
+FROM k
+"""
