@@ -140,3 +140,34 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS
   sha256(array_to_string(kept, ' ')) AS kept_sha256
 FROM k
 """
+
+
+@register("op1_multi_index_hashing")
+def op1(spark, sf):
+    """Ten nearest sign codes of every hundredth vector, among all vectors."""
+    from fareflow.llm import mih
+    codes = mih.codes(read(spark, sf, "embeddings"))
+    return mih.search(codes, codes.where("id % 100 = 0")).select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
+ORACLE["op1_multi_index_hashing"] = """
+WITH c AS (
+  SELECT DISTINCT vec_id AS id, list_aggregate([CASE WHEN embedding[i] > 0 THEN CAST(1 AS HUGEINT) << (i - 1) ELSE 0 END
+    FOR i IN range(1, len(embedding) + 1)], 'sum') AS code
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), d AS (
+  SELECT q.id AS query_id, c.id AS vec_id,
+    bit_count(xor(CAST(q.code AS UBIGINT), CAST(c.code AS UBIGINT))) AS distance
+  FROM c q JOIN c ON q.id <> c.id WHERE q.id % 100 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d)
+WHERE rank <= 10
+"""
+
+
+@register("op2_quotation_linking")
+def op2(spark, sf):
+    """Conversations in reply order, quoted passages linked and taken out."""
+    from fareflow.llm import quotes
+    return quotes.conversations(read(spark, sf, "conversations"))
