@@ -1,5 +0,0 @@
-from fareflow.functions.expressions import (  # noqa: F401
-    any_of, all_of, guarded_ratio, epoch_seconds, minute_boundaries_between,
-    iso_day_of_week, date_key, zero_padded, month_start, next_month_start,
-    count_when, null_count, micro_units, fixed_sum, fixed_mean, canonical_text,
-)

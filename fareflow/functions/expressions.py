@@ -8,13 +8,14 @@ from typing import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Reported sums and averages of double measures are fixed-point: each value
-# is rounded to micro-units (1e-6) and the integers are summed in doubles.
-# Integer sums below 2**53 are exact, so the result does not depend on how
-# rows are split into partitions or combined: every run, cluster size and
-# engine gets the same bits.  Money (2 decimals) is summed without any loss;
-# the cost equals a plain double sum (an exact DECIMAL sum costs ~20x).
-MICRO = 1e6
+# Reported sums and averages of double measures are native aggregates, rounded
+# in the output only: the order in which rows are combined moves a double sum
+# in its last bits, which the reported figure leaves out.  Averages of money
+# often lie half-way between two figures; the nudge sends those upwards, so
+# that a last bit does not decide.
+SUM_DIGITS = 4
+MEAN_DIGITS = 6
+HALF_WAY_NUDGE = 1e-9
 
 
 def col_or(c: str | Column) -> Column:
@@ -26,10 +27,6 @@ def any_of(columns: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, columns)
 
 
-def all_of(columns: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a & b, columns)
-
-
 def guarded_ratio(num: str | Column, den: str | Column, guard: Column) -> Column:
     """num / den where ``guard`` holds, else NULL (never divides by zero)."""
     return F.when(guard, col_or(num) / col_or(den)).otherwise(F.lit(None).cast("double"))
@@ -84,33 +81,37 @@ def null_count(c: str) -> Column:
     return count_when(F.col(c).isNull())
 
 
-def micro_units(c: str | Column) -> Column:
-    """Value rounded half-up to a whole number of micro-units (as double)."""
-    return F.floor(col_or(c) * F.lit(MICRO) + F.lit(0.5)).cast("double")
+def as_sum(value: Column) -> Column:
+    """A computed sum as it is reported (NaN and NULL stay what they are)."""
+    return F.round(value, SUM_DIGITS)
 
 
-def fixed_sum(c: str | Column) -> Column:
-    """Order-independent SUM of a double measure (micro-unit fixed point)."""
-    return F.sum(micro_units(c)) / F.lit(MICRO)
+def as_mean(value: Column) -> Column:
+    """A computed average as it is reported (NaN and NULL stay what they are)."""
+    return F.round(value + F.lit(HALF_WAY_NUDGE), MEAN_DIGITS)
 
 
-def fixed_mean(c: str | Column) -> Column:
-    """Order-independent AVG (NULLs ignored; NULL when no value)."""
-    c = col_or(c)
-    return fixed_sum(c) / F.count(c)
+def reported_sum(c: str | Column) -> Column:
+    return as_sum(F.sum(c))
+
+
+def reported_mean(c: str | Column) -> Column:
+    """AVG (NULLs ignored; NULL when no value)."""
+    return as_mean(F.avg(c))
 
 
 def canonical_text(c: str | Column, kind: str) -> Column:
     """Engine-independent text form of a value, '' for NULL.
 
-    Used for surrogate keys: timestamps as ``yyyy-MM-dd HH:mm:ss.SSS``,
-    doubles through decimal(18,4), integers and strings as is.
+    Used for surrogate keys: timestamps with microseconds, doubles through
+    decimal(38,10) (beyond its range, and NaN, as the engine writes a
+    double), integers and strings as is.
     """
     c = col_or(c)
     if kind == "timestamp":
-        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSS")
+        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     elif kind == "double":
-        text = c.cast("decimal(18,4)").cast("string")
+        text = F.coalesce(c.try_cast("decimal(38,10)").cast("string"), c.cast("string"))
     else:
         text = c.cast("string")
     return F.coalesce(text, F.lit(""))

@@ -9,7 +9,7 @@ from fareflow.functions.expressions import canonical_text, date_key
 from fareflow.operators.dims import analytical
 from fareflow.schema import FACT_COLUMNS
 
-# Fields of the surrogate key, in key order, with their text form.
+# Fields of the surrogate key, in key order, with their text form.
 TRIP_KEY_FIELDS = [
     ("vendor_id", "int"),
     ("pickup_datetime", "timestamp"),

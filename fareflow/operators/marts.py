@@ -5,8 +5,8 @@ dimension's columns.  They aggregate the fact on the join key first and join
 the (small) aggregate to the dimension afterwards: the same rows as
 join-then-group, but the join never touches individual trips and the only
 shuffle carries one partial row per key per task.  MT5 needs both zone
-roles per trip to classify it, so it joins the trips to a size-checked
-broadcast of the zone dimension and aggregates into four groups.
+roles of a trip to classify it, so it aggregates by (pickup, dropoff) pair
+first, looks both zones up per pair and adds the pairs up into four groups.
 
 Inner joins keep the reference's consequences: trips whose location has no
 zone drop out of MT3/MT5, payment types outside the dimension out of MT4.
@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.functions.expressions import count_when, fixed_mean as mean, fixed_sum as money_sum
-from fareflow.plans.joins import bounded_broadcast, lookup_after_aggregate
+from fareflow.functions.expressions import count_when, as_mean, as_sum, reported_mean as mean, reported_sum as money_sum
+from fareflow.plans.joins import lookup_after_aggregate
 
 # Zone names that count as airports.
 AIRPORT_ZONE_NAMES = ["JFK Airport", "LaGuardia Airport", "Newark Airport"]
@@ -108,7 +108,7 @@ def mart_pickup_zone_performance(fact: DataFrame, dim_zone: DataFrame) -> DataFr
         F.col("borough").alias("pickup_borough"),
         F.col("zone").alias("pickup_zone"),
         F.col("service_zone").alias("pickup_service_zone"))
-    joined = lookup_after_aggregate(agg, bounded_broadcast(zones),
+    joined = lookup_after_aggregate(agg, zones,
                                     {"pickup_location_id": "pickup_location_id"})
     return joined.select("pickup_location_id", "pickup_borough", "pickup_zone",
                          "pickup_service_zone", *measures)
@@ -141,20 +141,26 @@ def airport_trip_type(pickup_zone: Column, dropoff_zone: Column) -> Column:
 
 
 def mart_airport_trip_summary(fact: DataFrame, dim_zone: DataFrame) -> DataFrame:
-    """MT5: trips joined to the zone dimension in both roles, then classified.
+    """MT5: trips by the airport roles of their two zones.
 
-    Both roles join the same size-checked broadcast of the zone table
-    (a few hundred rows), aliased per role.
+    Sums and counts of a pair of zones add up, and an average is the sum of
+    the pairs' sums over the sum of their counts, so only pairs (at most the
+    square of the number of zones) meet the dimension, never trips.
     """
-    zones = bounded_broadcast(dim_zone.select("location_id", "zone"))
-    pz, dz = zones.alias("pz"), zones.alias("dz")
-    trips = (fact.join(pz, fact.pickup_location_id == F.col("pz.location_id"), "inner")
-             .join(dz, F.col("dropoff_location_id") == F.col("dz.location_id"), "inner"))
-    return (trips.withColumn("airport_trip_type",
-                             airport_trip_type(F.col("pz.zone"), F.col("dz.zone")))
+    averaged = ["total_amount", "fare_amount", "tip_amount", "tip_rate",
+                "trip_distance", "trip_duration_minutes", "fare_per_mile"]
+    measures = list(dict.fromkeys([src for _, src in _ZONE_MEASURE_SUMS] + averaged))
+    pairs = fact.groupBy("pickup_location_id", "dropoff_location_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("passenger_count").alias("passengers"),
+        *[F.sum(m).alias(f"s_{m}") for m in measures], *[F.count(m).alias(f"c_{m}") for m in averaged])
+    zones = dim_zone.select("location_id", "zone")
+    named = lookup_after_aggregate(pairs, zones.select(
+        F.col("location_id").alias("_pl"), F.col("zone").alias("pickup_zone")), {"pickup_location_id": "_pl"})
+    named = lookup_after_aggregate(named, zones.select(
+        F.col("location_id").alias("_dl"), F.col("zone").alias("dropoff_zone")), {"dropoff_location_id": "_dl"})
+    return (named.withColumn("airport_trip_type", airport_trip_type(F.col("pickup_zone"), F.col("dropoff_zone")))
             .groupBy("airport_trip_type").agg(
-                _trips(),
-                F.sum("passenger_count").alias("total_passengers"),
-                *_sums(_ZONE_MEASURE_SUMS),
-                *_avgs("total_amount", "fare_amount", "tip_amount", "tip_rate",
-                       "trip_distance", "trip_duration_minutes", "fare_per_mile")))
+                F.sum("n").alias("total_trips"),
+                F.sum("passengers").alias("total_passengers"),
+                *[as_sum(F.sum(f"s_{src}")).alias(out) for out, src in _ZONE_MEASURE_SUMS],
+                *[as_mean(F.try_divide(F.sum(f"s_{m}"), F.sum(f"c_{m}"))).alias(f"avg_{m}") for m in averaged]))

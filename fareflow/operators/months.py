@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareflow.functions.expressions import month_start, next_month_start
 from fareflow.sources.bronze import month_path
-from fareflow.sources.paths import has_parquet_files, path_exists
+from fareflow.sources.sinks import MONTH_DONE
+from fareflow.sources.paths import has_parquet_files, holds_files, path_exists
 
 MONTHS_SCHEMA = T.StructType([
     T.StructField("line_no", T.LongType(), False),
@@ -26,17 +28,15 @@ MONTHS_SCHEMA = T.StructType([
     T.StructField("month", T.StringType(), False),
 ])
 
-_PERIOD = re.compile(r"\d{4}-\d{2}")
+_PERIOD = re.compile(r"(?P<year>\d{4})-(?P<month>0[1-9]|1[0-2])")
 
 
 def parse_period(value: str) -> tuple[int, int]:
-    """``YYYY-MM`` (full match) with month 1-12, else ``ValueError``."""
-    if not _PERIOD.fullmatch(value):
-        raise ValueError(f"Invalid year-month format: {value}. Expected YYYY-MM.")
-    year, month = (int(x) for x in value.split("-"))
-    if not 1 <= month <= 12:
-        raise ValueError(f"Invalid month: {month}. Month must be between 01 and 12.")
-    return year, month
+    """A month written as four digits, a hyphen and 01 to 12; else ``ValueError``."""
+    found = _PERIOD.fullmatch(value)
+    if found is None:
+        raise ValueError(f"{value!r} is not a month; write it like 2024-01")
+    return int(found["year"]), int(found["month"])
 
 
 def months_frame(spark: SparkSession, months: Iterable[tuple[int, int]]) -> DataFrame:
@@ -55,16 +55,15 @@ def read_month_list(spark: SparkSession, path: str) -> DataFrame:
     the first offending line.
     """
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Months file not found: {path}")
+        raise FileNotFoundError(f"no list of months at {path}")
     value = F.trim(F.regexp_replace(F.col("value"), "#.*$", ""))
     lines = (spark.read.text(path)
              .select(F.monotonically_increasing_id().alias("line_no"), value.alias("period"))
              .filter(F.col("period") != ""))
-    month_num = F.substring("period", 6, 2).cast("int")
-    valid = F.col("period").rlike(r"^\d{4}-\d{2}$") & month_num.between(1, 12)
+    valid = F.col("period").rlike(r"^\d{4}-(0[1-9]|1[0-2])$")
     bad = lines.filter(~valid).orderBy("line_no").select("period").limit(1).collect()
     if bad:
-        parse_period(bad[0]["period"])  # raises with the precise message
+        parse_period(bad[0]["period"])  # raises and names the line
     return lines.select("line_no", "period",
                         F.substring("period", 1, 4).alias("year"),
                         F.substring("period", 6, 2).alias("month"))
@@ -87,17 +86,16 @@ def choose_scope(spark: SparkSession, year_months: Sequence[str] | None = None,
         return frame
     if year is not None and month is not None:
         if not 1 <= int(month) <= 12:
-            raise ValueError(f"Invalid month: {month}. Month must be between 1 and 12.")
+            raise ValueError(f"{month} is no month of a year")
         return months_frame(spark, [(int(year), int(month))])
-    raise ValueError(
-        "Please provide either year_months, months_file, or both year and month.")
+    raise ValueError("no months named: list them, name a file of them, or give a year with a month")
 
 
-def month_window(year: int, month: int) -> tuple[datetime, datetime]:
-    """BM3: half-open [first day, first day of next month); December rolls over."""
-    start = datetime(year, month, 1)
-    end = datetime(year + 1, 1, 1) if month == 12 else datetime(year, month + 1, 1)
-    return start, end
+def month_window(spark: SparkSession, year: int, month: int) -> tuple[datetime, datetime]:
+    """BM3: the month as a half-open interval, by the expressions the rules use."""
+    y, m = F.lit(int(year)), F.lit(int(month))
+    row = spark.range(1).select(month_start(y, m).alias("lo"), next_month_start(y, m).alias("hi")).first()
+    return row["lo"], row["hi"]
 
 
 def months_predicate(months: Iterable[tuple[int, int]]) -> Column:
@@ -122,25 +120,27 @@ def months_predicate(months: Iterable[tuple[int, int]]) -> Column:
 def restrict(df: DataFrame, months: Iterable[tuple[int, int]] | DataFrame) -> DataFrame:
     """BM4: keep rows of the listed months.
 
-    A literal list becomes a partition filter (static pruning); a months
-    DataFrame becomes a broadcast left-semi join, which Spark turns into
-    dynamic partition pruning on a partitioned table.
+    Either form becomes a literal filter on the partition columns, so folders
+    of other months are neither listed nor read.  A months DataFrame is
+    configuration (at most 12 rows per year of the calendar once distinct);
+    its pairs are read by the driver to build the filter.
     """
     if isinstance(months, DataFrame):
-        # Distinct (year, month) pairs: at most 12 per year of the calendar.
-        keys = months.select("year", "month").distinct()
-        return df.join(F.broadcast(keys), ["year", "month"], "left_semi")
+        months = [(int(r["year"]), int(r["month"]))
+                  for r in months.select("year", "month").distinct().collect()]
     return df.filter(months_predicate(months))
 
 
 def existing_months(spark: SparkSession, months: DataFrame, table_base: str) -> DataFrame:
-    """Months of ``months`` whose partition folder holds a ``.parquet`` file.
+    """Months of ``months`` that are done: data files, or the marker of a
+    month that came out empty, lie in their partition folder.
 
-    One listing per listed month (configuration-sized), as the original
-    skip rule does; no data file is opened.
+    One listing per listed month (configuration-sized); no data file is
+    opened.
     """
     done = [(r["year"], r["month"]) for r in months.select("year", "month").distinct().collect()
-            if has_parquet_files(spark, month_path(table_base, r["year"], r["month"]))]
+            if has_parquet_files(spark, month_path(table_base, r["year"], r["month"]))
+            or path_exists(spark, f"{month_path(table_base, r['year'], r['month'])}{MONTH_DONE}")]
     return months_frame(spark, [(int(y), int(m)) for y, m in done]).select("year", "month")
 
 
@@ -163,7 +163,7 @@ def pending_months_from(months: DataFrame, table: DataFrame, force: bool = False
 def partition_coverage(months: DataFrame, table: DataFrame) -> DataFrame:
     """BM6: per listed month the row count and 'passed' (> 0) or 'failed'.
 
-    Only the listed months are read (semi join -> partition pruning); the
+    Only the listed months are read (a literal partition filter); the
     count is a partial aggregate, so the shuffle is one row per month per task.
     """
     counts = (restrict(table, months).groupBy("year", "month")
@@ -200,7 +200,7 @@ def gold_completeness(spark: SparkSession, tables: dict[str, str], months: DataF
 
 
 def _has_data(spark: SparkSession, path: str) -> bool:
-    try:
-        return len(spark.read.parquet(path).limit(1).collect()) > 0
-    except Exception:  # unreadable or empty folder
+    """True if the table holds a row; an unreadable file raises."""
+    if not holds_files(spark, path):
         return False
+    return len(spark.read.parquet(path).limit(1).collect()) > 0

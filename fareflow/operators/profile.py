@@ -3,9 +3,10 @@
 Every check of a month is a column of one grouped aggregate over
 ``(year, month)``: all months and all counters in a single scan, with
 map-side partial aggregation so the shuffle carries one small row per month
-per task.  Distinct counts are exact by default (Catalyst expands rows once
-per distinct column); ``approximate=True`` swaps in HyperLogLog++ for very
-large inputs.  Nothing is collected: each result is a DataFrame.
+per task.  Exact distinct counts are sizes of value sets built in the same
+aggregate: the profiled columns hold codes and location ids, so a set is as
+small as the domain, and no row is multiplied.  ``approximate=True`` swaps in
+HyperLogLog++.  Nothing is collected: each result is a DataFrame.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions.expressions import (
-    count_when, fixed_mean, minute_boundaries_between, null_count,
+    count_when, reported_mean, minute_boundaries_between, null_count,
 )
 from fareflow.functions.rules import (
     LOCATION_MAX, LOCATION_MIN, PAYMENT_TYPE_DOMAIN, RATECODE_DOMAIN,
@@ -51,6 +52,7 @@ NEGATIVE_FEE_CHECKS = [
     ("airport_fee", "negative_airport_fee_count"),
 ]
 
+# Bronze column -> distinct-count column name (PF1).
 DISTINCT_CHECKS = [
     ("VendorID", "distinct_vendor_count"),
     ("payment_type", "distinct_payment_type_count"),
@@ -68,16 +70,21 @@ def _lng(c: Column, name: str) -> Column:
     return c.cast("long").alias(name)
 
 
+def _distinct(c: Column) -> Column:
+    """Exact number of distinct values of a column with a small domain."""
+    return F.size(F.collect_set(c)).cast("long")
+
+
 def summary_columns(approximate: bool = False) -> list[Column]:
     """PF1: row count, five distinct counts, time range, three measures."""
-    distinct = (F.approx_count_distinct if approximate else F.count_distinct)
+    distinct = F.approx_count_distinct if approximate else _distinct
     cols = [F.count(F.lit(1)).alias("total_rows")]
     cols += [distinct(_c(src)).alias(name) for src, name in DISTINCT_CHECKS]
     for ts, label in [("tpep_pickup_datetime", "pickup"), ("tpep_dropoff_datetime", "dropoff")]:
         cols += [F.min(ts).alias(f"min_{label}_datetime"), F.max(ts).alias(f"max_{label}_datetime")]
     for m in ["trip_distance", "fare_amount", "total_amount"]:
         cols += [F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}"),
-                 fixed_mean(m).alias(f"avg_{m}")]
+                 reported_mean(m).alias(f"avg_{m}")]
     return cols
 
 
@@ -86,6 +93,7 @@ def null_columns() -> list[Column]:
     return [_lng(null_count(src), name) for src, name in NULL_CHECKS]
 
 
+# Names of the PF3 counters.
 CRITICAL_COUNTERS = [
     "invalid_datetime_count", "invalid_distance_count", "invalid_passenger_count",
     "invalid_fare_count", "invalid_total_amount_count", "null_pickup_location_count",
@@ -113,6 +121,7 @@ def _outside(name: str, domain: list) -> Column:
     return _c(name).isNotNull() & ~_c(name).isin(*domain)
 
 
+# Names of the PF4 counters.
 WARNING_COUNTERS = (
     ["invalid_vendor_count", "invalid_payment_type_domain_count", "invalid_ratecode_count",
      "invalid_store_and_fwd_flag_count"]

@@ -14,9 +14,8 @@ from typing import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.functions.expressions import count_when, fixed_mean, fixed_sum
+from fareflow.functions.expressions import count_when, reported_mean, reported_sum
 from fareflow.operators.months import restrict
-from fareflow.plans.joins import bounded_broadcast
 
 MONTH = ["year", "month"]
 
@@ -36,19 +35,28 @@ def _scoped(silver: DataFrame, months: Iterable[tuple[int, int]] | None) -> Data
 
 
 def smoke_read(silver: DataFrame, months: Iterable[tuple[int, int]] | None = None) -> DataFrame:
-    """AQ0: 12 explicit columns, at most 25 rows, no order (a read check)."""
+    """AQ0: 12 explicit columns, at most 25 rows, in no order (a read check)."""
     return _scoped(silver, months).select(*SMOKE_COLUMNS).limit(SMOKE_ROWS)
 
 
+def ordered_smoke_read(silver: DataFrame, months: Iterable[tuple[int, int]] | None = None) -> DataFrame:
+    """AQ0 with a full order over its columns, so that its rows are defined.
+
+    Rows that tie in all columns are equal rows.  Each task keeps its first
+    25 rows before anything is exchanged.
+    """
+    return _scoped(silver, months).select(*SMOKE_COLUMNS).orderBy(*SMOKE_COLUMNS).limit(SMOKE_ROWS)
+
+
 def monthly_trip_summary(silver: DataFrame,
                          months: Iterable[tuple[int, int]] | None = None) -> DataFrame:
     """AQ1: per month trips, revenue, three averages, outlier count (NULL -> 0)."""
     return (_scoped(silver, months).groupBy(*MONTH).agg(
         F.count(F.lit(1)).alias("trip_count"),
-        fixed_sum("total_amount").alias("total_revenue"),
-        fixed_mean("total_amount").alias("avg_total_amount"),
-        fixed_mean("trip_distance").alias("avg_trip_distance"),
-        fixed_mean("trip_duration_minutes").alias("avg_trip_duration_minutes"),
+        reported_sum("total_amount").alias("total_revenue"),
+        reported_mean("total_amount").alias("avg_total_amount"),
+        reported_mean("trip_distance").alias("avg_trip_distance"),
+        reported_mean("trip_duration_minutes").alias("avg_trip_duration_minutes"),
         count_when(F.col("is_analytical_outlier")).alias("analytical_outlier_count"))
         .orderBy(*MONTH))
 
@@ -58,10 +66,10 @@ def payment_type_summary(silver: DataFrame,
     """AQ2: per month and payment type; busiest first."""
     return (_scoped(silver, months).groupBy(*MONTH, "payment_type").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        fixed_sum("total_amount").alias("total_revenue"),
-        fixed_mean("fare_amount").alias("avg_fare_amount"),
-        fixed_mean("tip_amount").alias("avg_tip_amount"),
-        fixed_mean("tip_rate").alias("avg_tip_rate"))
+        reported_sum("total_amount").alias("total_revenue"),
+        reported_mean("fare_amount").alias("avg_fare_amount"),
+        reported_mean("tip_amount").alias("avg_tip_amount"),
+        reported_mean("tip_rate").alias("avg_tip_rate"))
         .orderBy(*MONTH, F.desc("trip_count"), "payment_type"))
 
 
@@ -70,9 +78,9 @@ def hourly_demand_pattern(silver: DataFrame,
     """AQ3: per month and pickup hour."""
     return (_scoped(silver, months).groupBy(*MONTH, "pickup_hour").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        fixed_sum("total_amount").alias("total_revenue"),
-        fixed_mean("trip_distance").alias("avg_trip_distance"),
-        fixed_mean("trip_duration_minutes").alias("avg_trip_duration_minutes"))
+        reported_sum("total_amount").alias("total_revenue"),
+        reported_mean("trip_distance").alias("avg_trip_distance"),
+        reported_mean("trip_duration_minutes").alias("avg_trip_duration_minutes"))
         .orderBy(*MONTH, "pickup_hour"))
 
 
@@ -92,9 +100,9 @@ def top_pickup_zones(silver: DataFrame, months: Iterable[tuple[int, int]] | None
     """AQ4: per month the k busiest pickup locations (ties: lower id first)."""
     agg = _scoped(silver, months).groupBy(*MONTH, "pickup_location_id").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        fixed_sum("total_amount").alias("total_revenue"),
-        fixed_mean("total_amount").alias("avg_total_amount"),
-        fixed_mean("trip_distance").alias("avg_trip_distance"))
+        reported_sum("total_amount").alias("total_revenue"),
+        reported_mean("total_amount").alias("avg_total_amount"),
+        reported_mean("trip_distance").alias("avg_trip_distance"))
     return (_top_per_month(agg, k, [F.desc("trip_count"), "pickup_location_id"])
             .orderBy(*MONTH, "rank"))
 
@@ -111,7 +119,7 @@ def top_pickup_zones_named(bronze: DataFrame, zone_lookup: DataFrame,
               .agg(F.count(F.lit(1)).alias("trip_count")))
     zones = zone_lookup.select(F.col("LocationID").cast("long").alias("_loc"),
                                F.col("Borough").alias("borough"), F.col("Zone").alias("zone"))
-    named = (counts.join(bounded_broadcast(zones), counts.PULocationID == zones._loc, "inner")
+    named = (counts.join(zones, counts.PULocationID == zones._loc, "inner")
              .select(*MONTH, F.col("PULocationID").alias("pickup_location_id"),
                      "borough", "zone", "trip_count"))
     return (_top_per_month(named, k, [F.desc("trip_count"), "pickup_location_id"])

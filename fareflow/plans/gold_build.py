@@ -22,11 +22,16 @@ MART_TABLES = ["mart_daily_trip_revenue", "mart_hourly_demand",
                "mart_airport_trip_summary"]
 
 
+def table_paths(gold_base: str, with_marts: bool = True) -> dict[str, str]:
+    """Table name -> folder under ``gold_base``."""
+    return {n: f"{gold_base.rstrip('/')}/{'marts' if n.startswith('mart') else 'core'}/{n}"
+            for n in CORE_TABLES + (MART_TABLES if with_marts else [])}
+
+
 def build_gold(spark: SparkSession, silver: DataFrame, zone_lookup: DataFrame,
                gold_base: str, with_marts: bool = True) -> dict[str, str]:
     """Write every Gold table under ``gold_base``; return name -> path."""
-    paths = {n: f"{gold_base.rstrip('/')}/{'marts' if n.startswith('mart') else 'core'}/{n}"
-             for n in CORE_TABLES + (MART_TABLES if with_marts else [])}
+    paths = table_paths(gold_base, with_marts)
     write_partitioned_table(fact_ops.fact_trip(silver), paths["fact_trip"])
     fact = spark.read.parquet(paths["fact_trip"])
     # dim_date from the written fact: its dates are exactly the non-outlier

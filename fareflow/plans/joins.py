@@ -1,8 +1,7 @@
-"""Join strategies for fact-to-dimension lookups.
+"""Fact-to-dimension lookups.
 
-A dimension is broadcast only after its row count is checked against a
-bound; beyond the bound the join is left to the planner (sort-merge or, with
-AQE, a runtime switch to broadcast once shuffle statistics are known).
+No side is broadcast by a guess: the lookups join aggregates of bounded size,
+and adaptive execution picks the strategy from their sizes at run time.
 """
 
 from __future__ import annotations
@@ -10,21 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) broadcast to every executor.  Zone, vendor,
-# payment and rate dimensions hold at most a few hundred rows.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the dimension is unexpectedly large.
-    """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
-
 
 def lookup_after_aggregate(aggregated: DataFrame, dim: DataFrame,
                            keys: dict[str, str]) -> DataFrame:
@@ -33,13 +17,22 @@ def lookup_after_aggregate(aggregated: DataFrame, dim: DataFrame,
     Answers "fact JOIN dim GROUP BY dim columns" when the dimension key is
     unique: aggregating the fact first (map-side partial aggregation, one row
     per key per task) and joining afterwards gives the same rows, while the
-    join sees one row per key instead of every trip.  Both inputs are then
-    small; AQE picks a broadcast at run time from their real sizes.
+    join sees one row per key instead of every trip.  A repeated dimension
+    key would repeat the aggregate, so the dimension is checked in the same
+    plan: a key with several rows raises.
     """
+    names = list(keys.values())
     tmp = {fk: f"_fk_{i}" for i, fk in enumerate(keys)}
     left = aggregated.select(*[F.col(c).alias(tmp.get(c, c)) for c in aggregated.columns])
+    others = [c for c in dim.columns if c not in names]
+    # max() is the value itself where the key is unique.
+    unique = dim.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in others]).select(
+        *[F.when(F.col("_n") > 1, F.raise_error(F.lit(
+            f"dimension key {', '.join(names)} is not unique")).cast(dim.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+          for c in dim.columns])
     cond = None
     for fk, dk in keys.items():
-        term = left[tmp[fk]] == dim[dk]
+        term = left[tmp[fk]] == unique[dk]
         cond = term if cond is None else cond & term
-    return left.join(dim, cond, "inner").drop(*tmp.values())
+    return left.join(unique, cond, "inner").drop(*tmp.values())

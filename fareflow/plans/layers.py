@@ -46,12 +46,6 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze_table(spark, landing.bronze_base(spark, sf_dir))
 
 
-@_memo
-def bronze_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze files as stored: raw names, drifting ``Airport_fee``."""
-    return spark.read.parquet(landing.bronze_base(spark, sf_dir))
-
-
 @_memo
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_zone_lookup(spark, landing.zone_csv(spark, sf_dir))

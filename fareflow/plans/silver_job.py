@@ -1,22 +1,28 @@
 """The Bronze -> Silver batch job for a list of months (IO1 + Silver + IO7 + RC1 + DC7).
 
-One Spark job per run: the Silver rows are written with dynamic partition
-overwrite, and the Bronze and Silver row counts are gathered by
-``DataFrame.observe`` during that same write (no cache, no second scan).
-Months already present are skipped unless ``force`` (BM5).
+The Silver rows of all pending months are one write that replaces exactly
+those months.  Row counts per month are then taken from both tables by their
+partition columns alone, which reads file footers and no data pages.  Months
+already done are skipped unless ``force`` (BM5).
 """
 
 from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.operators import months as bm
 from fareflow.operators.silver import to_silver
 from fareflow.sources.bronze import month_path, read_bronze_months
+from fareflow.sources.paths import holds_files
 from fareflow.sources.sinks import write_month_partitions
+from fareflow.sources.tables import read_partitioned
+
+
+def month_counts(table: DataFrame, name: str) -> DataFrame:
+    return table.groupBy("year", "month").agg(F.count(F.lit(1)).alias(name))
 
 
 def run_silver_job(spark: SparkSession, bronze_base: str, silver_base: str,
@@ -24,31 +30,33 @@ def run_silver_job(spark: SparkSession, bronze_base: str, silver_base: str,
                    strict_payment_domain: bool = False) -> DataFrame:
     """Process the months; return the run summary (DC7) as a DataFrame.
 
-    Summary rows: one per requested month with ``status`` ('written' or
-    'skipped'), plus the job's bronze/silver/dropped counts and output path.
+    One row per requested month: ``status`` ('written' or 'skipped'), the
+    month's own bronze, silver and dropped counts (NULL where skipped), and
+    the output path.
     """
-    wanted = [(int(y), int(m)) for y, m in months]
+    wanted = list(dict.fromkeys((int(y), int(m)) for y, m in months))
     frame = bm.months_frame(spark, wanted)
     todo = {(int(r["year"]), int(r["month"]))
             for r in bm.pending_months(spark, frame, silver_base, force).collect()}
-    run = [ym for ym in dict.fromkeys(wanted) if ym in todo]
-    counts = {"bronze_count": 0, "silver_count": 0}
-    if run:
-        bronze = read_bronze_months(spark, bronze_base, run)
-        seen_bronze, seen_silver = Observation("bronze"), Observation("silver")
-        bronze = bronze.observe(seen_bronze, F.count(F.lit(1)).alias("bronze_count"))
-        silver = to_silver(bronze, strict_payment_domain).observe(
-            seen_silver, F.count(F.lit(1)).alias("silver_count"))
-        write_month_partitions(silver, silver_base)
-        counts = {**seen_bronze.get, **seen_silver.get}
-    rows = [(f"{y:04d}-{m:02d}", f"{y:04d}", f"{m:02d}",
-             "written" if (y, m) in run else "skipped",
-             month_path(silver_base, y, m)) for y, m in dict.fromkeys(wanted)]
+    run = [ym for ym in wanted if ym in todo]
+    rows = [(f"{y:04d}-{m:02d}", f"{y:04d}", f"{m:02d}", "written" if (y, m) in todo else "skipped",
+             month_path(silver_base, y, m)) for y, m in wanted]
     summary = spark.createDataFrame(
         rows, "period string, year string, month string, status string, output_path string")
-    return summary.select(
-        "*",
-        F.lit(int(counts["bronze_count"])).cast("long").alias("job_bronze_count"),
-        F.lit(int(counts["silver_count"])).cast("long").alias("job_silver_count"),
-        F.lit(int(counts["bronze_count"]) - int(counts["silver_count"])).cast("long")
-        .alias("job_dropped_count"))
+    empty = spark.createDataFrame([], "year string, month string, n long")
+    bronze_n = silver_n = empty
+    if run:
+        bronze = read_bronze_months(spark, bronze_base, run)
+        write_month_partitions(to_silver(bronze, strict_payment_domain), silver_base, run)
+        bronze_n = month_counts(bronze, "n")
+        if holds_files(spark, silver_base):
+            silver_n = month_counts(bm.restrict(read_partitioned(spark, silver_base), run), "n")
+    counted = (summary.join(bronze_n.withColumnRenamed("n", "_b"), ["year", "month"], "left")
+               .join(silver_n.withColumnRenamed("n", "_s"), ["year", "month"], "left"))
+    own = lambda c: F.when(F.col("status") == "written", c)
+    bronze_count, silver_count = F.coalesce("_b", F.lit(0)), F.coalesce("_s", F.lit(0))
+    return counted.select(
+        "period", "year", "month", "status", "output_path",
+        own(bronze_count).cast("long").alias("bronze_count"),
+        own(silver_count).cast("long").alias("silver_count"),
+        own(bronze_count - silver_count).cast("long").alias("dropped_count"))

@@ -9,6 +9,7 @@ the benchmark.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,8 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is always
     used as given (as is a folder already set on the context).  Only when
-    neither is set (local tests) a private folder is created and set as the
-    context's checkpoint folder.
+    neither is set and the master is a single local process (tests) a private
+    folder is created; on any other master that is an error, since executors
+    would not see the driver's folder.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -54,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)  # for DataFrame.checkpoint()
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     # ``spark.checkpoint.dir`` is a core setting and cannot be changed on a
     # running session; the context's checkpoint folder can.
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="fareflow-ckpt-"))

@@ -2,12 +2,14 @@
 
 Bronze files drift between years: a fee column may be missing, a name may
 change case (``Airport_fee``), integer columns may be stored as doubles.
-Each month is read on its own and normalised to one canonical raw schema
-before months are combined, so a union never depends on file order.
+Months that store the same schema are read in one scan; every such group is
+normalised to one canonical raw schema before the groups are combined, so no
+month's columns depend on what another month stores.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Iterable
 
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareflow.schema import BRONZE_COLUMNS, FEE_COLUMNS
+from fareflow.sources.paths import child_folders
 
 # Canonical raw types after normalisation (wide enough for every known month).
 BRONZE_TYPES: dict[str, T.DataType] = {
@@ -84,40 +87,40 @@ def read_bronze_month(spark: SparkSession, base: str, year: int, month: int) ->
             .withColumn("month", F.lit(f"{int(month):02d}")))
 
 
+def stored_months(spark: SparkSession, base: str) -> list[tuple[int, int]]:
+    """(year, month) of every ``year=YYYY/month=MM`` folder, by listing alone."""
+    out = []
+    for y in child_folders(spark, base):
+        if y.startswith("year="):
+            out += [(int(y[5:]), int(m[6:])) for m in child_folders(spark, f"{base.rstrip('/')}/{y}")
+                    if m.startswith("month=")]
+    return out
+
+
 def read_bronze_months(spark: SparkSession, base: str,
                        months: Iterable[tuple[int, int]]) -> DataFrame:
-    """Several months in one scan; per-month scans only when types conflict.
-
-    One scan with schema merging covers the common drift: a column missing
-    in some months reads as NULL there (Silver fills fees with 0.0 either
-    way) and names differing only by case resolve to one column (analysis
-    is case-insensitive).  When months store a column with incompatible
-    types the merge fails; then each month is read and normalised on its
-    own and the months are concatenated (a narrow union, no shuffle).
+    """The listed months, whatever schema each of them stores.
+
+    One footer per month tells its schema (a month is one delivery).  Months
+    of equal schema are one scan, and each scan is normalised on its own, so
+    a fee that a month lacks is 0.0 and a column stored as another type is
+    cast, in every combination of months.  The union is narrow, and a filter
+    on ``year``/``month`` reaches every scan as a partition filter.
     """
     months = list(dict.fromkeys((int(y), int(m)) for y, m in months))
     if not months:
         raise ValueError("no months given")
     paths = [month_path(base, y, m) for y, m in months]
-    try:
-        raw = (spark.read.option("mergeSchema", "true").option("basePath", base.rstrip("/"))
-               .parquet(*paths))
-        return normalize_schema(raw, keep=("year", "month"))
-    except Exception as err:  # incompatible physical types between months
-        if "merge" not in str(err).lower() and "incompatible" not in str(err).lower():
-            raise
-    frames = [read_bronze_month(spark, base, y, m) for y, m in months]
+    with ThreadPoolExecutor(8) as pool:  # footer reads wait on storage, not on the driver
+        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, path in zip(schemas, paths):
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    frames = [normalize_schema(spark.read.schema(schema).option("basePath", base.rstrip("/")).parquet(*group),
+                               keep=("year", "month")) for schema, group in groups.values()]
     return reduce(DataFrame.unionByName, frames)
 
 
-
 def read_bronze_table(spark: SparkSession, base: str) -> DataFrame:
-    """All months under ``base`` in one scan (files sharing one schema).
-
-    ``year``/``month`` come from the partition folders as zero-padded
-    strings (partition type inference is off), so a filter on them prunes
-    folders before any file is opened.  For months whose files drift in
-    schema use ``read_bronze_months``.
-    """
-    raw = spark.read.option("basePath", base).parquet(base)
-    return normalize_schema(raw, keep=("year", "month"))
+    """All months under ``base`` (see ``read_bronze_months``)."""
+    return read_bronze_months(spark, base, stored_months(spark, base))

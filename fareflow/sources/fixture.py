@@ -1,7 +1,7 @@
 """Synthetic Bronze and zone lookup derived from the shared test tables.
 
-The test data holds no trips, so Bronze is derived from ``lineitem`` row for
-row (FIXTURES.md §4): every raw trip column is a deterministic expression of
+The test data holds no trips, so Bronze is derived from ``lineitem`` row by
+row (FIXTURES.md §4; one row in 499 is delivered twice): every raw trip column is a deterministic expression of
 one lineitem row and a hash ``h`` of its keys, with one modulus per special
 value so every rule and flag sees rows.  The Bronze partition (year, month)
 is the month of ``l_shipdate``.  The zone lookup (265 rows) is derived from
@@ -44,12 +44,14 @@ def bronze_from_lineitem(lineitem: DataFrame) -> DataFrame:
     step1 = base.select(
         "*",
         F.when(_m(101), None).when(_m(53), 6).otherwise(1 + hh % 2).alias("VendorID"),
+        # One in 331 a month early, one in 337 a month late.
         F.when(_m(401), None)
-         .otherwise(_ms(F.col("l_shipdate"), (hh % 86400) * 1000))
+         .otherwise(_ms(F.col("l_shipdate"), (hh % 86400) * 1000
+                        + F.when(_m(331), -2_678_400_000).when(_m(337), 2_678_400_000).otherwise(0)))
          .alias("tpep_pickup_datetime"),
         F.when(_m(37), None).when(_m(41), 0.0)
          .otherwise((1 + hh % 5).cast("double")).alias("passenger_count"),
-        F.when(_m(43), 0.0).when(_m(307), 150.0)
+        F.when(_m(347), None).when(_m(43), 0.0).when(_m(307), 150.0)
          .when(_m(149) | _m(151), 0.05)
          .otherwise(F.col("l_quantity") / 4.0).alias("trip_distance"),
         F.when(_m(37), None).when(_m(61), 7).when(_m(97), 99)
@@ -60,19 +62,19 @@ def bronze_from_lineitem(lineitem: DataFrame) -> DataFrame:
          .otherwise(1 + F.col("l_partkey") % ZONE_COUNT).alias("PULocationID"),
         F.when(_m(521), None).when(_m(137), 0).when(hh % 10 < 6, 1)
          .when(hh % 10 < 9, 2).otherwise(3 + hh % 4).alias("payment_type"),
-        F.when(_m(73), -5.0).when(_m(79), 0.0).when(_m(149) | _m(151), 150.0)
+        F.when(_m(353), None).when(_m(73), -5.0).when(_m(79), 0.0).when(_m(149) | _m(151), 150.0)
          .otherwise(F.floor(F.col("l_extendedprice") / 10.0) / 100.0)
          .alias("fare_amount"),
         F.when(_m(83), None).when(_m(89), -1.0)
          .otherwise(F.col("l_tax") * 10.0).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        F.when(hh % 10 < 6,
+        F.when(_m(359), -0.5).otherwise(0.5).alias("mta_tax"),
+        F.when(_m(367), -1.0).when(hh % 10 < 6,
                F.floor(F.col("l_extendedprice") * F.col("l_discount") / 10.0) / 100.0)
          .otherwise(0.0).alias("tip_amount"),
-        F.when(_m(17), 6.55).otherwise(0.0).alias("tolls_amount"),
-        F.lit(0.3).alias("improvement_surcharge"),
-        F.when(_m(3), 2.5).otherwise(0.0).alias("congestion_surcharge"),
-        F.when(_m(13), 1.25).otherwise(0.0).alias("Airport_fee"),
+        F.when(_m(373), -6.55).when(_m(17), 6.55).otherwise(0.0).alias("tolls_amount"),
+        F.when(_m(379), -0.3).otherwise(0.3).alias("improvement_surcharge"),
+        F.when(_m(383), -2.5).when(_m(3), 2.5).otherwise(0.0).alias("congestion_surcharge"),
+        F.when(_m(389), -1.25).when(_m(13), 1.25).otherwise(0.0).alias("Airport_fee"),
     )
     dropoff_ms = (F.when(_m(67), -60000).when(_m(71), 0).when(_m(227), 500)
                   .when(_m(211), 100000000).when(_m(223), 30000)
@@ -89,6 +91,8 @@ def bronze_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.year("l_shipdate").cast("string").alias("year"),
         zero_padded(F.month("l_shipdate"), 2).alias("month"),
     )
+    # One row in 499 is delivered twice.
+    step2 = step2.withColumn("_copy", F.explode(F.when(_m(499), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     return step2.select(
         "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime",
         "passenger_count", "trip_distance", "RatecodeID", "store_and_fwd_flag",
@@ -97,6 +101,25 @@ def bronze_from_lineitem(lineitem: DataFrame) -> DataFrame:
         "total_amount", "congestion_surcharge", "Airport_fee", "year", "month")
 
 
+def _first_year(df: DataFrame) -> DataFrame:
+    return df.drop("Airport_fee", "congestion_surcharge", "store_and_fwd_flag")
+
+
+def _second_year(df: DataFrame) -> DataFrame:
+    return (df.drop("Airport_fee").withColumnRenamed("extra", "Extra")
+            .withColumn("passenger_count", F.col("passenger_count").cast("long"))
+            .withColumn("RatecodeID", F.col("RatecodeID").cast("double"))
+            .withColumn("VendorID", F.col("VendorID").cast("int")))
+
+
+def _third_year(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("Airport_fee", "airport_fee")
+
+
+# How the first years are stored: columns missing, other case, other types.
+DRIFT = {"1992": _first_year, "1993": _second_year, "1994": _third_year}
+
+
 def zone_lookup(spark: SparkSession, nation: DataFrame, region: DataFrame) -> DataFrame:
     """The 265-row zone lookup in the published CSV's column names."""
     ids = spark.range(1, ZONE_COUNT + 1).select(F.col("id").cast("int").alias("id"))

@@ -6,55 +6,59 @@ adapter output (``sources.fixture``) is written once per test-data folder
 into the shared checkpoint folder in exactly that layout, and every query
 then reads those files with the ordinary scans (IO1, IO3).  The write is one
 narrow job; Spark's commit protocol makes it survive lost executors, and each
-landing is written to a private folder and renamed into place once complete
-(``paths.publish_once``), so a crashed or concurrent run never exposes a
-partial folder.
+landing is written to a private folder that is named by a pointer file once
+it is complete (``paths.publish_once``), so a crashed or concurrent run never
+exposes a partial folder.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import pkgutil
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from fareflow.session import checkpoint_dir
 from fareflow.sources import fixture
-from fareflow.sources.paths import path_exists, publish_once
+from fareflow.sources.bronze import stored_months
+from fareflow.sources.paths import fingerprint, publish_once
 
 MARKER = "_LANDED"
 # Bumped whenever the landed layout changes, so a new layout lands in a new
 # folder and nothing ever has to be deleted.
-LAYOUT_VERSION = "v2"
-
-
-def _key(sf_dir: str) -> str:
-    """Folder key: the test-data path, the size/mtime of its inputs and the
-    adapter code, so a changed adapter never reuses older landed files."""
-    parts = [LAYOUT_VERSION, _code_fingerprint(["sources/fixture.py"]), os.path.abspath(sf_dir)]
-    for t in ("lineitem", "nation", "region"):
-        p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            parts.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+LAYOUT_VERSION = "v3"
+
+
+def _key(spark: SparkSession, sf_dir: str) -> str:
+    """Folder key: path, size and change time of the inputs (asked of their
+    own file system) and the adapter code, so changed inputs or a changed
+    adapter never reuse older landed files."""
+    parts = [LAYOUT_VERSION, _code_fingerprint(["sources/fixture.py", "sources/landing.py"])]
+    parts += [fingerprint(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "nation", "region")]
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def landing_root(spark: SparkSession, sf_dir: str) -> str:
-    return f"{checkpoint_dir(spark)}/fareflow/landing/{_key(sf_dir)}"
+    return f"{checkpoint_dir(spark)}/fareflow/landing/{_key(spark, sf_dir)}"
 
 
 def land_bronze(spark: SparkSession, sf_dir: str, base: str) -> None:
     """Write the adapter's Bronze rows under ``base/year=YYYY/month=MM/``.
 
-    The adapter rows are not month-aligned; rebalancing on the partition
-    columns gives each month few files, and AQE splits a hot month over
-    several tasks instead of sending it to one.
+    The first years are stored as older deliveries were (``DRIFT``): without
+    some columns, with another name case, with integer counts.  The adapter
+    rows are not month-aligned; rebalancing on the partition columns gives
+    each month few files, and AQE splits a hot month over several tasks
+    instead of sending it to one.
     """
-    (fixture.read_fixture_bronze(spark, sf_dir).hint("rebalance", "year", "month")
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "static")
-     .partitionBy("year", "month").parquet(base))
+    rows = fixture.read_fixture_bronze(spark, sf_dir)
+    plain = rows
+    for year, shape in fixture.DRIFT.items():
+        plain = plain.where(F.col("year") != year)
+        (shape(rows.where(F.col("year") == year)).hint("rebalance", "year", "month")
+         .write.mode("append").partitionBy("year", "month").parquet(base))
+    plain.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(base)
 
 
 def bronze_base(spark: SparkSession, sf_dir: str) -> str:
@@ -70,11 +74,9 @@ _SILVER_CODE = ["session.py", "schema.py", "functions/expressions.py", "function
 
 
 def _code_fingerprint(files: list[str]) -> str:
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
     for rel in files:
-        with open(os.path.join(root, rel), "rb") as f:
-            h.update(rel.encode() + b"\0" + f.read())
+        h.update(rel.encode() + b"\0" + pkgutil.get_data("fareflow", rel))
     return h.hexdigest()[:12]
 
 
@@ -82,19 +84,33 @@ def silver_base(spark: SparkSession, sf_dir: str) -> str:
     """Silver table (``year=/month=`` partitions) built once by the month batch
     job from the landed Bronze, as the published table the queries read."""
     from fareflow.plans.silver_job import run_silver_job
-    from fareflow.sources.bronze import read_bronze_table
 
     bronze = bronze_base(spark, sf_dir)
-    base = f"{landing_root(spark, sf_dir)}/silver/trips-{_code_fingerprint(_SILVER_CODE)}"
-    if path_exists(spark, f"{base}/{MARKER}"):
-        return base
-    # The month list is configuration-sized (one row per month).
-    months = [(int(r["year"]), int(r["month"])) for r in
-              read_bronze_table(spark, bronze).select("year", "month").distinct().collect()]
+    target = f"{landing_root(spark, sf_dir)}/silver/trips-{_code_fingerprint(_SILVER_CODE)}"
     return publish_once(
-        spark, base,
-        lambda folder: run_silver_job(spark, bronze, folder, months, force=True).collect(),
+        spark, target,
+        lambda folder: run_silver_job(spark, bronze, folder, stored_months(spark, bronze), force=True),
+        MARKER)
+
+
+_GOLD_CODE = _SILVER_CODE + ["operators/dims.py", "operators/fact.py", "operators/marts.py",
+                             "plans/joins.py", "plans/gold_build.py"]
+
+
+def gold_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Folders of all Gold tables, built once from the published Silver."""
+    from fareflow.plans import gold_build
+    from fareflow.sources.tables import read_partitioned
+    from fareflow.sources.zones import read_zone_lookup
+
+    silver, zones = silver_base(spark, sf_dir), zone_csv(spark, sf_dir)
+    target = f"{landing_root(spark, sf_dir)}/gold/{_code_fingerprint(_GOLD_CODE)}"
+    base = publish_once(
+        spark, target,
+        lambda folder: gold_build.build_gold(spark, read_partitioned(spark, silver),
+                                             read_zone_lookup(spark, zones), folder),
         MARKER)
+    return gold_build.table_paths(base)
 
 
 def zone_csv(spark: SparkSession, sf_dir: str) -> str:

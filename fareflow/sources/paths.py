@@ -7,6 +7,7 @@ driver's local disk.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -29,6 +30,31 @@ def has_parquet_files(spark: SparkSession, path: str) -> bool:
     return any(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(p))
 
 
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """True if any ``.parquet`` file lies under ``path``, at any depth."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file (overwrites an existing one)."""
     fs, p = _fs(spark, path)
@@ -36,28 +62,69 @@ def touch(spark: SparkSession, path: str) -> None:
 
 
 def publish_once(spark: SparkSession, target: str, write, marker: str = "_LANDED") -> str:
-    """Build ``target`` once, atomically.
-
-    ``write(folder)`` fills a private temporary folder next to ``target``;
-    the folder is marked complete and then renamed into place.  A rename of
-    a folder is atomic on HDFS and local file systems, so readers never see a
-    partial result, a crashed run leaves only an unused temporary folder,
-    and when two runs race the first rename wins and the other's copy is
-    simply not used.
+    """Build a table once and return the folder that holds it.
+
+    ``write(folder)`` fills a private folder beside ``target``.  A finished
+    folder is published by creating the pointer file ``target/<marker>``,
+    exclusively, with the folder's name in it.  Nothing is ever renamed or
+    rebuilt in place: readers follow the pointer to a complete folder, a
+    crashed run leaves one that no pointer names, and of two writers that
+    race the one that finds the pointer made uses the other's folder and
+    deletes its own.
     """
     import uuid
 
-    fs, p = _fs(spark, target)
-    if fs.exists(p.suffix(f"/{marker}")):
-        return target
-    if fs.exists(p):  # an unmarked folder from an older run: rebuild in place
-        write(target)
-        touch(spark, f"{target}/{marker}")
-        return target
-    tmp = f"{target}.__tmp_{uuid.uuid4().hex}"
-    write(tmp)
-    touch(spark, f"{tmp}/{marker}")
-    fs.mkdirs(p.getParent())
-    _, tp = _fs(spark, tmp)
-    fs.rename(tp, p)
-    return target
+    pointer = f"{target.rstrip('/')}/{marker}"
+    found = _pointed(spark, pointer)
+    if found:
+        return f"{target.rstrip('/')}/{found}"
+    name = f"v-{uuid.uuid4().hex}"
+    write(f"{target.rstrip('/')}/{name}")
+    fs, p = _fs(spark, pointer)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError:
+        if not fs.exists(p):
+            raise
+        found = _pointed(spark, pointer, wait=60)
+        delete_folder(spark, f"{target.rstrip('/')}/{name}")
+        return f"{target.rstrip('/')}/{found}"
+    out.write(bytearray(name.encode()))
+    out.close()
+    return f"{target.rstrip('/')}/{name}"
+
+
+def _pointed(spark: SparkSession, pointer: str, wait: float = 0) -> str | None:
+    """Name in the pointer file; None if there is no pointer.
+
+    The file exists a moment before its content does, so an empty one is
+    read again for at most ``wait`` seconds (always a few).
+    """
+    import time
+
+    fs, p = _fs(spark, pointer)
+    end = time.monotonic() + max(wait, 5)
+    while fs.exists(p):
+        stream = fs.open(p)
+        try:
+            text = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        if text:
+            return text
+        if time.monotonic() > end:
+            raise TimeoutError(f"{pointer} names no folder")
+        time.sleep(0.1)
+    return None
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """What a file or folder holds, told by its qualified path, size and newest change."""
+    fs, p = _fs(spark, path)
+    newest = size = 0
+    if fs.exists(p):
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            newest, size = max(newest, f.getModificationTime()), size + f.getLen()
+    return f"{fs.makeQualified(p).toString()}:{size}:{newest}"

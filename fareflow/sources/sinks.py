@@ -6,22 +6,49 @@ retried, and only committed files become visible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import Iterable
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from fareflow.session import configure
+from fareflow.sources.bronze import month_path
+from fareflow.sources.paths import delete_folder, touch
+
+
+MONTH_DONE = "_DONE"
+
 
+def write_month_partitions(df: DataFrame, base: str,
+                           months: Iterable[tuple[int, int]] | None = None) -> None:
+    """IO7: replace (year, month) partitions; others keep their files.
 
-def write_month_partitions(df: DataFrame, base: str) -> None:
-    """IO7: replace exactly the (year, month) partitions present in ``df``.
+    Without ``months`` exactly the partitions present in ``df`` are replaced
+    (dynamic partition overwrite).  With ``months`` each listed month is
+    replaced: one that got no row loses the rows it had, and every listed
+    month gets a marker that says it is done, so a month whose rows were all
+    rejected is not pending for ever.  Markers go before the write and come
+    back after it, so a run that breaks off leaves its months pending.
 
-    Dynamic partition overwrite: partitions not in ``df`` keep their files.
     Rows are not shuffled to their partition; each task writes the months it
-    holds (input files are per month, so that is usually one), sorted by the
-    partition columns, with ``maxRecordsPerFile`` bounding file size.
+    holds (input files are per month, so that is usually one), with
+    ``maxRecordsPerFile`` bounding file size.
     """
-    configure(df.sparkSession)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    spark = configure(df.sparkSession)
+    listed = [] if months is None else list(dict.fromkeys((int(y), int(m)) for y, m in months))
+    for y, m in listed:
+        delete_folder(spark, f"{month_path(base, y, m)}{MONTH_DONE}")
+    seen = Observation()
+    # The set of months with rows: at most the number of listed months.
+    watched = df.observe(seen, F.collect_set(F.concat_ws("-", "year", "month")).alias("months")) if listed else df
+    (watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month").parquet(base))
+    if listed:
+        filled = set(seen.get["months"])
+        for y, m in listed:
+            if f"{y:04d}-{m:02d}" not in filled:
+                delete_folder(spark, month_path(base, y, m))
+            touch(spark, f"{month_path(base, y, m)}{MONTH_DONE}")
 
 
 def write_table(df: DataFrame, path: str) -> None:

@@ -4,10 +4,9 @@ Written as plain SQL from the documented semantics, not generated from the
 Spark code.  Only the driver's views exist in DuckDB, so the Bronze adapter,
 Silver, Gold and zone lookup are inlined as ``WITH`` prefixes.
 
-Conventions shared with the Spark side: sums and averages of doubles in
-micro-unit fixed point (``fsum``), integer sums cast to BIGINT, integer casts
-of doubles via ``trunc`` (Spark truncates, DuckDB rounds), numbers in E
-notation.
+Sums and averages of doubles are the engine's own, rounded in the
+output (sums to 4, averages to 6 digits, half-way cases upwards).  Integer sums are cast to BIGINT, doubles become integers via
+``trunc`` (Spark truncates, DuckDB rounds), numbers are in E notation.
 """
 
 from __future__ import annotations
@@ -22,30 +21,33 @@ b1 AS (
   SELECT li.*,
     CASE WHEN h%101=0 THEN NULL WHEN h%53=0 THEN 6 ELSE 1+h%2 END AS VendorID,
     CASE WHEN h%401=0 THEN NULL
-         ELSE l_shipdate + to_milliseconds((h%86400)*1000) END AS tpep_pickup_datetime,
+         ELSE l_shipdate + to_milliseconds((h%86400)*1000 + CASE WHEN h%331=0 THEN -2678400000
+           WHEN h%337=0 THEN 2678400000 ELSE 0 END) END AS tpep_pickup_datetime,
     CASE WHEN h%37=0 THEN NULL WHEN h%41=0 THEN 0E0
          ELSE CAST(1+h%5 AS DOUBLE) END AS passenger_count,
-    CASE WHEN h%43=0 THEN 0E0 WHEN h%307=0 THEN 1.5E2
+    CASE WHEN h%347=0 THEN NULL WHEN h%43=0 THEN 0E0 WHEN h%307=0 THEN 1.5E2
          WHEN h%149=0 OR h%151=0 THEN 5E-2 ELSE l_quantity/4E0 END AS trip_distance,
     CASE WHEN h%37=0 THEN NULL WHEN h%61=0 THEN 7 WHEN h%97=0 THEN 99
          ELSE 1+h%6 END AS RatecodeID,
-    CASE WHEN h%37=0 THEN NULL WHEN h%199=0 THEN 'X' WHEN h%29=0 THEN 'Y'
+    CASE WHEN year(l_shipdate) = 1992 OR h%37=0 THEN NULL WHEN h%199=0 THEN 'X' WHEN h%29=0 THEN 'Y'
          ELSE 'N' END AS store_and_fwd_flag,
     CASE WHEN h%503=0 THEN NULL WHEN h%251=0 THEN 300
          ELSE 1+l_partkey%265 END AS PULocationID,
     CASE WHEN h%521=0 THEN NULL WHEN h%137=0 THEN 0 WHEN h%10<6 THEN 1
          WHEN h%10<9 THEN 2 ELSE 3+(h%4) END AS payment_type,
-    CASE WHEN h%73=0 THEN -5E0 WHEN h%79=0 THEN 0E0 WHEN h%149=0 OR h%151=0 THEN 1.5E2
+    CASE WHEN h%353=0 THEN NULL WHEN h%73=0 THEN -5E0 WHEN h%79=0 THEN 0E0 WHEN h%149=0 OR h%151=0 THEN 1.5E2
          ELSE floor(l_extendedprice/1E1)/1E2 END AS fare_amount,
     CASE WHEN h%83=0 THEN NULL WHEN h%89=0 THEN -1E0 ELSE l_tax*1E1 END AS extra,
-    5E-1 AS mta_tax,
-    CASE WHEN h%10<6 THEN floor(l_extendedprice*l_discount/1E1)/1E2
+    CASE WHEN h%359=0 THEN -5E-1 ELSE 5E-1 END AS mta_tax,
+    CASE WHEN h%367=0 THEN -1E0 WHEN h%10<6 THEN floor(l_extendedprice*l_discount/1E1)/1E2
          ELSE 0E0 END AS tip_amount,
-    CASE WHEN h%17=0 THEN 6.55E0 ELSE 0E0 END AS tolls_amount,
-    3E-1 AS improvement_surcharge,
-    CASE WHEN h%3=0 THEN 2.5E0 ELSE 0E0 END AS congestion_surcharge,
-    CASE WHEN h%13=0 THEN 1.25E0 ELSE 0E0 END AS Airport_fee
-  FROM li
+    CASE WHEN h%373=0 THEN -6.55E0 WHEN h%17=0 THEN 6.55E0 ELSE 0E0 END AS tolls_amount,
+    CASE WHEN h%379=0 THEN -3E-1 ELSE 3E-1 END AS improvement_surcharge,
+    CASE WHEN year(l_shipdate) = 1992 THEN 0E0 WHEN h%383=0 THEN -2.5E0
+         WHEN h%3=0 THEN 2.5E0 ELSE 0E0 END AS congestion_surcharge,
+    CASE WHEN year(l_shipdate) <= 1993 THEN 0E0 WHEN h%389=0 THEN -1.25E0
+         WHEN h%13=0 THEN 1.25E0 ELSE 0E0 END AS Airport_fee
+  FROM (SELECT * FROM li UNION ALL SELECT * FROM li WHERE h%499=0) li
 ),
 bronze AS (
   SELECT VendorID, tpep_pickup_datetime,
@@ -173,12 +175,12 @@ fact_trip AS (
   SELECT
     upper(md5(concat_ws('|',
       coalesce(CAST(vendor_id AS VARCHAR), ''),
-      coalesce(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S.%g'), ''),
-      coalesce(strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S.%g'), ''),
+      coalesce(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S.%f'), ''),
+      coalesce(strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S.%f'), ''),
       coalesce(CAST(pickup_location_id AS VARCHAR), ''),
       coalesce(CAST(dropoff_location_id AS VARCHAR), ''),
-      coalesce(CAST(CAST(fare_amount AS DECIMAL(18,4)) AS VARCHAR), ''),
-      coalesce(CAST(CAST(total_amount AS DECIMAL(18,4)) AS VARCHAR), ''),
+      coalesce(CAST(TRY_CAST(fare_amount AS DECIMAL(38,10)) AS VARCHAR), CAST(fare_amount AS VARCHAR), ''),
+      coalesce(CAST(TRY_CAST(total_amount AS DECIMAL(38,10)) AS VARCHAR), CAST(total_amount AS VARCHAR), ''),
       coalesce(year, ''),
       coalesce(month, '')))) AS trip_id,
     pickup_datetime, dropoff_datetime,
@@ -266,8 +268,12 @@ def with_bronze(body: str) -> str:
 
 
 def fsum(expr: str) -> str:
-    """Fixed-point sum: values rounded half-up to micro-units, then summed."""
-    return f"(sum(floor(({expr})*1E6 + 5E-1)) / 1E6)"
+    """Native sum, rounded in the output."""
+    return f"round(sum({expr}), 4)"
+
+
+def fmean(expr: str) -> str:
+    return f"round(avg({expr}) + 1E-9, 6)"
 
 
 def msum(expr: str, alias: str) -> str:
@@ -275,7 +281,7 @@ def msum(expr: str, alias: str) -> str:
 
 
 def mavg(expr: str, alias: str) -> str:
-    return f"({fsum(expr)} / count({expr})) AS {alias}"
+    return f"{fmean(expr)} AS {alias}"
 
 
 def isum(expr: str, alias: str) -> str:
@@ -380,10 +386,6 @@ QUERIES["dc2_rejected_rows"] = with_bronze(
 
 # ---- profiling ----------------------------------------------------------------------
 
-def fmean(expr: str) -> str:
-    return f"({fsum(expr)} / count({expr}))"
-
-
 PF1 = f"""
   count(*) AS total_rows,
   count(DISTINCT VendorID) AS distinct_vendor_count,
@@ -499,8 +501,8 @@ QUERIES["pf7_monthly_summary"] = with_bronze(
 QUERIES["dc6_quality_gate"] = with_bronze("," + MONTHLY_SUMMARY + """
 SELECT period, year, month, total_rows, critical_issue_count,
   critical_issue_count / total_rows AS critical_issue_ratio,
-  1E-1 AS max_critical_ratio,
-  CASE WHEN critical_issue_count / total_rows <= 1E-1 THEN 'passed' ELSE 'failed' END AS gate
+  1.25E-1 AS max_critical_ratio,
+  CASE WHEN critical_issue_count / total_rows <= 1.25E-1 THEN 'passed' ELSE 'failed' END AS gate
 FROM monthly_summary""")
 QUERIES["dc5_volume_checks"] = with_gold("""
 SELECT 'bronze_row_count' AS "check", count(*) AS row_count FROM nbronze
@@ -593,6 +595,20 @@ QUERIES["mt5_airport_trip_summary"] = with_gold(MARTS["mart_airport_trip_summary
 
 # ---- ad-hoc queries ------------------------------------------------------------------------
 
+QUERIES["aq0_smoke_read"] = with_silver("""
+SELECT vendor_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance,
+  fare_amount, total_amount, pickup_location_id, dropoff_location_id, payment_type, year, month
+FROM silver
+ORDER BY ALL NULLS FIRST
+LIMIT 25""")
+
+# Group sizes stay below the accuracy of the quantile sketch, where it is exact.
+QUERIES["dc1_distribution_profile"] = with_silver("SELECT year, month, " + ", ".join(
+    f"quantile_disc({c}, {p}) AS {c}_p{n}" for c, ps in (
+        ("trip_distance", ((5E-1, "50"), (9.5E-1, "95"), (9.9E-1, "99"), (9.99E-1, "999"))),
+        ("trip_duration_minutes", ((9.5E-1, "95"), (9.9E-1, "99"), (9.99E-1, "999"))))
+    for p, n in ps) + " FROM silver GROUP BY year, month")
+
 QUERIES["aq1_monthly_trip_summary"] = with_silver(f"""
 SELECT year, month, count(*) AS trip_count,
   {msum('total_amount', 'total_revenue')},
@@ -644,25 +660,59 @@ WHERE "rank" <= 10""")
 
 # ---- batch scope -----------------------------------------------------------------------------
 
-_LANDED = "(SELECT DISTINCT year, month FROM bronze)"
-QUERIES["io7_silver_partitions_read_back"] = with_silver("SELECT * FROM silver")
-QUERIES["dc7_run_summary"] = with_silver(f"""
-SELECT m.year || '-' || m.month AS period, m.year, m.month, 'written' AS status,
-  (SELECT count(*) FROM bronze) AS job_bronze_count,
-  (SELECT count(*) FROM silver) AS job_silver_count,
-  (SELECT count(*) FROM bronze) - (SELECT count(*) FROM silver) AS job_dropped_count
-FROM {_LANDED} m""")
+# The stored months and the one after the last of them.
+_ASKED = """(SELECT year, month FROM (SELECT DISTINCT year, month FROM bronze) UNION ALL
+  SELECT CAST(year(d) AS VARCHAR), lpad(CAST(month(d) AS VARCHAR), 2, '0')
+  FROM (SELECT max(make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), 1)) + INTERVAL 1 MONTH AS d FROM bronze))"""
+QUERIES["io7_silver_partitions_read_back"] = with_silver(
+    "SELECT * FROM silver WHERE year || month > (SELECT min(year || month) FROM bronze)")
+QUERIES["dc7_run_summary"] = with_silver("""
+SELECT b.year || '-' || b.month AS period, b.year, b.month,
+  CASE WHEN first THEN 'skipped' ELSE 'written' END AS status,
+  CASE WHEN NOT first THEN n END AS bronze_count,
+  CASE WHEN NOT first THEN coalesce(k, 0) END AS silver_count,
+  CASE WHEN NOT first THEN n - coalesce(k, 0) END AS dropped_count
+FROM (SELECT year, month, count(*) AS n, year = (SELECT min(year) FROM bronze) AS first
+      FROM bronze GROUP BY year, month) b
+LEFT JOIN (SELECT year, month, count(*) AS k FROM silver GROUP BY year, month) s
+  ON s.year = b.year AND s.month = b.month""")
+QUERIES["sn2_missing_columns"] = with_bronze(f"""
+SELECT year, month, count(airport_fee) AS airport_fee_values, {msum('airport_fee', 'airport_fee_sum')},
+  count(congestion_surcharge) AS congestion_values, {msum('congestion_surcharge', 'congestion_sum')},
+  count(store_and_fwd_flag) AS flag_values, {msum('extra', 'extra_sum')},
+  {msum('passenger_count', 'passenger_sum')}
+FROM nbronze GROUP BY year, month""")
+QUERIES["io5_visible_years"] = with_silver("""
+SELECT year, month, count(*) AS trip_count FROM silver
+WHERE year BETWEEN '1994' AND '1996' GROUP BY year, month""")
+QUERIES["io8_gold_mart_read_back"] = with_gold(MARTS["mart_payment_behavior"])
+QUERIES["io9_gold_fact_read_back"] = with_gold("SELECT * FROM fact_trip")
+QUERIES["io12_profile_details_read_back"] = QUERIES["pf3_critical_quality"]
+QUERIES["io13_profile_summary_read_back"] = QUERIES["pf7_monthly_summary"]
+QUERIES["bm4_january_scope"] = with_silver(f"""
+SELECT year, month, count(*) AS trip_count, {msum('total_amount', 'total_revenue')}
+FROM silver WHERE month = '01' GROUP BY year, month""")
 QUERIES["bm5_pending_months"] = with_silver(f"""
-SELECT m.year || '-' || m.month AS period, m.year, m.month
-FROM {_LANDED} m
-WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.year = m.year AND s.month = m.month)""")
+SELECT m.year || '-' || m.month AS period, m.year, m.month,
+  CASE WHEN EXISTS (SELECT 1 FROM bronze b WHERE b.year = m.year AND b.month = m.month)
+       THEN 'done' ELSE 'pending' END AS status
+FROM {_ASKED} m""")
 QUERIES["bm6_partition_coverage"] = with_silver(f"""
 SELECT m.year || '-' || m.month AS period, m.year, m.month,
   CAST(coalesce(c.n, 0) AS BIGINT) AS trip_count,
   CASE WHEN coalesce(c.n, 0) > 0 THEN 'passed' ELSE 'failed' END AS validation
-FROM {_LANDED} m
+FROM {_ASKED} m
 LEFT JOIN (SELECT year, month, count(*) AS n FROM silver GROUP BY year, month) c
   ON c.year = m.year AND c.month = m.month""")
+QUERIES["bm7_gold_completeness"] = with_gold("""
+SELECT 'table_has_data' AS "check", t.target, true AS passed
+FROM (VALUES ('dim_date'), ('dim_hour'), ('dim_payment_type'), ('dim_rate_code'), ('dim_vendor'),
+  ('dim_zone'), ('fact_trip'), ('mart_daily_trip_revenue'), ('mart_hourly_demand'),
+  ('mart_pickup_zone_performance'), ('mart_payment_behavior'), ('mart_airport_trip_summary')) t(target)
+UNION ALL
+SELECT 'fact_month_present', m.year || '-' || m.month,
+  EXISTS (SELECT 1 FROM fact_trip f WHERE f.year = m.year AND f.month = m.month)
+FROM """ + _ASKED + " m")
 
 
 # ---- assertions ----------------------------------------------------------------------------------
@@ -710,6 +760,7 @@ def _register_assertions():
     QUERIES["qt_core_assertions"] = assertions_sql(checks.CORE_ASSERTIONS)
     QUERIES["qt_mart_assertions"] = assertions_sql(checks.MART_ASSERTIONS)
     QUERIES["qt5_default_selection"] = assertions_sql(checks.default_selection())
+    QUERIES["qt_domain_assertions"] = assertions_sql(checks.SILVER_ASSERTIONS)
 
 
 _register_assertions()

@@ -1,4 +1,4 @@
-"""Invariants across layers and the published fixture counts (FIXTURES.md)."""
+"""Invariants across layers, and layer counts against the independent SQL."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,18 +8,29 @@ from fareflow.plans import layers as L
 
 from conftest import SF_SMALL
 
-# Expected counts at sf0.001 from FIXTURES.md.
-EXPECTED_SF0001 = {
-    "bronze": 6000, "silver": 5259,
-    "is_invalid_vendor": 107, "is_invalid_payment_type_domain": 42,
-    "is_invalid_ratecode": 95, "is_invalid_store_and_fwd_flag": 30,
-    "is_pickup_location_out_of_range": 20, "is_dropoff_location_out_of_range": 25,
-    "is_very_long_distance": 17, "is_very_long_duration": 26,
-    "same_pickup_dropoff_zone": 200, "is_extreme_speed": 118,
-    "is_fare_distance_mismatch": 65, "is_distance_duration_mismatch": 16,
-    "is_same_zone_high_fare": 34, "outlier_true": 186, "outlier_null": 21,
-    "mt1_dates": 2184,
-}
+FLAGS = ["is_invalid_vendor", "is_invalid_payment_type_domain", "is_invalid_ratecode",
+         "is_invalid_store_and_fwd_flag", "is_pickup_location_out_of_range",
+         "is_dropoff_location_out_of_range", "is_very_long_distance", "is_very_long_duration",
+         "same_pickup_dropoff_zone", "is_extreme_speed", "is_fare_distance_mismatch",
+         "is_distance_duration_mismatch", "is_same_zone_high_fare"]
+
+
+@pytest.fixture(scope="module")
+def expected():
+    """The same counts from the independent SQL."""
+    from oracle.sql import with_gold
+    from oracle_compare import duck
+    flags = ", ".join(f"count(*) FILTER (WHERE {f}) AS {f}" for f in FLAGS)
+    sql = with_gold(f"""
+SELECT (SELECT count(*) FROM bronze) AS bronze, count(*) AS silver, {flags},
+  count(*) FILTER (WHERE is_analytical_outlier) AS outlier_true,
+  count(*) FILTER (WHERE is_analytical_outlier IS NULL) AS outlier_null,
+  count(*) FILTER (WHERE extra < 0) AS extra_negative,
+  (SELECT count(*) FROM dim_date) AS mt1_dates,
+  CAST(sum(CAST(total_amount AS DECIMAL(18,4))) AS VARCHAR) AS total
+FROM silver""")
+    got = duck(SF_SMALL).execute(sql)
+    return dict(zip([d[0] for d in got.description], got.fetchone()))
 
 
 @pytest.fixture(scope="module")
@@ -29,39 +40,43 @@ def layers(spark):
     return bronze, silver
 
 
-def test_fixture_counts(spark, layers):
+def test_fixture_counts(spark, layers, expected):
     bronze, silver = layers
-    e = EXPECTED_SF0001
-    assert bronze.count() == e["bronze"]
-    assert silver.count() == e["silver"]
-    flags = [k for k in e if k.startswith(("is_", "same_"))]
-    got = silver.agg(*[F.sum(F.col(f).cast("int")).alias(f) for f in flags],
-                     F.sum((F.col("is_analytical_outlier") == True).cast("int")).alias("t"),  # noqa: E712
-                     F.sum(F.col("is_analytical_outlier").isNull().cast("int")).alias("n")).first()
-    for f in flags:
-        assert got[f] == e[f], f
-    assert (got["t"], got["n"]) == (e["outlier_true"], e["outlier_null"])
-    extra_negative = silver.filter(F.col("extra") < 0).count()
-    assert extra_negative == 61
-    total = silver.agg(F.sum(F.col("total_amount").cast("decimal(18,4)"))).first()[0]
-    assert str(total) == "287027.5900"
-
-
-def test_silver_plus_rejected_is_bronze(layers):
+    assert bronze.count() == expected["bronze"]
+    got = silver.agg(
+        F.count(F.lit(1)).alias("silver"), *[F.count(F.when(F.col(f), 1)).alias(f) for f in FLAGS],
+        F.count(F.when(F.col("is_analytical_outlier"), 1)).alias("outlier_true"),
+        F.count(F.when(F.col("is_analytical_outlier").isNull(), 1)).alias("outlier_null"),
+        F.count(F.when(F.col("extra") < 0, 1)).alias("extra_negative"),
+        F.sum(F.col("total_amount").cast("decimal(18,4)")).cast("string").alias("total")).first().asDict()
+    assert got == {k: expected[k] for k in got}
+    assert all(got[f] > 0 for f in FLAGS)
+
+
+def test_every_rule_and_check_can_fail(layers):
+    bronze, _ = layers
+    row = sv.rule_failure_counts(bronze).drop("year", "month").groupBy().sum().first()
+    assert min(row) > 0 and len(row) == 16
+    warned = pf.warning_quality(bronze).drop("year", "month").groupBy().sum().first()
+    assert min(warned) > 0
+
+
+def test_silver_plus_rejected_is_bronze(layers, expected):
     bronze, silver = layers
     assert silver.count() + sv.rejected(bronze).count() == bronze.count()
     rc = sv.reconcile(bronze).agg(F.sum("bronze_count"), F.sum("silver_count"),
                                   F.sum("dropped_count")).first()
-    assert tuple(rc) == (6000, 5259, 741)
+    n, k = expected["bronze"], expected["silver"]
+    assert tuple(rc) == (n, k, n - k)
 
 
-def test_mart_totals_equal_fact_rows(spark, layers):
+def test_mart_totals_equal_fact_rows(spark, layers, expected):
     _, silver = layers
     fact = fact_ops.fact_trip(silver)
     n = fact.count()
     assert n == silver.count() - silver.filter("is_analytical_outlier").count()
     mt1 = marts.mart_daily_trip_revenue(fact, dims.dim_date(silver))
-    assert mt1.count() == EXPECTED_SF0001["mt1_dates"]
+    assert mt1.count() == expected["mt1_dates"]
     assert mt1.agg(F.sum("total_trips")).first()[0] == n
     mt5 = marts.mart_airport_trip_summary(fact, L.dim_zone(spark, SF_SMALL))
     in_range = fact.filter(F.col("pickup_location_id").between(1, 265)
@@ -69,11 +84,12 @@ def test_mart_totals_equal_fact_rows(spark, layers):
     assert mt5.agg(F.sum("total_trips")).first()[0] == in_range
 
 
-def test_distributions_sum_to_rows(layers):
+def test_distributions_sum_to_rows(layers, expected):
     bronze, _ = layers
+    n = expected["bronze"]
     for c in pf.DISTRIBUTION_COLUMNS:
-        assert pf.distribution(bronze, c).agg(F.sum("total_rows")).first()[0] == 6000
-    assert pf.distributions(bronze).agg(F.sum("total_rows")).first()[0] == 4 * 6000
+        assert pf.distribution(bronze, c).agg(F.sum("total_rows")).first()[0] == n
+    assert pf.distributions(bronze).agg(F.sum("total_rows")).first()[0] == 4 * n
 
 
 def test_quantile_profile_is_ordered(layers):

@@ -60,11 +60,23 @@ def test_read_months_across_drift(spark, scratch):
     df = read_bronze_months(spark, base, [(2019, 1), (2020, 3), (2024, 1)])
     counts = {(r.year, r.month): r["count"] for r in df.groupBy("year", "month").count().collect()}
     assert counts == {("2019", "01"): 40, ("2020", "03"): 30, ("2024", "01"): 50}
-    fees = df.filter("year = '2020'").agg(F.max("airport_fee")).first()[0]
-    assert fees in (None, 0.0)
+    lacking = df.filter("year = '2020'").agg(F.min("airport_fee"), F.max("airport_fee"), F.count("airport_fee"),
+                                             F.count("store_and_fwd_flag")).first()
+    assert tuple(lacking) == (0.0, 0.0, 30, 0)
 
 
-def test_merged_read_with_conflicting_types_falls_back(spark, scratch):
+@pytest.mark.parametrize("order", [[2019, 2020, 2021], [2021, 2020, 2019], [2020, 2019, 2021]])
+def test_no_month_decides_the_columns_of_another(spark, scratch, order):
+    from fareflow.sources.bronze import read_bronze_table
+    base = f"{scratch}/bronze"
+    for y in order:
+        raw = _raw_month(spark, y, 1, 3, "plain").withColumn("airport_fee", F.lit(1.25))
+        (raw if y == 2020 else raw.drop("airport_fee")).write.parquet(month_path(base, y, 1))
+    for df in (read_bronze_table(spark, base), read_bronze_months(spark, base, [(y, 1) for y in order])):
+        assert dict(df.groupBy("year").agg(F.sum("airport_fee")).collect()) == {"2019": 0.0, "2020": 3.75, "2021": 0.0}
+
+
+def test_months_of_conflicting_types_are_read_together(spark, scratch):
     base = f"{scratch}/bronze"
     land(spark, base, DRIFT)
     # force a real type conflict: a month with passenger_count as string
@@ -80,7 +92,8 @@ def test_silver_job_overwrites_one_month_and_skips_done(spark, scratch):
     land(spark, bronze, DRIFT)
     summary = run_silver_job(spark, bronze, silver, [(2019, 1), (2020, 3)]).collect()
     assert {r.status for r in summary} == {"written"}
-    assert summary[0].job_bronze_count == 70 and summary[0].job_silver_count == 70
+    assert {r.period: (r.bronze_count, r.silver_count, r.dropped_count) for r in summary} == {
+        "2019-01": (40, 40, 0), "2020-03": (30, 30, 0)}
     # second run skips both, third run (force) rewrites only 2019-01
     again = run_silver_job(spark, bronze, silver, [(2019, 1), (2020, 3)]).collect()
     assert {r.status for r in again} == {"skipped"}
@@ -93,6 +106,32 @@ def test_silver_job_overwrites_one_month_and_skips_done(spark, scratch):
     assert dict(table.groupBy("month").count().collect()) == {"01": 40, "03": 30}
 
 
+def test_a_month_that_becomes_empty_loses_its_rows_and_is_done(spark, scratch):
+    bronze, silver = f"{scratch}/bronze", f"{scratch}/silver"
+    land(spark, bronze, DRIFT)
+    run_silver_job(spark, bronze, silver, [(2019, 1), (2020, 3)]).collect()
+    (_raw_month(spark, 2020, 3, 30, "plain").withColumn("trip_distance", F.lit(0.0))
+     .write.mode("overwrite").parquet(month_path(bronze, 2020, 3)))
+    again = run_silver_job(spark, bronze, silver, [(2020, 3)], force=True).first()
+    assert (again.status, again.bronze_count, again.silver_count, again.dropped_count) == ("written", 30, 0, 30)
+    table = read_partitioned(spark, silver)
+    assert table.count() == 40 and table.filter("year = '2020'").count() == 0
+    months = bm.months_frame(spark, [(2019, 1), (2020, 3), (2024, 1)])
+    assert [r.period for r in bm.pending_months(spark, months, silver).collect()] == ["2024-01"]
+
+
+def test_a_months_frame_reads_only_its_files(spark, scratch):
+    path = f"{scratch}/t"
+    df = spark.createDataFrame([(i, "2024", f"{m:02d}") for i, m in enumerate(range(1, 13))],
+                               "v int, year string, month string")
+    write_month_partitions(df, path)
+    q = bm.restrict(read_partitioned(spark, path), bm.months_frame(spark, [(2024, 5)]))
+    assert [r.v for r in q.collect()] == [4]
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert len({f for f in q.inputFiles()}) == 12 and q.select(F.input_file_name().alias("f")).distinct().count() == 1
+
+
 def test_dynamic_overwrite_replaces_only_present_months(spark, scratch):
     path = f"{scratch}/t"
     df = spark.createDataFrame([(1, "2024", "01"), (2, "2024", "02")], "v int, year string, month string")
@@ -140,9 +179,9 @@ def test_choose_scope(spark, scratch):
         bm.choose_scope(spark, year_months=["2024-1"])
 
 
-def test_month_window():
-    assert bm.month_window(2024, 12) == (datetime(2024, 12, 1), datetime(2025, 1, 1))
-    assert bm.month_window(2024, 1) == (datetime(2024, 1, 1), datetime(2024, 2, 1))
+def test_month_window(spark):
+    assert bm.month_window(spark, 2024, 12) == (datetime(2024, 12, 1), datetime(2025, 1, 1))
+    assert bm.month_window(spark, 2024, 1) == (datetime(2024, 1, 1), datetime(2024, 2, 1))
 
 
 def test_coverage_and_pending(spark, scratch):
@@ -167,6 +206,11 @@ def test_gold_build_and_default_tests(spark, scratch):
     assert spark.read.parquet(paths["fact_trip"]).count() == L.fact_trip(spark, SF_SMALL).count()
     results = run_gold_tests(spark, paths).collect()
     assert results and all(r.passed for r in results), [r for r in results if not r.passed]
+    from fareflow.operators import checks
+    some = {n: spark.read.parquet(p) for n, p in paths.items() if n != "dim_vendor"}
+    absent = [r for r in checks.run_assertions(spark, some).collect() if r.failures is None]
+    assert absent and not any(r.passed for r in absent)
+    assert "dim_vendor" in {r.model for r in absent} and "fact_trip" in {r.model for r in absent}
     months = L.bronze(spark, SF_SMALL).select("year", "month").distinct().select(
         F.lit(0).cast("long").alias("line_no"),
         F.concat_ws("-", "year", "month").alias("period"), "year", "month")
@@ -176,7 +220,7 @@ def test_gold_build_and_default_tests(spark, scratch):
     assert not all(r.passed for r in missing)
 
 
-def test_case_only_drift_keeps_values_in_one_scan(spark, scratch):
+def test_case_only_drift_keeps_values(spark, scratch):
     base = f"{scratch}/bronze"
     (_raw_month(spark, 2023, 1, 10, "plain").withColumn("airport_fee", F.lit(1.25))
      .write.parquet(month_path(base, 2023, 1)))
@@ -185,5 +229,3 @@ def test_case_only_drift_keeps_values_in_one_scan(spark, scratch):
     df = read_bronze_months(spark, base, [(2023, 1), (2024, 1)])
     got = dict(df.groupBy("year").agg(F.max("airport_fee")).collect())
     assert got == {"2023": 1.25, "2024": 1.75}
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1  # one scan, no per-month union

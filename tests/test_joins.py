@@ -1,26 +1,9 @@
-"""Join guards: broadcast only under a checked bound; aggregate-then-lookup."""
+"""Aggregate-then-lookup and the keys of built tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from fareflow.plans.joins import bounded_broadcast, lookup_after_aggregate
-
-
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_bounded_broadcast_hint_only_under_the_bound(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no automatic broadcast
-    try:
-        facts = spark.range(1000).select((F.col("id") % 50).alias("k"))
-        dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-        small = facts.join(bounded_broadcast(dim, max_rows=100), "k")
-        big = facts.join(bounded_broadcast(dim, max_rows=10), "k")
-        assert "BroadcastHashJoin" in _plan(small)
-        assert "BroadcastHashJoin" not in _plan(big)
-        assert small.count() == big.count() == 1000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+from fareflow.plans.joins import lookup_after_aggregate
 
 
 def test_lookup_after_aggregate_matches_join_then_group(spark):
@@ -34,6 +17,13 @@ def test_lookup_after_aggregate_matches_join_then_group(spark):
     assert got == want and len(got) == 5  # keys 5 and 6 have no dimension row
 
 
+def test_a_repeated_dimension_key_raises(spark):
+    agg = spark.createDataFrame([(1, 36)], "k long, trips long")
+    dim = spark.createDataFrame([(1, "a"), (1, "b")], "k long, name string")
+    with pytest.raises(Exception, match="not unique"):
+        lookup_after_aggregate(agg, dim, {"k": "k"}).collect()
+
+
 def test_silver_fingerprint_tracks_code(tmp_path, monkeypatch):
     from fareflow.sources import landing
     a = landing._code_fingerprint(landing._SILVER_CODE)

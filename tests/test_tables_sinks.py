@@ -48,11 +48,10 @@ def test_profile_csv_sinks(spark, scratch):
         rows = list(csv.DictReader(f))
     periods = [r["period"] for r in rows]
     assert periods == sorted(periods) and len(periods) == 83
-    assert sum(int(r["total_rows"]) for r in rows) == 6000
+    assert sum(int(r["total_rows"]) for r in rows) == bronze.count()
 
 
-def test_publish_once_writes_once_and_atomically(spark, scratch):
-    import os
+def test_publish_once_writes_once(spark, scratch):
     from fareflow.sources.paths import publish_once
     calls = []
 
@@ -61,9 +60,52 @@ def test_publish_once_writes_once_and_atomically(spark, scratch):
         spark.range(5).write.mode("overwrite").parquet(folder)
 
     target = f"{scratch}/published/table"
-    assert publish_once(spark, target, write) == target
-    assert publish_once(spark, target, write) == target
-    assert len(calls) == 1 and calls[0] != target  # built aside, then renamed
-    assert spark.read.parquet(target).count() == 5
-    leftovers = [d for d in os.listdir(f"{scratch}/published") if "__tmp_" in d]
-    assert leftovers == []
+    first = publish_once(spark, target, write)
+    assert publish_once(spark, target, write) == first == calls[0] and len(calls) == 1
+    assert spark.read.parquet(first).count() == 5
+
+
+def test_two_writers_end_with_one_complete_table(spark, scratch):
+    import os
+    from fareflow.sources.paths import publish_once
+    target, folders = f"{scratch}/raced/table", []
+
+    def slow(folder):
+        # Another writer starts and finishes while this one is still writing.
+        spark.range(3).write.parquet(folder)
+        if not folders:
+            folders.append(publish_once(spark, target, slow_inner))
+
+    def slow_inner(folder):
+        spark.range(3).write.parquet(folder)
+
+    got = publish_once(spark, target, slow)
+    assert got == folders[0] and spark.read.parquet(got).count() == 3
+    assert [d for d in os.listdir(target) if d.startswith("v-")] == [got.rsplit("/", 1)[1]]
+
+
+def test_landing_key_follows_the_inputs(spark, tmp_path):
+    import shutil
+    from fareflow.sources.landing import _key
+    for t in ("lineitem", "nation", "region"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    a = _key(spark, str(tmp_path))
+    assert a == _key(spark, f"file://{tmp_path}")
+    (tmp_path / "lineitem.parquet").write_bytes((tmp_path / "nation.parquet").read_bytes())
+    assert a != _key(spark, str(tmp_path))
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    import pytest
+    from fareflow.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session)
