@@ -18,7 +18,8 @@ into a document if at least ``COVER`` of its windows, or ``ENOUGH`` of them
 The document side of the first join carries a hash, an id and a position per
 window and joins the benchmark's windows by hash: broadcast while the counted
 windows are at most ``BROADCAST_ROWS``, shuffled above that.  Texts are read a
-second time only for documents with matches.
+second time only for documents with matches; the list of their ids is
+broadcast up to ``BROADCAST_IDS`` (8 bytes each) and shuffled above that.
 
 Defined cases: null texts are empty and match nothing; items of fewer than
 ``WINDOW`` tokens are not searched; equal items are each reported; rows that
@@ -40,6 +41,7 @@ COVER = 0.5
 ENOUGH = 6
 CONSISTENT = 0.8
 BROADCAST_ROWS = 200_000
+BROADCAST_IDS = 1_000_000
 
 # Units that may follow a number.
 UNITS = ("km", "m", "cm", "mm", "kg", "g", "mg", "l", "ml", "h", "min", "s", "ms", "mph", "kmh", "eur", "euro", "euros",
@@ -105,12 +107,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     # Second look at the documents that matched, for their slot values.
     hit = met.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("at"))
-    again = texts.join(hit.select("doc_id"), "doc_id", "left_semi").select("doc_id", tokens(F.col("text")).alias("words"))
+    ids = met.select("doc_id").distinct()
+    ids = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+    again = texts.join(ids, "doc_id", "left_semi").select("doc_id", tokens(F.col("text")).alias("words"))
     again = again.join(hit, "doc_id").select("doc_id", F.explode(F.transform("at", lambda p: F.struct(
-        p.alias("pos"), F.slice("words", p + 1, WINDOW).alias("found")))).alias("w"), F.lit(1))
+        p.alias("pos"), F.slice("words", p + 1, WINDOW).alias("found")))).alias("w"))
     again = again.select("doc_id", F.col("w.found").alias("found"), F.xxhash64(template(F.col("w.found"))).alias("hash"))
-    pairs = again.where(F.size("found") == WINDOW).distinct().join(
-        bounded(index.select("item_id", "at", "hash", "filled", "n_windows")), "hash")
+    pairs = saved(again.where(F.size("found") == WINDOW).distinct().join(
+        bounded(index.select("item_id", "at", "hash", "filled", "n_windows")), "hash"), "pairs")
 
     covered = pairs.groupBy("doc_id", "item_id").agg(
         F.countDistinct("hash").alias("n_matched"), F.first("n_windows").alias("n_windows"))

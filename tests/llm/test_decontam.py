@@ -103,6 +103,7 @@ def test_shuffled_index_gives_the_same(spark, monkeypatch):
     docs, items = read(spark, SF, "documents"), read(spark, SF, "benchmark")
     first = {tuple(r) for r in decontam.matches(docs, items).select("doc_id", "item_id").collect()}
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(decontam, "BROADCAST_IDS", 1)
     assert {tuple(r) for r in decontam.matches(docs, items).select("doc_id", "item_id").collect()} == first
 
 
