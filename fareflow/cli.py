@@ -2,7 +2,7 @@
 
     python -m fareflow.cli profile  --bronze B --out O (--year-months 2024-01 ... | --months-file F | --year Y --month M) [--write-details]
     python -m fareflow.cli silver   --bronze B --silver S (months as above) [--force]
-    python -m fareflow.cli gold     --silver S --zones Z --gold G [--test]
+    python -m fareflow.cli gold     --silver S --zones Z --gold G [--test] [--force] [months as above: skip when complete]
     python -m fareflow.cli validate --silver S (months as above)
     python -m fareflow.cli query    --silver S --name aq1|aq2|aq3|aq4 (months as above) [--out O]
 
@@ -29,40 +29,55 @@ def _month_pairs(spark: SparkSession, args) -> list[tuple[int, int]]:
     return [(int(r["year"]), int(r["month"])) for r in frame.collect()]
 
 
+def _print(df):
+    """Print every row of a small result, computed once; returns the rows."""
+    rows = df.collect()
+    df.sparkSession.createDataFrame(rows, df.schema).show(max(1, len(rows)), truncate=False)
+    return rows
+
+
 def cmd_profile(spark, args):
     from fareflow.operators import profile as pf
     from fareflow.sources.bronze import read_bronze_months
     from fareflow.sources.sinks import write_profile_details, write_profile_summary
     bronze = read_bronze_months(spark, args.bronze, _month_pairs(spark, args))
+    # One row per month: every table below is made of these, from one scan.
+    profiled = pf.profile(bronze).cache()
+    details, names = None, []
     if args.write_details:
-        details = {"summary": pf.summary(bronze), "null_checks": pf.null_checks(bronze),
-                   "critical_quality": pf.critical_quality(bronze),
-                   "warning_quality": pf.warning_quality(bronze),
-                   **{f"{c}_distribution": pf.distribution(bronze, c)
-                      for c in pf.DISTRIBUTION_COLUMNS}}
-        write_profile_details(details, f"{args.out}/details")
-    summary = pf.monthly_summary(bronze)
+        details = f"{args.out}/details"
+        counts = pf.distributions(bronze).cache()  # the second and last scan
+        parts = {"summary": pf.SUMMARY_NAMES, "null_checks": [n for _, n in pf.NULL_CHECKS],
+                 "critical_quality": ["total_rows", *pf.CRITICAL_COUNTERS], "warning_quality": pf.WARNING_COUNTERS}
+        tables = {n: profiled.select("year", "month", *cols) for n, cols in parts.items()}
+        tables |= {f"{c}_distribution": counts.where(f"column_name = '{c}'").select(
+            "year", "month", counts["value"].alias(c), "total_rows") for c in pf.DISTRIBUTION_COLUMNS}
+        names = write_profile_details(tables, details)
+    summary = pf.with_paths(pf.summarize(profiled), args.bronze, details, names)
     write_profile_summary(summary, f"{args.out}/bronze_quality_summary")
-    summary.orderBy("year", "month").show(truncate=False)
+    _print(summary.orderBy("year", "month"))
 
 
 def cmd_silver(spark, args):
     from fareflow.plans.silver_job import run_silver_job
-    run_silver_job(spark, args.bronze, args.silver, _month_pairs(spark, args),
-                   force=args.force).show(truncate=False)
+    _print(run_silver_job(spark, args.bronze, args.silver, _month_pairs(spark, args),
+                          force=args.force).orderBy("year", "month"))
 
 
 def cmd_gold(spark, args):
-    from fareflow.plans.gold_build import build_gold, test_gold
+    from fareflow.operators.months import gold_completeness
+    from fareflow.plans.gold_build import build_gold, table_paths, test_gold
     from fareflow.sources.tables import read_partitioned
     from fareflow.sources.zones import read_zone_lookup
-    paths = build_gold(spark, read_partitioned(spark, args.silver),
-                       read_zone_lookup(spark, args.zones), args.gold)
-    if args.test:
-        results = test_gold(spark, paths)
-        results.show(200, truncate=False)
-        if results.filter("NOT passed").limit(1).count():
-            return 1
+    paths = table_paths(args.gold)
+    asked = args.year_months or args.months_file or args.year
+    if asked and not args.force and all(r["passed"] for r in gold_completeness(
+            spark, paths, _months(spark, args)).collect()):
+        print("Gold is complete for these months; nothing to build (--force rebuilds it)")
+        return 0
+    build_gold(spark, read_partitioned(spark, args.silver), read_zone_lookup(spark, args.zones), args.gold)
+    if args.test and not all(r["passed"] for r in _print(test_gold(spark, paths))):
+        return 1
     return 0
 
 
@@ -70,8 +85,7 @@ def cmd_validate(spark, args):
     from fareflow.operators.months import partition_coverage
     from fareflow.sources.tables import read_partitioned
     cov = partition_coverage(_months(spark, args), read_partitioned(spark, args.silver))
-    cov.orderBy("line_no").show(200, truncate=False)
-    return 1 if cov.filter("validation = 'failed'").limit(1).count() else 0
+    return 1 if any(r["validation"] == "failed" for r in _print(cov.orderBy("line_no"))) else 0
 
 
 def cmd_query(spark, args):
@@ -84,7 +98,7 @@ def cmd_query(spark, args):
     if args.out:
         result.coalesce(1).write.mode("overwrite").option("header", True).csv(args.out)
     else:
-        result.show(100, truncate=False)
+        _print(result)
 
 
 def _add_months(p):
@@ -112,6 +126,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--zones", required=True)
     p.add_argument("--gold", required=True)
     p.add_argument("--test", action="store_true")
+    p.add_argument("--force", action="store_true")
+    _add_months(p)
     p = sub.add_parser("validate")
     p.add_argument("--silver", required=True)
     _add_months(p)

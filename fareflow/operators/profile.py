@@ -11,6 +11,8 @@ HyperLogLog++.  Nothing is collected: each result is a DataFrame.
 
 from __future__ import annotations
 
+from typing import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +90,12 @@ def summary_columns(approximate: bool = False) -> list[Column]:
     return cols
 
 
+# Columns that ``summary_columns`` makes.
+SUMMARY_NAMES = (["total_rows"] + [n for _, n in DISTINCT_CHECKS]
+                 + [f"{e}_{t}_datetime" for t in ("pickup", "dropoff") for e in ("min", "max")]
+                 + [f"{e}_{m}" for m in ("trip_distance", "fare_amount", "total_amount") for e in ("min", "max", "avg")])
+
+
 def null_columns() -> list[Column]:
     """PF2: NULL count of 12 columns."""
     return [_lng(null_count(src), name) for src, name in NULL_CHECKS]
@@ -201,22 +209,26 @@ def distributions(bronze: DataFrame) -> DataFrame:
 
 
 def monthly_summary(bronze: DataFrame) -> DataFrame:
-    """PF6-PF8: one summary row per month.
-
-    ``critical_issue_count``/``warning_issue_count`` add up every counter of
-    PF3/PF4 (a row failing two rules counts twice).  Rows are ordered by
-    year, month when written (``sinks.write_profile_summary``).
-    """
-    prof = bronze.groupBy(*MONTH).agg(
+    """PF6-PF8: one summary row per month (see ``summarize``)."""
+    return summarize(bronze.groupBy(*MONTH).agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.min("tpep_pickup_datetime").alias("min_pickup_datetime"),
         F.max("tpep_pickup_datetime").alias("max_pickup_datetime"),
         F.min("tpep_dropoff_datetime").alias("min_dropoff_datetime"),
         F.max("tpep_dropoff_datetime").alias("max_dropoff_datetime"),
-        *critical_columns(), *warning_columns())
+        *critical_columns(), *warning_columns()))
+
+
+def summarize(profiled: DataFrame) -> DataFrame:
+    """The summary rows from a profile (``profile`` or a part of it).
+
+    ``critical_issue_count``/``warning_issue_count`` add up every counter of
+    PF3/PF4 (a row failing two rules counts twice).  Rows are ordered by
+    year, month when written (``sinks.write_profile_summary``).
+    """
     total = lambda names: sum((F.coalesce(F.col(n), F.lit(0)) for n in names[1:]),
                               F.coalesce(F.col(names[0]), F.lit(0)))
-    return prof.select(
+    return profiled.select(
         F.concat_ws("-", "year", "month").alias("period"),
         F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"),
@@ -227,6 +239,18 @@ def monthly_summary(bronze: DataFrame) -> DataFrame:
         "min_dropoff_datetime", "max_dropoff_datetime")
 
 
+def with_paths(summary: DataFrame, bronze_base: str, details_dir: str | None = None,
+               generated: Iterable[str] = ()) -> DataFrame:
+    """PF7: where each month was read from, and where its details went."""
+    folder = F.format_string("year=%04d/month=%02d/", F.col("year"), F.col("month"))
+    files = list(generated)
+    return summary.select(
+        "*", F.concat(F.lit(f"{bronze_base.rstrip('/')}/"), folder).alias("input_file"),
+        F.lit(details_dir or "").alias("details_output_dir"),
+        F.array_join(F.transform(F.lit(files).cast("array<string>"), lambda n: F.concat(n, F.lit("/"), folder)), ", ")
+        .alias("generated_files"))
+
+
 def quality_gate(bronze: DataFrame, max_critical_ratio: float = 0.1) -> DataFrame:
     """DC6: per month, pass when critical issues per row <= the threshold."""
     s = monthly_summary(bronze)

@@ -164,7 +164,8 @@ def io12(spark, sf):
     path = _fresh_folder(spark, "io12")
     table = pf.critical_quality(L.bronze(spark, sf))
     write_profile_details({"critical_quality": table}, path)
-    return spark.read.schema(table.schema).option("header", True).csv(f"{path}/critical_quality")
+    back = spark.read.schema(table.schema).option("header", True).csv(f"{path}/critical_quality")
+    return back.select(*table.columns)
 
 
 @register("io13_profile_summary_read_back")
@@ -226,7 +227,7 @@ def pf5_all(spark, sf):
 @register("pf7_monthly_summary")
 def pf7(spark, sf):
     """PF6-PF8: one summary row per month."""
-    return pf.monthly_summary(L.bronze(spark, sf))
+    return pf.with_paths(pf.monthly_summary(L.bronze(spark, sf)), "bronze", "details", ["summary", "null_checks"])
 
 
 @register("dc1_distribution_profile")

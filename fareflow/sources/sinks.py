@@ -64,12 +64,14 @@ def write_partitioned_table(df: DataFrame, path: str) -> None:
 
 
 def write_profile_details(results: dict[str, DataFrame], out_dir: str) -> list[str]:
-    """IO12: one headed CSV folder per profile table."""
-    written = []
+    """IO12: every profile table as headed CSV, one folder per table and month.
+
+    One write per table, partitioned by the table's own year and month.
+    """
     for name, df in results.items():
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out_dir}/{name}")
-        written.append(name)
-    return written
+        (df.repartition("year", "month").write.mode("overwrite").option("header", True)
+         .partitionBy("year", "month").csv(f"{out_dir}/{name}"))
+    return list(results)
 
 
 def write_profile_summary(summary: DataFrame, path: str) -> None:

@@ -497,7 +497,11 @@ monthly_summary AS (
   FROM nbronze GROUP BY year, month
 )"""
 QUERIES["pf7_monthly_summary"] = with_bronze(
-    "," + MONTHLY_SUMMARY + "\nSELECT * FROM monthly_summary")
+    "," + MONTHLY_SUMMARY + """
+SELECT *, 'bronze/' || f AS input_file, 'details' AS details_output_dir,
+  'summary/' || f || ', null_checks/' || f AS generated_files
+FROM (SELECT *, printf('year=%04d/month=%02d/', year, month) AS f FROM monthly_summary)""".replace(
+        "SELECT *, 'bronze/'", "SELECT * EXCLUDE (f), 'bronze/'"))
 QUERIES["dc6_quality_gate"] = with_bronze("," + MONTHLY_SUMMARY + """
 SELECT period, year, month, total_rows, critical_issue_count,
   critical_issue_count / total_rows AS critical_issue_ratio,
@@ -688,7 +692,7 @@ WHERE year BETWEEN '1994' AND '1996' GROUP BY year, month""")
 QUERIES["io8_gold_mart_read_back"] = with_gold(MARTS["mart_payment_behavior"])
 QUERIES["io9_gold_fact_read_back"] = with_gold("SELECT * FROM fact_trip")
 QUERIES["io12_profile_details_read_back"] = QUERIES["pf3_critical_quality"]
-QUERIES["io13_profile_summary_read_back"] = QUERIES["pf7_monthly_summary"]
+QUERIES["io13_profile_summary_read_back"] = with_bronze("," + MONTHLY_SUMMARY + "\nSELECT * FROM monthly_summary")
 QUERIES["bm4_january_scope"] = with_silver(f"""
 SELECT year, month, count(*) AS trip_count, {msum('total_amount', 'total_revenue')}
 FROM silver WHERE month = '01' GROUP BY year, month""")

@@ -15,7 +15,8 @@ def test_cli_end_to_end(spark, scratch, capsys):
     assert main(["profile", "--bronze", bronze, "--out", f"{scratch}/profile",
                  "--write-details", *months], spark) == 0
     assert glob.glob(f"{scratch}/profile/bronze_quality_summary/*.csv")
-    assert glob.glob(f"{scratch}/profile/details/payment_type_distribution/*.csv")
+    assert glob.glob(f"{scratch}/profile/details/payment_type_distribution/year=1996/month=01/*.csv")
+    assert glob.glob(f"{scratch}/profile/details/summary/year=1996/month=02/*.csv")
     assert main(["silver", "--bronze", bronze, "--silver", f"{scratch}/silver", *months],
                 spark) == 0
     assert main(["validate", "--silver", f"{scratch}/silver", *months], spark) == 0
@@ -27,3 +28,7 @@ def test_cli_end_to_end(spark, scratch, capsys):
     assert "1996" in out and "trip_count" in out
     assert main(["gold", "--silver", f"{scratch}/silver", "--zones", zones,
                  "--gold", f"{scratch}/gold", "--test"], spark) == 0
+    args = ["gold", "--silver", f"{scratch}/silver", "--zones", zones, "--gold", f"{scratch}/gold"]
+    capsys.readouterr()
+    assert main([*args, *months], spark) == 0 and "complete" in capsys.readouterr().out
+    assert main([*args, "--force", *months], spark) == 0 and "complete" not in capsys.readouterr().out
