@@ -1,6 +1,6 @@
 """Declarative data-quality assertions (QT1-QT5).
 
-Assertions are data: ``(model, column, test, argument, tags)``.  Running them
+Assertions are data: ``(model, column, test, argument)``.  Running them
 yields one row per assertion ``(model, column_name, test_name, failures,
 passed)``; failures are reported, never raised.
 
@@ -17,7 +17,7 @@ assertions:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,6 @@ class Assertion:
     column: str
     test: str  # not_null | unique | accepted_values | relationships
     argument: tuple = ()  # accepted values, or (parent_model, parent_column)
-    tags: tuple = field(default=())
 
 
 def _spec(model: str, columns: dict[str, list]) -> list[Assertion]:

@@ -23,11 +23,6 @@ FEE_COLUMNS = [
     "improvement_surcharge", "congestion_surcharge", "airport_fee",
 ]
 
-# Column names that drift in case between source years.
-DRIFTING_NAMES = {"airport_fee": "Airport_fee"}
-
-PARTITION_COLUMNS = ["year", "month"]
-
 # Silver projection (name, type); partition columns last.
 SILVER_COLUMNS: list[tuple[str, T.DataType]] = [
     ("vendor_id", T.IntegerType()),
@@ -77,8 +72,6 @@ SILVER_COLUMNS: list[tuple[str, T.DataType]] = [
     ("month", T.StringType()),
 ]
 
-SILVER_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in SILVER_COLUMNS])
-
 # Zone lookup CSV (header row; names as in the published lookup file).
 ZONE_CSV_SCHEMA = T.StructType([
     T.StructField("LocationID", T.IntegerType(), True),
@@ -87,7 +80,7 @@ ZONE_CSV_SCHEMA = T.StructType([
     T.StructField("service_zone", T.StringType(), True),
 ])
 
-# Fact table columns in output order (35).
+# Fact table columns in output order (35).
 FACT_COLUMNS = [
     "trip_id", "pickup_datetime", "dropoff_datetime", "pickup_date_key",
     "pickup_hour_key", "pickup_day_of_week", "vendor_id", "ratecode_id",
