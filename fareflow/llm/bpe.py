@@ -20,14 +20,16 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareflow.llm.common import Shared, worker_state
+
 _NONE = 1 << 62
 _FAN = 16
 _SHIFT = 32
@@ -39,6 +41,7 @@ CACHE_PIECES = 500_000
 CACHE_CHARS = 64
 
 
+@lru_cache(maxsize=1)
 def load_ranks(path: str) -> dict[bytes, int]:
     """Rank file: one base64 token and its rank per line."""
     with open(path, "rb") as f:
@@ -99,6 +102,7 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
+        self.tokens = {r: b for b, r in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.cache: dict[str, list[int]] = {}
 
@@ -117,16 +121,9 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[tuple[int, str], Encoder] = {}
-
-
 def _encoder(shared, pattern: str) -> Encoder:
     """One encoder per Python worker, kept from task to task."""
-    key = (shared.id if hasattr(shared, "id") else id(shared), pattern)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value, pattern)
-    return _ENCODERS[key]
+    return worker_state((shared.name, pattern), lambda: Encoder(shared.value, pattern))
 
 
 def _replace(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
@@ -146,55 +143,78 @@ def _lists(parts: list, value_type: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, value_type))
 
 
+def _encoded(texts: pa.Array, encoder: Encoder) -> pa.Array:
+    return _lists([encoder.encode(t or "") for t in texts.to_pylist()], pa.int32())
+
+
+def _decoded(ids: pa.Array, encoder: Encoder) -> list[bytes]:
+    values, offs = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    table = encoder.tokens
+    return [b"".join(map(table.__getitem__, values[a:b].tolist())) for a, b in zip(offs[:-1], offs[1:])]
+
+
+def _shared(df: DataFrame, ranks_path: str) -> Shared:
+    """The ranks on every executor; their size is that of the vocabulary, not of the data."""
+    return Shared(df.sparkSession, load_ranks(ranks_path))
+
+
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add ``ids``: the token ids (array<int>) of the whole text.
 
     The rank file is read once by the caller's process and sent to the
-    executors; its size is that of the vocabulary, not of the data.
+    executors.
     """
-    shared = df.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
-    src = df.withColumn(text, F.coalesce(F.col(text).cast("string"), F.lit("")))
-    schema = _replace(src.schema, ids, T.ArrayType(T.IntegerType(), False))
+    shared = _shared(df, ranks_path)
+    schema = _replace(df.schema, ids, T.ArrayType(T.IntegerType(), False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(shared, pattern)
+        encoder = _encoder(shared, pattern)
         for batch in batches:
-            yield _column(batch, schema, _lists([enc.encode(t) for t in batch.column(text).to_pylist()], pa.int32()))
+            yield _column(batch, schema, _encoded(batch.column(text), encoder))
 
-    return src.mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add ``decoded``: the bytes (binary) that ``ids`` stand for."""
-    ranks = load_ranks(ranks_path)
-    shared = df.sparkSession.sparkContext.broadcast({r: b for b, r in ranks.items()})
+    shared = _shared(df, ranks_path)
     schema = _replace(df.schema, decoded, T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        encoder = _encoder(shared, pattern)
         for batch in batches:
-            column = batch.column(ids)
-            values, offs = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            out = [b"".join(map(table.__getitem__, values[a:b].tolist())) for a, b in zip(offs[:-1], offs[1:])]
-            yield _column(batch, schema, pa.array(out, pa.binary()))
+            yield _column(batch, schema, pa.array(_decoded(batch.column(ids), encoder), pa.binary()))
 
     return df.mapInArrow(run, schema)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Counts and SHA-256 digests of ids and decoded bytes, per document."""
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+def round_trip(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``encode`` and then ``decode`` in one pass, with what they came to.
+
+    Adds ``ids``, ``n_tokens``, ``ids_sha256`` (of the ids as little-endian
+    unsigned 32-bit integers), ``decoded_sha256`` (of the decoded bytes) and
+    ``exact`` (they are the text's bytes).
+    """
+    shared = _shared(df, ranks_path)
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType()),
+             T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
+             T.StructField("exact", T.BooleanType())]
+    new = {f.name for f in added}
+    kept = [f for f in df.schema if f.name not in new]
+    schema = T.StructType(kept + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared, pattern)
         for batch in batches:
-            column = batch.column("ids")
-            values, offs = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            ids = [hashlib.sha256(values[a:b].astype("<u4").tobytes()).hexdigest()
-                   for a, b in zip(offs[:-1], offs[1:])]
-            texts = [hashlib.sha256(b).hexdigest() for b in batch.column("decoded").to_pylist()]
+            ids = _encoded(batch.column("text"), encoder)
+            values, offs = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+            packed = [hashlib.sha256(values[a:b].astype("<u4").tobytes()).hexdigest() for a, b in zip(offs[:-1], offs[1:])]
+            back = _decoded(ids, encoder)
+            same = [b == (t or "").encode("utf-8") for b, t in zip(back, batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(offs), pa.int64()),
-                 pa.array(ids, pa.string()), pa.array(texts, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                [batch.column(f.name) for f in kept] + [
+                    ids, pa.array(np.diff(offs), pa.int64()), pa.array(packed, pa.string()),
+                    pa.array([hashlib.sha256(b).hexdigest() for b in back], pa.string()), pa.array(same, pa.bool_())],
+                names=[f.name for f in schema])
 
-    return decoded.select("doc_id", "ids", "decoded").mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)

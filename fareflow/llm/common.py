@@ -1,7 +1,7 @@
 """Helpers shared by the operators: table reads, saved tables, Arrow batches.
 
 Every Python operator here works on Arrow batches inside tasks and cuts a
-batch into slices of about a megabyte of text before building arrays, so the
+batch into slices of a quarter megabyte of text before building arrays, so the
 memory of a worker does not depend on how rows fall into batches.
 """
 
@@ -22,7 +22,7 @@ ARROW_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # ASCII white space: the bytes that separate words.
 _SPACE = np.zeros(256, dtype=bool)
@@ -72,6 +72,34 @@ def with_text(docs: DataFrame, text: str = "text") -> DataFrame:
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
+_STATE: dict = {}
+
+
+def worker_state(key=None, make=None):
+    """An object that a Python worker keeps from task to task, one at a time.
+
+    A worker serves every operator of a session.  Asking for another key (or
+    for none) lets go of what the operator before has cached.
+    """
+    if key not in _STATE:
+        _STATE.clear()
+        if key is not None:
+            _STATE[key] = make()
+    return _STATE.get(key)
+
+
+class Shared:
+    """A broadcast value with a name by which workers know it again."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.name = uuid.uuid4().hex
+        self.broadcast = spark.sparkContext.broadcast(value)
+
+    @property
+    def value(self):
+        return self.broadcast.value
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, also where lambdas use it.
 

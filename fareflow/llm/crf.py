@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareflow.llm.common import saved, with_text
+from fareflow.llm.common import Shared, saved, with_text, worker_state
 
 TRAIN_DOCS = 6000
 FEATURES = 4000
@@ -322,20 +322,13 @@ def train(docs: DataFrame, marks: DataFrame, train_docs: int = TRAIN_DOCS, max_f
 
 # ---- scoring --------------------------------------------------------------
 
-_TAGGERS: dict[int, Tagger] = {}
-
-
 def _tagger(shared) -> Tagger:
     """One tagger per Python worker and model."""
-    model = shared.value
-    if id(model) not in _TAGGERS:
-        _TAGGERS.clear()
-        _TAGGERS[id(model)] = Tagger(model)
-    return _TAGGERS[id(model)]
+    return worker_state(shared.name, lambda: Tagger(shared.value))
 
 
 def _evidence(docs: DataFrame, model: Model) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = _tagger(shared)
@@ -355,7 +348,7 @@ def tag(docs: DataFrame, model: Model, score: str = "score", spans: str = "spans
     of the tokens whose toxic marginal is at least one half.  Columns of the
     same names are replaced; all others pass through.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     kept = docs.drop(score, spans)
     schema = T.StructType(kept.schema.fields + [
         T.StructField(score, T.DoubleType()), T.StructField(spans, T.ArrayType(T.StructType([

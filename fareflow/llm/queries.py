@@ -41,8 +41,7 @@ def op8(spark, sf):
     from fareflow.llm import bpe
     ranks, pattern = tokenizer_file()
     docs = with_text(read(spark, sf, "documents"))
-    ids = bpe.encode(docs, ranks, pattern).select("doc_id", "ids")
-    return bpe.digests(bpe.decode(ids, ranks))
+    return bpe.round_trip(docs, ranks, pattern).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 @register("op3_crf_toxicity")

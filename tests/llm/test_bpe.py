@@ -42,22 +42,24 @@ def test_round_trip_nulls_repeats_and_clashing_columns(spark, library):
     prepare(spark)
     rows = [(1, None, "x", 5), (2, "", "y", 6), (3, "Hello  world", "z", 7),
             (3, "Hello  world", "z", 7), (None, "é" * 3, None, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, extra int")
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, exact int")
     enc = bpe.encode(df, RANKS, public_tokenizers.PATTERN)
-    assert enc.columns == ["doc_id", "text", "extra", "ids"]
-    got = bpe.decode(enc, RANKS).collect()
+    assert enc.columns == ["doc_id", "text", "exact", "ids"]
+    got = bpe.decode(enc, RANKS, public_tokenizers.PATTERN).collect()
     assert len(got) == 5
     for r in got:
         assert bytes(r.decoded).decode() == (r.text or "")
         assert r.ids == library.encode_ordinary(r.text or "")
-    one = {r.doc_id: r for r in bpe.digests(bpe.decode(enc, RANKS)).collect()}[3]
-    ids = library.encode_ordinary("Hello  world")
-    assert one.n_tokens == len(ids)
-    assert one.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
-    assert one.decoded_sha256 == hashlib.sha256(b"Hello  world").hexdigest()
+    both = bpe.round_trip(df, RANKS, public_tokenizers.PATTERN).collect()
+    assert len(both) == 5
+    for r in both:
+        ids = library.encode_ordinary(r.text or "")
+        assert r.ids == ids and r.n_tokens == len(ids) and r.exact
+        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
 
 
 def test_empty_table(spark):
     df = with_text(spark.createDataFrame([], "doc_id long, text string"))
-    enc = bpe.encode(df, RANKS, public_tokenizers.PATTERN)
-    assert bpe.digests(bpe.decode(enc, RANKS)).collect() == []
+    assert bpe.encode(df, RANKS, public_tokenizers.PATTERN).collect() == []
+    assert bpe.round_trip(df, RANKS, public_tokenizers.PATTERN).collect() == []
