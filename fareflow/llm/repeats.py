@@ -229,9 +229,11 @@ def repeated_windows(docs: DataFrame, unit: Unit, compare: Callable[[Block], lis
     """
     space = Workspace(docs.sparkSession)
     every = space.put("segments", all_segments(docs, unit))
-    shared = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # Counts are tables before they are joined, so that both sides of a join are
+    # plain exchanges and adaptive execution may split a hot anchor.
+    shared = space.put("shared", every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
     kept = space.put("kept", every.join(shared, "anchor"))
-    space.drop("segments")
+    space.drop("segments", "shared")
     place = F.struct("doc_id", "start", "nwin", "off")
     distinct = space.put("distinct", kept.groupBy("anchor", "seg").agg(
         F.min(place).alias("first"), F.max(place).alias("last")).select(
@@ -243,21 +245,22 @@ def repeated_windows(docs: DataFrame, unit: Unit, compare: Callable[[Block], lis
     copies = space.put("copies", copies.select("doc_id", "start", "nwin"))
     space.drop("kept")
     # Different segments with one anchor.
-    several = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = space.put("several", distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     wanted = distinct.join(several, "anchor").select(
         "first.*", "anchor", (F.col("n") > hot).alias("hot")).groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "nwin", "off", "anchor", "hot")).alias("want"))
     fetched = space.put("contents", contents(docs, wanted, unit))
-    space.drop("distinct")
+    space.drop("distinct", "several")
     cold = blocks(fetched.where("symbols is not null"), compare)
     windows = fetched.where("symbols is null").select("key", "second", "doc_id", "start", "nwin")
     spot = F.struct("doc_id", "start")
-    again = windows.groupBy("key", "second").agg(F.min(spot).alias("lo"), F.max(spot).alias("hi")).where("lo <> hi")
+    again = space.put("again", windows.groupBy("key", "second").agg(
+        F.min(spot).alias("lo"), F.max(spot).alias("hi")).where("lo <> hi"))
     warm = windows.join(again, ["key", "second"])
     if keep_first:
         warm = warm.where((F.col("doc_id") != F.col("lo.doc_id")) | (F.col("start") != F.col("lo.start")))
     found = space.put("found", copies.union(cold).union(warm.select("doc_id", "start", "nwin")))
-    space.drop("contents", "copies")
+    space.drop("contents", "copies", "again")
     return found, space
 
 
