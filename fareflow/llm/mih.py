@@ -98,27 +98,27 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGM
     kind = "q long, code long, least long, rows int, distance int"
     best = rows.sparkSession.createDataFrame([], kind)
     order = Window.partitionBy("q").orderBy("distance", "least")
+    whole = Window.partitionBy("q")
     finished = []
     for radius in range(width + 1):
         masks = [sum(1 << b for b in bits) for bits in combinations(range(width), radius)]
         probes = still.select("q", F.explode(_pieces("q", segments)).alias("piece")).select(
             "q", F.shiftright("piece", width).alias("seg"),
             F.explode(F.transform(F.lit(masks).cast("array<long>"), lambda m: F.col("piece").bitwiseXOR(m))).alias("key"))
-        found = probes.join(index, "key").where(_met_first(segments, radius)).select(
+        # The planner does not count what explode multiplies and would broadcast
+        # the probes for the few queries they come from; hence the hint.
+        found = probes.join(index.hint("merge"), "key").where(_met_first(segments, radius)).select(
             "q", "code", "least", "rows", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"))
         ranked = best.union(found).withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
-        best = saved(ranked, f"best{radius}")
         covered = segments * (radius + 1) - 1
-        done = best.groupBy("q").agg(
-            F.sum(F.when(F.col("distance") <= covered, F.col("rows")).otherwise(0)).alias("sure"),
-            F.count(F.lit(1)).alias("seen")).where((F.col("sure") >= k + 1) | (F.col("seen") >= n_codes)).select("q")
-        finished.append(best.join(done, "q", "left_semi"))
-        still = saved(still.join(done, "q", "left_anti"), f"open{radius}")
-        best = best.join(still, "q", "left_semi")
+        sure = F.sum(F.when(F.col("distance") <= covered, F.col("rows")).otherwise(0)).over(whole) >= k + 1
+        every = F.count(F.lit(1)).over(whole) >= n_codes
+        state = saved(ranked.withColumn("done", sure | every | F.lit(radius == width)), f"best{radius}")
+        finished.append(state.where("done").drop("done"))
+        best = state.where("not done").drop("done")
+        still = saved(still.join(finished[-1].select("q").distinct(), "q", "left_anti"), f"open{radius}")
         if not still.limit(1).count():
             break
-    else:
-        finished.append(best)
     nearest = finished[0]
     for more in finished[1:]:
         nearest = nearest.union(more)
