@@ -9,7 +9,8 @@ earlier rounds could not exclude.  A candidate is kept where it is met first
 (the least piece distance, then the lowest piece), which makes it unique
 without a distinct.  A query leaves the search as soon as its k best rows are
 no further than the distance the finished rounds provably cover; the others
-go on with the next radius.
+go on with the next radius, and from then on the join itself drops candidates
+beyond their k + 1 best codes so far.
 
 Codes, not rows, are indexed and searched: equal codes are one entry with its
 k + 1 least ids, since no result can hold more of them.  Those ids come from
@@ -94,7 +95,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGM
     index = saved(entries.select("code", F.element_at("ids", 1).alias("least"), F.size("ids").alias("rows"),
                                  F.explode(_pieces("code", segments)).alias("key")), "index")
     wanted = saved(queries.distinct(), "queries")
-    still = saved(wanted.select(F.col("code").alias("q")).distinct(), "open")
+    still = saved(wanted.select(F.col("code").alias("q")).distinct().withColumn("bound", F.lit(BITS)), "open")
     kind = "q long, code long, least long, rows int, distance int"
     best = rows.sparkSession.createDataFrame([], kind)
     order = Window.partitionBy("q").orderBy("distance", "least")
@@ -102,13 +103,15 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGM
     finished = []
     for radius in range(width + 1):
         masks = [sum(1 << b for b in bits) for bits in combinations(range(width), radius)]
-        probes = still.select("q", F.explode(_pieces("q", segments)).alias("piece")).select(
-            "q", F.shiftright("piece", width).alias("seg"),
+        probes = still.select("q", "bound", F.explode(_pieces("q", segments)).alias("piece")).select(
+            "q", "bound", F.shiftright("piece", width).alias("seg"),
             F.explode(F.transform(F.lit(masks).cast("array<long>"), lambda m: F.col("piece").bitwiseXOR(m))).alias("key"))
         # The planner does not count what explode multiplies and would broadcast
         # the probes for the few queries they come from; hence the hint.
-        found = probes.join(index.hint("merge"), "key").where(_met_first(segments, radius)).select(
-            "q", "code", "least", "rows", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"))
+        distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
+        found = probes.join(index.hint("merge"), "key").where(
+            _met_first(segments, radius) & (distance <= F.col("bound"))).select(
+            "q", "code", "least", "rows", distance.alias("distance"))
         ranked = best.union(found).withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
         covered = segments * (radius + 1) - 1
         sure = F.sum(F.when(F.col("distance") <= covered, F.col("rows")).otherwise(0)).over(whole) >= k + 1
@@ -116,7 +119,10 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGM
         state = saved(ranked.withColumn("done", sure | every | F.lit(radius == width)), f"best{radius}")
         finished.append(state.where("done").drop("done"))
         best = state.where("not done").drop("done")
-        still = saved(still.join(finished[-1].select("q").distinct(), "q", "left_anti"), f"open{radius}")
+        # Once k + 1 codes are known, nothing beyond the last of them matters.
+        last = best.groupBy("q").agg(F.when(F.count(F.lit(1)) > k, F.max("distance")).alias("last"))
+        still = saved(still.join(finished[-1].select("q").distinct(), "q", "left_anti").join(last, "q", "left").select(
+            "q", F.coalesce("last", "bound").alias("bound")), f"open{radius}")
         if not still.limit(1).count():
             break
     nearest = finished[0]
