@@ -31,21 +31,23 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the document with the least id stays.
 
-    Rows that repeat the id of a kept document are dropped as well; a row
-    without an id stays only if no document of its group has one.
+    Rows that repeat the id of a kept document are dropped as well.  A row
+    without an id cannot be named as the one to keep or drop, so it stays.
+    The join and the dropping of repeated ids share one exchange.
     """
     prepare(spark)
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept"))
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id"])
+    kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents into which a benchmark item leaked."""
     prepare(spark)
     leaks = decontam.matches(docs, read(spark, sf_dir, "benchmark"))
-    leaked = leaks.select(F.col("doc_id").alias("_leaked")).distinct()
+    leaked = saved(leaks.select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
+    if leaked.limit(decontam.BROADCAST_IDS + 1).count() <= decontam.BROADCAST_IDS:
+        leaked = F.broadcast(leaked)  # counted ids of 8 bytes each
     return docs.join(leaked, F.col("doc_id").cast("long") == F.col("_leaked"), "left_anti")
 
 
@@ -65,10 +67,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     prepare(spark)
     ranks, pattern = tokenizer_file()
-    text = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    ids = bpe.decode(bpe.encode(text, ranks, pattern), ranks)
-    return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                      (F.col("decoded") == F.col("text").cast("binary")).alias("exact"))
+    coded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), ranks, pattern)
+    return coded.select("doc_id", "lang", "source", "n_tokens", "ids", "exact")
 
 
 STAGES = [

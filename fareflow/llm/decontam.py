@@ -110,7 +110,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ids = met.select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
     again = texts.join(ids, "doc_id", "left_semi").select("doc_id", tokens(F.col("text")).alias("words"))
-    again = again.join(hit, "doc_id").select("doc_id", F.explode(F.transform("at", lambda p: F.struct(
+    again = again.join(hit.hint("merge"), "doc_id").select("doc_id", F.explode(F.transform("at", lambda p: F.struct(
         p.alias("pos"), F.slice("words", p + 1, WINDOW).alias("found")))).alias("w"))
     again = again.select("doc_id", F.col("w.found").alias("found"), F.xxhash64(template(F.col("w.found"))).alias("hash"))
     pairs = saved(again.where(F.size("found") == WINDOW).distinct().join(
@@ -123,7 +123,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         lambda s: (s["b"] >= _NAME) | (s["b"] < ":"))).alias("s"))
     filled = slots.groupBy("doc_id", "item_id", "s.b").agg(F.countDistinct("s.d").alias("values"))
     fit = filled.groupBy("doc_id", "item_id").agg(F.avg(F.when(F.col("values") == 1, 1.0).otherwise(0.0)).alias("share"))
-    joined = covered.join(fit, ["doc_id", "item_id"], "left").withColumn("share", F.coalesce("share", F.lit(1.0)))
+    joined = covered.join(fit.hint("merge"), ["doc_id", "item_id"], "left").withColumn("share", F.coalesce("share", F.lit(1.0)))
     enough = (F.col("n_matched") >= F.lit(COVER) * F.col("n_windows")) | (F.col("n_matched") >= ENOUGH)
     return joined.where(enough & (F.col("share") >= CONSISTENT)).select(
         "doc_id", "item_id", "n_matched", "n_windows", "share")

@@ -4,8 +4,9 @@ Each round links every node's larger neighbours to its smallest neighbour
 (large star) and then its smaller neighbours to the smallest of them (small
 star).  Minima are plain grouped aggregates, combined before the shuffle, so a
 hub with very many neighbours is no single group; the joins that send the
-minimum back are ordinary equi-joins that adaptive execution may split.  Only
-one row (an edge count and checksum) reaches the driver per round.
+minimum back are sort-merge joins: rounds follow each other, and relations
+broadcast in every one of them would pile up on the driver.  Only one row (an
+edge count and checksum) reaches the driver per round.
 """
 
 from __future__ import annotations
@@ -45,11 +46,11 @@ def components(edges: DataFrame) -> DataFrame:
         # Large star.
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star.
         large = oriented(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(
+        small = large.join(low.hint("merge"), "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         current = put(oriented(small), i)

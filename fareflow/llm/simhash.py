@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import saved, with_text
+from fareflow.llm.common import saved, with_text, worker_state
 from fareflow.llm.graph import components
 
 SHINGLE = 4
@@ -67,6 +67,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``(doc_id, fp)``; fp holds the 64 bits as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
         for batch in batches:
             fp = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
@@ -122,9 +123,15 @@ def links(fps: DataFrame, radius: int = RADIUS, pair_limit: int = PAIR_LIMIT) ->
     """
     if radius != 4:
         raise ValueError("the balls are laid out for a radius of 4 bits")
-    ball = _half_ball(fps)
-    sizes = ball.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = saved(ball.join(sizes, "key"), "met")
+    # Spread over all shuffle partitions before every row becomes 66.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ball = _half_ball(fps.repartition(parts, "fp"))
+    # A table, so that both sides of the join are plain exchanges that adaptive
+    # execution may split.
+    sizes = saved(ball.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    # The planner does not count what explode multiplies and might broadcast a
+    # ball for the few fingerprints it comes from; hence the merge hints.
+    met = saved(ball.join(sizes.hint("merge"), "key"), "met")
     lists = met.where(F.col("n") <= pair_limit).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("fp", "flip"))).alias("m"))
     near = lists.select(F.posexplode("m").alias("i", "u"), "m").select("u.fp", F.explode(F.filter(
@@ -133,7 +140,7 @@ def links(fps: DataFrame, radius: int = RADIUS, pair_limit: int = PAIR_LIMIT) ->
     crowd = met.where(F.col("n") > pair_limit).select("fp").distinct()
     whole = _whole_ball(crowd)
     hubs = whole.groupBy("key").agg(F.min("fp").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "u")
-    stars = whole.join(hubs, "key").where("u <> fp").select("u", F.col("fp").alias("v")).distinct()
+    stars = whole.join(hubs.hint("merge"), "key").where("u <> fp").select("u", F.col("fp").alias("v")).distinct()
     return near.union(stars)
 
 
