@@ -8,12 +8,16 @@ to those of the benchmark, so that a question whose figures or names were
 exchanged still matches.  Windows with fewer than ``LITERAL`` plain words say
 too little and are not indexed.
 
-A document and an item that share windows are then checked slot by slot.  In
-a re-parameterised copy each placeholder is filled consistently: wherever the
-item has one value, the document has one value.  ``CONSISTENT`` of the item's
-distinct slot values must pass, else the match is dropped.  An item leaks
-into a document if at least ``COVER`` of its windows, or ``ENOUGH`` of them
-(``WINDOW + ENOUGH - 1`` running tokens), are in it.
+A document and an item that share windows are then checked slot by slot, one
+occurrence at a time.  Windows at one shift (place in the document less place
+in the item) are aligned and form an occurrence.  A copy with words put in or
+left out drifts, so shifts less than ``DRIFT`` apart are also pooled (on two
+grids, half a step apart), and so are all windows of the pair.  In a
+re-parameterised copy each placeholder is filled consistently: wherever the
+item has one value, the occurrence has one value.  ``CONSISTENT`` of the
+item's distinct slot values must pass.  An item leaks into a document if any
+occurrence passes that and holds at least ``COVER`` of the item's windows, or
+``ENOUGH`` of them (``WINDOW + ENOUGH - 1`` running tokens).
 
 The document side of the first join carries a hash, an id and a position per
 window and joins the benchmark's windows by hash: broadcast while the counted
@@ -40,6 +44,7 @@ LITERAL = 5
 COVER = 0.5
 ENOUGH = 6
 CONSISTENT = 0.8
+DRIFT = 8
 BROADCAST_ROWS = 200_000
 BROADCAST_IDS = 1_000_000
 
@@ -94,6 +99,15 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return rows.join(total, "item_id")
 
 
+def _share(slots: Column) -> Column:
+    """Share of the item's slot values that the document fills with one value."""
+    def of(s):
+        values = F.array_distinct(F.transform(s, lambda x: x["b"]))
+        fit = let(values, lambda v: F.size(F.filter(v, lambda b: F.size(F.filter(s, lambda x: x["b"] == b)) == 1)) / F.size(v))
+        return F.when(F.size(s) == 0, F.lit(1.0)).otherwise(fit)
+    return let(slots, of)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, n_matched, n_windows, share)``: leaked items of documents."""
     index = saved(benchmark_windows(benchmark), "index")
@@ -112,21 +126,27 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     again = texts.join(ids, "doc_id", "left_semi").select("doc_id", tokens(F.col("text")).alias("words"))
     again = again.join(hit.hint("merge"), "doc_id").select("doc_id", F.explode(F.transform("at", lambda p: F.struct(
         p.alias("pos"), F.slice("words", p + 1, WINDOW).alias("found")))).alias("w"))
-    again = again.select("doc_id", F.col("w.found").alias("found"), F.xxhash64(template(F.col("w.found"))).alias("hash"))
-    pairs = saved(again.where(F.size("found") == WINDOW).distinct().join(
+    again = again.select("doc_id", F.col("w.pos").alias("pos"), F.col("w.found").alias("found"),
+                         F.xxhash64(template(F.col("w.found"))).alias("hash"))
+    pairs = saved(again.where(F.size("found") == WINDOW).join(
         bounded(index.select("item_id", "at", "hash", "filled", "n_windows")), "hash"), "pairs")
 
-    covered = pairs.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("hash").alias("n_matched"), F.first("n_windows").alias("n_windows"))
-    slots = pairs.select("doc_id", "item_id", F.explode(F.filter(
-        F.zip_with("filled", "found", lambda b, d: F.struct(b.alias("b"), d.alias("d"))),
-        lambda s: (s["b"] >= _NAME) | (s["b"] < ":"))).alias("s"))
-    filled = slots.groupBy("doc_id", "item_id", "s.b").agg(F.countDistinct("s.d").alias("values"))
-    fit = filled.groupBy("doc_id", "item_id").agg(F.avg(F.when(F.col("values") == 1, 1.0).otherwise(0.0)).alias("share"))
-    joined = covered.join(fit.hint("merge"), ["doc_id", "item_id"], "left").withColumn("share", F.coalesce("share", F.lit(1.0)))
+    # The filter keeps the slots: pairs of the item's and the document's value.
+    slots = F.filter(F.zip_with("filled", "found", lambda b, d: F.struct(b.alias("b"), d.alias("d"))),
+                     lambda s: (s["b"] >= _NAME) | (s["b"] < ":"))
+    aligned = pairs.select("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "hash", "n_windows",
+                           slots.alias("slots")).groupBy("doc_id", "item_id", "shift").agg(
+        F.collect_set("hash").alias("hit"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
+        F.first("n_windows").alias("n_windows"))
+    part = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), key.cast("long").alias("key")) for kind, key in enumerate(
+        (F.col("shift"), F.floor(F.col("shift") / DRIFT), F.floor((F.col("shift") + DRIFT // 2) / DRIFT), F.lit(0)))]))
+    occurrences = aligned.withColumn("part", part).groupBy("doc_id", "item_id", "part").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("n_matched"),
+        F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"), F.first("n_windows").alias("n_windows"))
     enough = (F.col("n_matched") >= F.lit(COVER) * F.col("n_windows")) | (F.col("n_matched") >= ENOUGH)
-    return joined.where(enough & (F.col("share") >= CONSISTENT)).select(
-        "doc_id", "item_id", "n_matched", "n_windows", "share")
+    passed = occurrences.where(enough).withColumn("share", _share(F.col("slots"))).where(F.col("share") >= CONSISTENT)
+    return passed.groupBy("doc_id", "item_id").agg(
+        F.max(F.struct("n_matched", "n_windows", "share")).alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

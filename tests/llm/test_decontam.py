@@ -116,3 +116,25 @@ def test_edge_rows(spark):
     assert got[0] == (0, False, []) and got[3:5] == [(3, True, [7, 8])] * 2 and len(got) == 6
     assert decontam.contamination(docs.limit(0), items).collect() == []
     assert {r.contaminated for r in decontam.contamination(docs, items.limit(0)).collect()} == {False}
+
+
+REPEAT = ("Ann has 5 red apples in the box at home, later she has 7 red apples in the box at home again today")
+
+
+def test_verbatim_copy_of_an_item_that_repeats_a_template_window(spark):
+    prepare(spark)
+    item = REPEAT.replace("Ann has", "then she has")
+    other = item.replace("5", "11").replace("7", "13")
+    docs = [(1, REPEAT), (2, "Some words before. " + item + " and after."), (3, other)]
+    got = {r.doc_id: r.items for r in run(spark, docs, [(1, REPEAT), (2, item)])}
+    assert 1 in got[1] and 2 in got[2] and 2 in got[3]
+
+
+def test_two_copies_and_two_items_of_one_template(spark):
+    prepare(spark)
+    other = ITEM.replace("60", "85").replace("3", "7").replace("Paris", "Berlin").replace("Lyon", "Munich")
+    third = ITEM.replace("60", "20").replace("3", "9").replace("Paris", "Rome").replace("Lyon", "Milan")
+    drifted = ITEM.replace("per hour and arrives", "per hour and then arrives")
+    docs = [(1, ITEM + ". " + other), (2, other + " - " + third), (3, ITEM + ". " + ITEM), (4, drifted + ". " + third)]
+    got = {r.doc_id: r.items for r in run(spark, docs, [(1, ITEM), (2, other)])}
+    assert got == {1: [1, 2], 2: [1, 2], 3: [1, 2], 4: [1, 2]}
