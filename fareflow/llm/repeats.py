@@ -194,7 +194,9 @@ def blocks(rows: DataFrame, compare: Callable[[Block], list[tuple[int, int, int]
     """Run ``compare`` over reference blocks of whole anchors.
 
     The rows of an anchor arrive together and in document order; several
-    anchors share a block until it holds about ``BLOCK_BYTES``.
+    anchors share a block until it holds about ``BLOCK_BYTES``.  A segment
+    that repeated rows of a document fetched more than once enters once:
+    nothing is compared with itself.
     """
     def done(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
         d, s, n = zip(*found) if found else ((), (), ())
@@ -202,16 +204,21 @@ def blocks(rows: DataFrame, compare: Callable[[Block], list[tuple[int, int, int]
                                           names=["doc_id", "start", "nwin"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
+        held, size, last, place, there = [], 0, None, None, set()
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("key", "doc_id", "start", "nwin", "off", "symbols")]
             for key, *row in zip(*columns):
                 if size >= BLOCK_BYTES and key != last:
                     yield done(compare(held))
                     held, size = [], 0
+                if (key, row[0], row[1]) != place:
+                    place, there = (key, row[0], row[1]), set()
+                last = key
+                if row[-1] in there:
+                    continue
+                there.add(row[-1])
                 held.append(tuple(row))
                 size += len(row[-1])
-                last = key
         if held:
             yield done(compare(held))
 

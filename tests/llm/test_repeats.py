@@ -117,3 +117,17 @@ def test_repeated_rows_and_rows_without_id(spark):
     got = sorted((r.doc_id or 0, r.n_removed) for r in colbwt.dedup(df, 200, 100).collect())
     assert got[0] == (0, 0) and got[1] == got[2] and got[3] == (3, 0)
     assert rlz.dedup(df.limit(0)).collect() == [] and colbwt.dedup(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_repeated_row_beside_a_document_that_shares_a_part(spark, hot):
+    prepare(spark)
+    shared = [f"s{i}" for i in range(30)]
+    one = " ".join([f"a{i}" for i in range(40)] + shared + [f"b{i}" for i in range(40)])
+    two = " ".join([f"c{i}" for i in range(40)] + shared + [f"d{i}" for i in range(40)])
+    df = spark.createDataFrame([(1, one), (1, one), (2, two), (2, two)], "doc_id long, text string")
+    words, raw = plain_words({1: one, 2: two}, 20), plain_bytes({1: one, 2: two}, 60)
+    got = [(r.doc_id, (r.n_words, r.n_removed, r.kept.encode())) for r in rlz.dedup(df, 20, 5, hot).collect()]
+    assert len(got) == 4 and all(words[d] == v for d, v in got)
+    got = [(r.doc_id, (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept))) for r in colbwt.dedup(df, 60, 20, hot).collect()]
+    assert len(got) == 4 and all(raw[d] == v for d, v in got)
