@@ -6,7 +6,9 @@ a capitalised word inside a sentence ``<name>``, and any other word its lower
 case.  Windows of ``WINDOW`` template tokens of the documents are hash-joined
 to those of the benchmark, so that a question whose figures or names were
 exchanged still matches.  Windows with fewer than ``LITERAL`` plain words say
-too little and are not indexed.
+too little as templates, so they are indexed by their literal tokens (lower
+case, whatever their type), and so is the whole of an item of fewer than
+``WINDOW`` tokens.
 
 A document and an item that share windows are then checked slot by slot, one
 occurrence at a time.  Windows at one shift (place in the document less place
@@ -17,16 +19,20 @@ re-parameterised copy each placeholder is filled consistently: wherever the
 item has one value, the occurrence has one value.  ``CONSISTENT`` of the
 item's distinct slot values must pass.  An item leaks into a document if any
 occurrence passes that and holds at least ``COVER`` of the item's windows, or
-``ENOUGH`` of them (``WINDOW + ENOUGH - 1`` running tokens).
+``ENOUGH`` of them (``WINDOW + ENOUGH - 1`` running tokens); counted over its
+template windows alone, where it has any, or over all of them.
 
 The document side of the first join carries a hash, an id and a position per
-window and joins the benchmark's windows by hash: broadcast while the counted
+window (and again per length of the literal windows that the benchmark has, at
+most ``WINDOW`` lengths) and joins the benchmark's windows by hash: broadcast while the counted
 windows are at most ``BROADCAST_ROWS``, shuffled above that.  Texts are read a
 second time only for documents with matches; the list of their ids is
 broadcast up to ``BROADCAST_IDS`` (8 bytes each) and shuffled above that.
 
-Defined cases: null texts are empty and match nothing; items of fewer than
-``WINDOW`` tokens are not searched; equal items are each reported; rows that
+Defined cases: null texts are empty and match nothing; so does an item without
+a letter or digit; an item of a few tokens leaks into every document that has
+them in a row; a text without blanks is one token per run of letters, so an
+item in such a script is found between punctuation marks; equal items are each reported; rows that
 repeat a doc_id are one document whose windows are pooled, and each row gets
 the same answer; rows with a null id are kept and are never matched; an empty
 table on either side gives no matches.
@@ -76,26 +82,51 @@ def template(words: Column) -> Column:
     return F.transform(words, one)
 
 
-def _hashes(shapes: Column) -> Column:
-    """Hash of every window of template tokens, by its position."""
-    return let(shapes, lambda s: F.when(F.size(s) >= WINDOW, F.transform(
-        F.sequence(F.lit(1), F.size(s) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(s, i, WINDOW)))).otherwise(
-        F.array().cast("array<long>")))
+def literal(words: Column) -> Column:
+    """Lower case of each token, without the mark."""
+    return F.transform(words, lambda w: F.lower(F.translate(w, _NAME + _UNIT, "")))
+
+
+def _hash(words: Column, exact: Column) -> Column:
+    """Hash of one window; ``exact`` is its length if it is literal, or 0."""
+    return F.when(exact == 0, F.xxhash64(template(words))).otherwise(F.xxhash64(exact, literal(words)))
+
+
+def _windows(words: Column, lengths: list[int]) -> Column:
+    """``(pos, exact, hash)`` of every template window, and every literal one of ``lengths``."""
+    def cut(tokens_: Column, size: int, one):
+        return let(tokens_, lambda s: F.when(F.size(s) >= size, F.transform(
+            F.sequence(F.lit(0), F.size(s) - size), lambda i: one(i, F.slice(s, i + 1, size)))).otherwise(F.array()))
+
+    def of(exact, hashed):
+        return lambda i, w: F.struct(i.alias("pos"), F.lit(exact).alias("exact"), hashed(w).alias("hash"))
+
+    def all_of(w):
+        parts = [cut(template(w), WINDOW, of(0, F.xxhash64))]
+        parts += [cut(literal(w), n, of(n, lambda x, n=n: F.xxhash64(F.lit(n), x))) for n in lengths]
+        return F.concat(*parts) if lengths else parts[0]
+    return let(words, all_of)
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``(item_id, at, hash, filled, n_windows)``: indexed windows of every item."""
+    """``(item_id, at, exact, hash, filled, n_windows, n_exact)``: indexed windows of every item.
+
+    ``exact`` is the length of a window indexed by its literal tokens, and 0
+    where the template is indexed.
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
-    cut = items.select("item_id", tokens(F.col("text")).alias("words")).withColumn("shapes", template(F.col("words")))
-    rows = cut.select("item_id", F.explode(F.when(F.size("words") >= WINDOW, F.sequence(
-        F.lit(1), F.size("words") - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))).alias("at"), "words", "shapes")
+    cut = items.select("item_id", tokens(F.col("text")).alias("words")).where(F.size("words") > 0)
+    rows = cut.select("item_id", "words", template(F.col("words")).alias("shapes"), F.explode(F.sequence(
+        F.lit(1), F.greatest(F.size("words") - (WINDOW - 1), F.lit(1)))).alias("at"))
     rows = rows.select("item_id", "at", F.slice("words", F.col("at"), WINDOW).alias("filled"),
                        F.slice("shapes", F.col("at"), WINDOW).alias("shape"))
-    literal = F.size(F.filter("shape", lambda w: ~w.startswith("<")))
-    rows = rows.where(literal >= LITERAL).select("item_id", "at", F.xxhash64("shape").alias("hash"), "filled")
+    plain = F.size(F.filter("shape", lambda w: ~w.startswith("<")))
+    rows = rows.withColumn("exact", F.when((F.size("shape") == WINDOW) & (plain >= LITERAL), 0).otherwise(F.size("shape")))
+    rows = rows.select("item_id", "at", "exact", _hash(F.col("filled"), F.col("exact")).alias("hash"), "filled")
     # Counted over the item's distinct windows, as matches are.
-    total = rows.groupBy("item_id").agg(F.countDistinct("hash").alias("n_windows"))
+    total = rows.groupBy("item_id").agg(F.countDistinct(F.when(F.col("exact") == 0, F.col("hash"))).alias("n_windows"),
+                                        F.countDistinct(F.when(F.col("exact") > 0, F.col("hash"))).alias("n_exact"))
     return rows.join(total, "item_id")
 
 
@@ -114,39 +145,49 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small = index.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     bounded = F.broadcast if small else (lambda df: df)
     texts = with_text(docs).where("doc_id is not null")
+    # At most WINDOW numbers.
+    lengths = sorted(r.exact for r in index.where("exact > 0").select("exact").distinct().collect())
 
-    windows = texts.select("doc_id", F.posexplode(_hashes(template(tokens(F.col("text"))))).alias("pos", "hash"))
-    keys = index.select("hash").distinct()
-    met = saved(windows.join(bounded(keys), "hash", "left_semi"), "met")
+    windows = texts.select("doc_id", F.explode(_windows(tokens(F.col("text")), lengths)).alias("w")).select("doc_id", "w.*")
+    keys = index.select("exact", "hash").distinct()
+    met = saved(windows.join(bounded(keys), ["exact", "hash"], "left_semi"), "met")
 
     # Second look at the documents that matched, for their slot values.
-    hit = met.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    hit = met.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "exact")).alias("at"))
     ids = met.select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
     again = texts.join(ids, "doc_id", "left_semi").select("doc_id", tokens(F.col("text")).alias("words"))
+    size = lambda p: F.when(p["exact"] == 0, WINDOW).otherwise(p["exact"])
     again = again.join(hit.hint("merge"), "doc_id").select("doc_id", F.explode(F.transform("at", lambda p: F.struct(
-        p.alias("pos"), F.slice("words", p + 1, WINDOW).alias("found")))).alias("w"))
-    again = again.select("doc_id", F.col("w.pos").alias("pos"), F.col("w.found").alias("found"),
-                         F.xxhash64(template(F.col("w.found"))).alias("hash"))
-    pairs = saved(again.where(F.size("found") == WINDOW).join(
-        bounded(index.select("item_id", "at", "hash", "filled", "n_windows")), "hash"), "pairs")
-
-    # The filter keeps the slots: pairs of the item's and the document's value.
-    slots = F.filter(F.zip_with("filled", "found", lambda b, d: F.struct(b.alias("b"), d.alias("d"))),
-                     lambda s: (s["b"] >= _NAME) | (s["b"] < ":"))
-    aligned = pairs.select("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "hash", "n_windows",
-                           slots.alias("slots")).groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("hash").alias("hit"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
-        F.first("n_windows").alias("n_windows"))
+        p["pos"].alias("pos"), p["exact"].alias("exact"), F.slice("words", p["pos"] + 1, size(p)).alias("found")))).alias("w"))
+    again = again.select("doc_id", "w.*").where(F.size("found") == size({"exact": F.col("exact")}))
+    again = again.withColumn("hash", _hash(F.col("found"), F.col("exact")))
+    pairs = saved(again.join(bounded(index), ["exact", "hash"]).select(
+        "doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "exact", "hash", "filled", "found",
+        "n_windows", "n_exact"), "pairs")
+
+    # Slots are pairs of the item's and the document's value; literal windows have none.
+    slots = F.when(F.col("exact") == 0, F.filter(
+        F.zip_with("filled", "found", lambda b, d: F.struct(b.alias("b"), d.alias("d"))),
+        lambda s: (s["b"] >= _NAME) | (s["b"] < ":"))).otherwise(F.array())
+    totals = [F.first(c).alias(c) for c in ("n_windows", "n_exact")]
+    aligned = pairs.select("doc_id", "item_id", "shift", F.struct((F.col("exact") > 0).alias("exact"), "hash").alias("hit"),
+                           slots.alias("slots"), "n_windows", "n_exact").groupBy("doc_id", "item_id", "shift").agg(
+        F.collect_set("hit").alias("hit"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"), *totals)
     part = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), key.cast("long").alias("key")) for kind, key in enumerate(
         (F.col("shift"), F.floor(F.col("shift") / DRIFT), F.floor((F.col("shift") + DRIFT // 2) / DRIFT), F.lit(0)))]))
     occurrences = aligned.withColumn("part", part).groupBy("doc_id", "item_id", "part").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("n_matched"),
-        F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"), F.first("n_windows").alias("n_windows"))
-    enough = (F.col("n_matched") >= F.lit(COVER) * F.col("n_windows")) | (F.col("n_matched") >= ENOUGH)
+        F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"),
+        F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"), *totals)
+    occurrences = occurrences.select(
+        "doc_id", "item_id", "slots", "n_windows", F.size("hit").cast("long").alias("n_matched"),
+        F.size(F.filter("hit", lambda h: ~h["exact"])).alias("shaped"), (F.col("n_windows") + F.col("n_exact")).alias("n_all"))
+    enough = ((F.col("shaped") > 0) & (F.col("shaped") >= F.lit(COVER) * F.col("n_windows"))) | (
+        F.col("n_matched") >= F.lit(COVER) * F.col("n_all")) | (F.col("n_matched") >= ENOUGH)
     passed = occurrences.where(enough).withColumn("share", _share(F.col("slots"))).where(F.col("share") >= CONSISTENT)
     return passed.groupBy("doc_id", "item_id").agg(
-        F.max(F.struct("n_matched", "n_windows", "share")).alias("best")).select("doc_id", "item_id", "best.*")
+        F.max(F.struct("n_matched", F.col("n_all").alias("n_windows"), "share")).alias("best")).select(
+        "doc_id", "item_id", "best.*")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -138,3 +138,14 @@ def test_two_copies_and_two_items_of_one_template(spark):
     docs = [(1, ITEM + ". " + other), (2, other + " - " + third), (3, ITEM + ". " + ITEM), (4, drifted + ". " + third)]
     got = {r.doc_id: r.items for r in run(spark, docs, [(1, ITEM), (2, other)])}
     assert got == {1: [1, 2], 2: [1, 2], 3: [1, 2], 4: [1, 2]}
+
+
+def test_short_items_and_windows_of_few_plain_words(spark):
+    prepare(spark)
+    names = "Anna Maria Lopez, born 3 May 1985, Peter Paul Schmidt, born 12 June 1990"
+    items = [(1, "What is 12 + 7 * 3 - 4 / 2?"), (2, names), (3, "法国的首都是哪里？请回答。"), (4, "?"), (5, "Who wrote Faust?")]
+    docs = [(1, "Question: What is 12 + 7 * 3 - 4 / 2? Answer that."), (2, "What is 12 + 7 * 3 - 4 / 5?"),
+            (3, "see " + names + " and more"), (4, names.replace("1985", "1986").replace("12", "13").replace("Lopez", "Perez")),
+            (5, "题目：法国的首都是哪里？请回答。"), (6, "法国的首都"), (7, "so who wrote Faust, then?"), (8, "who then wrote Faust")]
+    got = {r.doc_id: r.items for r in run(spark, docs, items)}
+    assert got == {1: [1], 2: [], 3: [2], 4: [], 5: [3], 6: [], 7: [5], 8: []}
