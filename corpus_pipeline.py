@@ -16,8 +16,8 @@ from fareflow.llm import bpe, crf, decontam, secrets, simhash
 from fareflow.llm.common import prepare, read, saved
 from fareflow.llm.queries import tokenizer_file
 
-# Documents with this toxicity score or more are rejected.
-REJECT = 0.5
+# Documents with this toxicity score or more are rejected: those op3 predicts toxic.
+REJECT = crf.TOXIC
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

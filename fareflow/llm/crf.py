@@ -48,6 +48,7 @@ REACH = 8
 PREFIXES = (3, 4, 5, 6, 7)
 MIN_DOCS, MIN_SHARE, MIN_PRECISION = 3, 0.01, 0.8
 SPAN_PROBABILITY = 0.5
+TOXIC = 0.3  # score from which a document is predicted toxic
 CACHE_WORDS = 300_000
 
 _TOKEN = re.compile(r"[^\W\d_]+")

@@ -52,7 +52,7 @@ def op3(spark, sf):
     model = crf.learn(docs, read(spark, sf, "labels"))
     return crf.tag(docs, model).select(
         "doc_id", crf.held_out().alias("held_out"), "score",
-        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "spans")
+        F.when(F.col("score") >= crf.TOXIC, 1).otherwise(0).alias("predicted"), "spans")
 
 
 @register("op4_simhash_near_dedup")

@@ -76,3 +76,12 @@ def test_empty_input(spark):
     for name, stage in cp.STAGES:
         docs = saved(stage(spark, docs, SF), name)
     assert docs.count() == 0
+
+
+def test_toxicity_rejects_what_the_operator_predicts(spark, monkeypatch):
+    scores = {1: 0.29, 2: 0.3, 3: 0.45, 4: 0.9}
+    docs = spark.createDataFrame([(d, "text") for d in scores], "doc_id long, text string")
+    value = F.element_at(F.create_map(*[F.lit(x) for pair in scores.items() for x in pair]), F.col("doc_id").cast("int"))
+    monkeypatch.setattr(crf, "learn", lambda *a: None)
+    monkeypatch.setattr(crf, "tag", lambda df, model, score="score", spans="spans": df.withColumn(score, value))
+    assert [r.doc_id for r in cp.toxicity(spark, docs, SF).collect()] == [1]
