@@ -170,3 +170,72 @@ def op2(spark, sf):
     """Conversations in reply order, quoted passages linked and taken out."""
     from fareflow.llm import quotes
     return quotes.conversations(read(spark, sf, "conversations"))
+
+
+@register("op11_lockstep_alignment")
+def op11(spark, sf):
+    """Two tokenizations of every document aligned by their common token ends."""
+    from fareflow.llm import align
+    import public_tokenizers
+    docs = read(spark, sf, "documents")
+    return align.alignment(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@register("op12_packed_counters")
+def op12(spark, sf):
+    """What each of five filters removes at every step of all 120 orders, by source."""
+    from fareflow.llm import audit
+    return audit.audit(audit.states(read(spark, sf, "documents"), read(spark, sf, "labels")))
+
+
+ORACLE["op12_packed_counters"] = """
+WITH RECURSIVE l AS (
+  SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words
+  FROM documents
+), d AS (
+  SELECT t.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    {'A': len(words) < 50, 'B': 100 * len(list_distinct(words)) < 65 * len(words),
+     'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+     'D': regexp_matches(text, '[#$%&*|]'),
+     'E': coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false)} AS f
+  FROM t LEFT JOIN l USING (doc_id)
+), s AS (
+  SELECT part, good, toxic, concat(CASE WHEN f.A THEN 'A' ELSE '' END, CASE WHEN f.B THEN 'B' ELSE '' END,
+    CASE WHEN f.C THEN 'C' ELSE '' END, CASE WHEN f.D THEN 'D' ELSE '' END, CASE WHEN f.E THEN 'E' ELSE '' END) AS fails, count(*) AS n
+  FROM d GROUP BY ALL
+), o(filter_order) AS (
+  SELECT '' UNION ALL
+  SELECT filter_order || c FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c) WHERE NOT contains(filter_order, c)
+), p AS (
+  SELECT filter_order, CAST(i AS INTEGER) AS step, filter_order[i:i] AS c, filter_order[1:i - 1] AS prior
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS i FROM o WHERE length(filter_order) = 5)
+), r AS (
+  SELECT *, contains(fails, c) AS failing, prior <> '' AND regexp_matches(fails, '[' || prior || '_]') AS gone FROM s, p
+), g AS (
+  SELECT part, filter_order, step, c,
+    sum(CASE WHEN NOT failing AND NOT gone THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = c THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN failing AND NOT gone AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM r GROUP BY part, filter_order, step, c
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
+FROM g
+"""
+
+
+@register("op13_harmonic_packing")
+def op13(spark, sf):
+    """Pieces of all documents packed into sequences of 4096 tokens."""
+    from fareflow.llm import harmonic
+    import public_tokenizers
+    return harmonic.pack(read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
