@@ -1,8 +1,8 @@
 """Command line for the batch jobs: profile, silver, gold, validate, query.
 
     python -m fareflow.cli profile  --bronze B --out O (--year-months 2024-01 ... | --months-file F | --year Y --month M) [--write-details]
-    python -m fareflow.cli silver   --bronze B --silver S (months as above) [--force]
-    python -m fareflow.cli gold     --silver S --zones Z --gold G [--test] [--force] [months as above: skip when complete]
+    python -m fareflow.cli silver   --bronze B --silver S (months as above) [--rejected R] [--max-critical-ratio X] [--table T] [--force]
+    python -m fareflow.cli gold     --silver S --gold G [--select dashboard|all] [--zones Z] [--test] [--force] [months as above]
     python -m fareflow.cli validate --silver S (months as above)
     python -m fareflow.cli query    --silver S --name aq1|aq2|aq3|aq4 (months as above) [--out O]
 
@@ -41,12 +41,12 @@ def cmd_profile(spark, args):
     from fareflow.sources.bronze import read_bronze_months
     from fareflow.sources.sinks import write_profile_details, write_profile_summary
     bronze = read_bronze_months(spark, args.bronze, _month_pairs(spark, args))
-    # One row per month: every table below is made of these, from one scan.
-    profiled = pf.profile(bronze).cache()
+    # Two scans: the counted values of the coded columns, and one row per month.
+    counts = pf.value_counts(bronze, pf.COUNTED_COLUMNS).cache()
+    profiled = pf.profile(bronze, counted=counts).cache()
     details, names = None, []
     if args.write_details:
         details = f"{args.out}/details"
-        counts = pf.distributions(bronze).cache()  # the second and last scan
         parts = {"summary": pf.SUMMARY_NAMES, "null_checks": [n for _, n in pf.NULL_CHECKS],
                  "critical_quality": ["total_rows", *pf.CRITICAL_COUNTERS], "warning_quality": pf.WARNING_COUNTERS}
         tables = {n: profiled.select("year", "month", *cols) for n, cols in parts.items()}
@@ -60,22 +60,32 @@ def cmd_profile(spark, args):
 
 def cmd_silver(spark, args):
     from fareflow.plans.silver_job import run_silver_job
-    _print(run_silver_job(spark, args.bronze, args.silver, _month_pairs(spark, args),
-                          force=args.force).orderBy("year", "month"))
+    rows = _print(run_silver_job(spark, args.bronze, args.silver, _month_pairs(spark, args), force=args.force,
+                                 rejected=args.rejected, max_critical_ratio=args.max_critical_ratio,
+                                 table=args.table).orderBy("year", "month"))
+    return 1 if any(r["status"] in ("missing", "failed_gate") for r in rows) else 0
 
 
 def cmd_gold(spark, args):
-    from fareflow.operators.months import gold_completeness
-    from fareflow.plans.gold_build import build_gold, table_paths, test_gold
+    from fareflow.operators.months import gold_completeness, months_frame
+    from fareflow.plans.gold_build import (
+        CORE_TABLES, DASHBOARD_TABLES, MART_TABLES, build_gold, table_paths, test_gold)
+    from fareflow.sources.bronze import stored_months
     from fareflow.sources.tables import read_partitioned
     from fareflow.sources.zones import read_zone_lookup
-    paths = table_paths(args.gold)
-    asked = args.year_months or args.months_file or args.year
-    if asked and not args.force and all(r["passed"] for r in gold_completeness(
-            spark, paths, _months(spark, args)).collect()):
+    tables = DASHBOARD_TABLES if args.select == "dashboard" else CORE_TABLES + MART_TABLES
+    paths = table_paths(args.gold, tables)
+    if args.year_months or args.months_file or args.year:
+        asked = _months(spark, args)
+    else:  # no months named: all that Silver holds
+        asked = months_frame(spark, stored_months(spark, args.silver))
+    if not args.force and all(r["passed"] for r in gold_completeness(spark, paths, asked).collect()):
         print("Gold is complete for these months; nothing to build (--force rebuilds it)")
         return 0
-    build_gold(spark, read_partitioned(spark, args.silver), read_zone_lookup(spark, args.zones), args.gold)
+    if "dim_zone" in tables and not args.zones:
+        raise SystemExit("--zones is needed for the zone dimension")
+    zones = read_zone_lookup(spark, args.zones) if args.zones else None
+    build_gold(spark, read_partitioned(spark, args.silver), zones, args.gold, tables)
     if args.test and not all(r["passed"] for r in _print(test_gold(spark, paths))):
         return 1
     return 0
@@ -119,11 +129,16 @@ def build_parser() -> argparse.ArgumentParser:
     p = sub.add_parser("silver")
     p.add_argument("--bronze", required=True)
     p.add_argument("--silver", required=True)
+    p.add_argument("--rejected", help="base of the rejected rows (default: the Silver base with _rejected)")
+    p.add_argument("--max-critical-ratio", type=float, help="leave a month with more critical issues a row unwritten")
+    p.add_argument("--table", help="catalog table that learns the written months")
     p.add_argument("--force", action="store_true")
     _add_months(p)
     p = sub.add_parser("gold")
     p.add_argument("--silver", required=True)
-    p.add_argument("--zones", required=True)
+    p.add_argument("--zones", help="zone lookup; needed for the zone dimension and the zone marts")
+    p.add_argument("--select", choices=["dashboard", "all"], default="dashboard",
+                   help="dashboard: what the daily revenue report needs; all: every dimension and mart")
     p.add_argument("--gold", required=True)
     p.add_argument("--test", action="store_true")
     p.add_argument("--force", action="store_true")

@@ -5,14 +5,15 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Reported sums and averages of double measures are native aggregates, rounded
-# in the output only: the order in which rows are combined moves a double sum
-# in its last bits, which the reported figure leaves out.  Averages of money
-# often lie half-way between two figures; the nudge sends those upwards, so
-# that a last bit does not decide.
+# Sums and averages of doubles are the engine's own; operators and written
+# tables never round.  Two engines add the same doubles in different orders and
+# differ in the last bits, so the registered queries compare rounded figures
+# (``reported``).  Averages of money often lie half-way between two of them; a
+# nudge sends those upwards, so that a last bit does not decide.
 SUM_DIGITS = 4
 MEAN_DIGITS = 6
 HALF_WAY_NUDGE = 1e-9
@@ -100,6 +101,18 @@ def reported_mean(c: str | Column) -> Column:
     return as_mean(F.avg(c))
 
 
+def reported(df: DataFrame, only_means: bool = False) -> DataFrame:
+    """The double columns of a result as they are compared: averages by their
+    name (``avg_*``), all others as sums unless ``only_means``."""
+    def shown(f):
+        if not isinstance(f.dataType, T.DoubleType):
+            return F.col(f.name)
+        if f.name.startswith("avg_"):
+            return as_mean(F.col(f.name)).alias(f.name)
+        return F.col(f.name) if only_means else as_sum(F.col(f.name)).alias(f.name)
+    return df.select(*[shown(f) for f in df.schema])
+
+
 def canonical_text(c: str | Column, kind: str) -> Column:
     """Engine-independent text form of a value, '' for NULL.
 

@@ -122,10 +122,10 @@ SILVER_ASSERTIONS = _spec("silver", {
     "ratecode_id": [_acc(1, 2, 3, 4, 5, 6, 99)], "store_and_fwd_flag": [_acc("Y", "N")],
     "total_amount": [NN], "pickup_location_id": [NN]})
 
-# QT5: the default run checks the dimensions and the daily mart; it leaves
-# out every relationships test and every test of the fact table.
-DEFAULT_MODELS = ("dim_zone", "dim_payment_type", "dim_rate_code", "dim_vendor",
-                  "dim_hour", "dim_date", "mart_daily_trip_revenue")
+# QT5 (fixed values): the tables of the default run; it leaves out the zone
+# dimension, every relationships test and every test of the fact table.
+DEFAULT_MODELS = ("dim_date", "dim_hour", "dim_payment_type", "dim_rate_code",
+                  "dim_vendor", "mart_daily_trip_revenue")
 
 
 def default_selection(assertions: list[Assertion] = ALL_ASSERTIONS) -> list[Assertion]:

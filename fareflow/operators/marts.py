@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.functions.expressions import count_when, as_mean, as_sum, reported_mean as mean, reported_sum as money_sum
+from fareflow.functions.expressions import count_when
 from fareflow.plans.joins import lookup_after_aggregate
 
 # Zone names that count as airports.
@@ -31,11 +31,11 @@ def _trips() -> Column:
 
 
 def _avgs(*names: str) -> list[Column]:
-    return [mean(n).alias(f"avg_{n}") for n in names]
+    return [F.avg(n).alias(f"avg_{n}") for n in names]
 
 
 def _sums(pairs: list[tuple[str, str]]) -> list[Column]:
-    return [money_sum(src).alias(out) for out, src in pairs]
+    return [F.sum(src).alias(out) for out, src in pairs]
 
 
 def mart_daily_trip_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -44,12 +44,12 @@ def mart_daily_trip_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     agg = fact.groupBy("pickup_date_key").agg(
         _trips(),
         F.sum(zf("passenger_count")).alias("total_passengers"),
-        money_sum(zf("total_amount")).alias("total_revenue"),
-        money_sum(zf("fare_amount")).alias("total_fare_amount"),
-        money_sum(zf("tip_amount")).alias("total_tip_amount"),
-        money_sum(zf("tolls_amount")).alias("total_tolls_amount"),
-        money_sum(zf("airport_fee")).alias("total_airport_fee"),
-        money_sum(zf("congestion_surcharge")).alias("total_congestion_surcharge"),
+        F.sum(zf("total_amount")).alias("total_revenue"),
+        F.sum(zf("fare_amount")).alias("total_fare_amount"),
+        F.sum(zf("tip_amount")).alias("total_tip_amount"),
+        F.sum(zf("tolls_amount")).alias("total_tolls_amount"),
+        F.sum(zf("airport_fee")).alias("total_airport_fee"),
+        F.sum(zf("congestion_surcharge")).alias("total_congestion_surcharge"),
         *_avgs("total_amount", "fare_amount", "tip_amount", "tip_rate",
                "trip_distance", "trip_duration_minutes", "fare_per_mile"),
         count_when(F.col("payment_type_id") == 1).alias("credit_card_trips"),
@@ -162,5 +162,5 @@ def mart_airport_trip_summary(fact: DataFrame, dim_zone: DataFrame) -> DataFrame
             .groupBy("airport_trip_type").agg(
                 F.sum("n").alias("total_trips"),
                 F.sum("passengers").alias("total_passengers"),
-                *[as_sum(F.sum(f"s_{src}")).alias(out) for out, src in _ZONE_MEASURE_SUMS],
-                *[as_mean(F.try_divide(F.sum(f"s_{m}"), F.sum(f"c_{m}"))).alias(f"avg_{m}") for m in averaged]))
+                *[F.sum(f"s_{src}").alias(out) for out, src in _ZONE_MEASURE_SUMS],
+                *[F.try_divide(F.sum(f"s_{m}"), F.sum(f"c_{m}")).alias(f"avg_{m}") for m in averaged]))

@@ -3,10 +3,11 @@
 Every check of a month is a column of one grouped aggregate over
 ``(year, month)``: all months and all counters in a single scan, with
 map-side partial aggregation so the shuffle carries one small row per month
-per task.  Exact distinct counts are sizes of value sets built in the same
-aggregate: the profiled columns hold codes and location ids, so a set is as
-small as the domain, and no row is multiplied.  ``approximate=True`` swaps in
-HyperLogLog++.  Nothing is collected: each result is a DataFrame.
+per task.  Exact distinct counts are taken from the counted values of the
+columns (the pass of PF5): Bronze is unchecked, so a column may hold any
+number of values, and each of them is a row of its own there.
+``approximate=True`` counts with HyperLogLog++ in the first scan instead.
+Nothing is collected: each result is a DataFrame.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions.expressions import (
-    count_when, reported_mean, minute_boundaries_between, null_count,
+    count_when, minute_boundaries_between, null_count,
 )
 from fareflow.functions.rules import (
     LOCATION_MAX, LOCATION_MIN, PAYMENT_TYPE_DOMAIN, RATECODE_DOMAIN,
@@ -72,25 +73,20 @@ def _lng(c: Column, name: str) -> Column:
     return c.cast("long").alias(name)
 
 
-def _distinct(c: Column) -> Column:
-    """Exact number of distinct values of a column with a small domain."""
-    return F.size(F.collect_set(c)).cast("long")
-
-
 def summary_columns(approximate: bool = False) -> list[Column]:
-    """PF1: row count, five distinct counts, time range, three measures."""
-    distinct = F.approx_count_distinct if approximate else _distinct
+    """PF1: row count, time range, three measures; approximate distinct counts if asked."""
     cols = [F.count(F.lit(1)).alias("total_rows")]
-    cols += [distinct(_c(src)).alias(name) for src, name in DISTINCT_CHECKS]
+    if approximate:
+        cols += [F.approx_count_distinct(_c(src)).alias(name) for src, name in DISTINCT_CHECKS]
     for ts, label in [("tpep_pickup_datetime", "pickup"), ("tpep_dropoff_datetime", "dropoff")]:
         cols += [F.min(ts).alias(f"min_{label}_datetime"), F.max(ts).alias(f"max_{label}_datetime")]
     for m in ["trip_distance", "fare_amount", "total_amount"]:
         cols += [F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}"),
-                 reported_mean(m).alias(f"avg_{m}")]
+                 F.avg(m).alias(f"avg_{m}")]
     return cols
 
 
-# Columns that ``summary_columns`` makes.
+# Columns of PF1.
 SUMMARY_NAMES = (["total_rows"] + [n for _, n in DISTINCT_CHECKS]
                  + [f"{e}_{t}_datetime" for t in ("pickup", "dropoff") for e in ("min", "max")]
                  + [f"{e}_{m}" for m in ("trip_distance", "fare_amount", "total_amount") for e in ("min", "max", "avg")])
@@ -158,16 +154,55 @@ def warning_columns() -> list[Column]:
     return [_lng(count_when(c), n) for c, n in zip(conds, WARNING_COUNTERS)]
 
 
-def profile(bronze: DataFrame, approximate: bool = False) -> DataFrame:
-    """PF1-PF4 for every month in one scan: one row per (year, month)."""
-    return bronze.groupBy(*MONTH).agg(
-        *summary_columns(approximate), *null_columns(),
-        *critical_columns(), *warning_columns())
+def value_counts(bronze: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """(year, month, column_name, value, total_rows) of several columns in one pass.
+
+    ``stack`` unpivots each row into one row per column before the grouped
+    count, so one scan and one shuffle of counted values serve all of them.  A
+    common value is one row per task, a column of unlike values is spread over
+    all tasks.
+    """
+    # Both zeros are one value.
+    text = lambda c: f"CAST(`{c}` + 0 AS STRING)" if c in _DOUBLES else f"CAST(`{c}` AS STRING)"
+    pairs = [f"'{c}', {text(c)}" for c in columns]
+    return (bronze.select(*MONTH, F.expr(f"stack({len(pairs)}, {', '.join(pairs)})").alias("column_name", "value"))
+            .groupBy(*MONTH, "column_name", "value").agg(F.count(F.lit(1)).alias("total_rows")))
+
+
+_DOUBLES = {"RatecodeID", "passenger_count"}
+
+
+def distinct_counts(counted: DataFrame) -> DataFrame:
+    """The five distinct counts of PF1 per month, from ``value_counts``."""
+    return counted.where("value is not null").groupBy(*MONTH).agg(*[
+        F.count(F.when(F.col("column_name") == src, 1)).alias(name) for src, name in DISTINCT_CHECKS])
+
 
+def _with_distinct(aggregated: DataFrame, bronze: DataFrame, counted: DataFrame | None) -> DataFrame:
+    """Add the exact distinct counts; one row per month meets one row per month."""
+    if counted is None:
+        counted = value_counts(bronze, [src for src, _ in DISTINCT_CHECKS])
+    both = aggregated.join(distinct_counts(counted), MONTH, "left")
+    names = [n for _, n in DISTINCT_CHECKS]
+    rest = [c for c in aggregated.columns if c not in (*MONTH, "total_rows")]
+    return both.select(*MONTH, "total_rows", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in names], *rest)
 
-def summary(bronze: DataFrame, approximate: bool = False) -> DataFrame:
+
+def profile(bronze: DataFrame, approximate: bool = False, counted: DataFrame | None = None) -> DataFrame:
+    """PF1-PF4 for every month: one row per (year, month).
+
+    One scan for all counters and one of five columns for the distinct
+    counts; ``counted`` (``value_counts`` of at least those) saves the second.
+    """
+    table = bronze.groupBy(*MONTH).agg(
+        *summary_columns(approximate), *null_columns(), *critical_columns(), *warning_columns())
+    return table if approximate else _with_distinct(table, bronze, counted)
+
+
+def summary(bronze: DataFrame, approximate: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """PF1"""
-    return bronze.groupBy(*MONTH).agg(*summary_columns(approximate))
+    table = bronze.groupBy(*MONTH).agg(*summary_columns(approximate))
+    return table if approximate else _with_distinct(table, bronze, counted)
 
 
 def null_checks(bronze: DataFrame) -> DataFrame:
@@ -196,16 +231,12 @@ DISTRIBUTION_COLUMNS = ["payment_type", "RatecodeID", "VendorID", "store_and_fwd
 
 
 def distributions(bronze: DataFrame) -> DataFrame:
-    """PF5, all four in one pass: (year, month, column_name, value, total_rows).
+    """PF5, all four in one pass: (year, month, column_name, value, total_rows)."""
+    return value_counts(bronze, DISTRIBUTION_COLUMNS)
 
-    ``stack`` unpivots each row into one row per profiled column before the
-    grouped count, so one scan and one shuffle serve all four tables.
-    """
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in DISTRIBUTION_COLUMNS)
-    return (bronze.select(*MONTH, F.expr(f"stack({len(DISTRIBUTION_COLUMNS)}, {pairs})")
-                          .alias("column_name", "value"))
-            .groupBy(*MONTH, "column_name", "value")
-            .agg(F.count(F.lit(1)).alias("total_rows")))
+
+# Columns whose counted values serve PF5 and the distinct counts of PF1.
+COUNTED_COLUMNS = list(dict.fromkeys(DISTRIBUTION_COLUMNS + [src for src, _ in DISTINCT_CHECKS]))
 
 
 def monthly_summary(bronze: DataFrame) -> DataFrame:

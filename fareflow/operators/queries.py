@@ -14,7 +14,7 @@ from typing import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.functions.expressions import count_when, reported_mean, reported_sum
+from fareflow.functions.expressions import count_when
 from fareflow.operators.months import restrict
 
 MONTH = ["year", "month"]
@@ -53,10 +53,10 @@ def monthly_trip_summary(silver: DataFrame,
     """AQ1: per month trips, revenue, three averages, outlier count (NULL -> 0)."""
     return (_scoped(silver, months).groupBy(*MONTH).agg(
         F.count(F.lit(1)).alias("trip_count"),
-        reported_sum("total_amount").alias("total_revenue"),
-        reported_mean("total_amount").alias("avg_total_amount"),
-        reported_mean("trip_distance").alias("avg_trip_distance"),
-        reported_mean("trip_duration_minutes").alias("avg_trip_duration_minutes"),
+        F.sum("total_amount").alias("total_revenue"),
+        F.avg("total_amount").alias("avg_total_amount"),
+        F.avg("trip_distance").alias("avg_trip_distance"),
+        F.avg("trip_duration_minutes").alias("avg_trip_duration_minutes"),
         count_when(F.col("is_analytical_outlier")).alias("analytical_outlier_count"))
         .orderBy(*MONTH))
 
@@ -66,10 +66,10 @@ def payment_type_summary(silver: DataFrame,
     """AQ2: per month and payment type; busiest first."""
     return (_scoped(silver, months).groupBy(*MONTH, "payment_type").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        reported_sum("total_amount").alias("total_revenue"),
-        reported_mean("fare_amount").alias("avg_fare_amount"),
-        reported_mean("tip_amount").alias("avg_tip_amount"),
-        reported_mean("tip_rate").alias("avg_tip_rate"))
+        F.sum("total_amount").alias("total_revenue"),
+        F.avg("fare_amount").alias("avg_fare_amount"),
+        F.avg("tip_amount").alias("avg_tip_amount"),
+        F.avg("tip_rate").alias("avg_tip_rate"))
         .orderBy(*MONTH, F.desc("trip_count"), "payment_type"))
 
 
@@ -78,9 +78,9 @@ def hourly_demand_pattern(silver: DataFrame,
     """AQ3: per month and pickup hour."""
     return (_scoped(silver, months).groupBy(*MONTH, "pickup_hour").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        reported_sum("total_amount").alias("total_revenue"),
-        reported_mean("trip_distance").alias("avg_trip_distance"),
-        reported_mean("trip_duration_minutes").alias("avg_trip_duration_minutes"))
+        F.sum("total_amount").alias("total_revenue"),
+        F.avg("trip_distance").alias("avg_trip_distance"),
+        F.avg("trip_duration_minutes").alias("avg_trip_duration_minutes"))
         .orderBy(*MONTH, "pickup_hour"))
 
 
@@ -100,9 +100,9 @@ def top_pickup_zones(silver: DataFrame, months: Iterable[tuple[int, int]] | None
     """AQ4: per month the k busiest pickup locations (ties: lower id first)."""
     agg = _scoped(silver, months).groupBy(*MONTH, "pickup_location_id").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        reported_sum("total_amount").alias("total_revenue"),
-        reported_mean("total_amount").alias("avg_total_amount"),
-        reported_mean("trip_distance").alias("avg_trip_distance"))
+        F.sum("total_amount").alias("total_revenue"),
+        F.avg("total_amount").alias("avg_total_amount"),
+        F.avg("trip_distance").alias("avg_trip_distance"))
     return (_top_per_month(agg, k, [F.desc("trip_count"), "pickup_location_id"])
             .orderBy(*MONTH, "rank"))
 

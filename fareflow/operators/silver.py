@@ -17,7 +17,7 @@ from fareflow.functions.expressions import (
 from fareflow.functions.rules import (
     conjunction, critical_rules, failed_rule_ids, outlier_flags, passes_all, warning_flags,
 )
-from fareflow.schema import FEE_COLUMNS, SILVER_COLUMNS
+from fareflow.schema import FEE_COLUMNS, SILVER_COLUMNS, SPLIT_COLUMNS
 
 
 def silver_rules(strict_payment_domain: bool = False, month_window: bool = True):
@@ -113,6 +113,34 @@ def to_silver(bronze: DataFrame, strict_payment_domain: bool = False) -> DataFra
     return project(derive(clean(bronze, strict_payment_domain)))
 
 
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
+def split(bronze: DataFrame, strict_payment_domain: bool = False) -> DataFrame:
+    """Every Bronze row once, by ``outcome``: the narrow map behind one write of both.
+
+    Accepted rows carry the Silver columns; rejected rows carry ``raw`` and
+    ``failed_rules`` and nothing else, so neither side stores the other's
+    values.  ``outcome``, ``year`` and ``month`` come last, as partitions.
+    """
+    rules = silver_rules(strict_payment_domain)
+    ok = passes_all(rules)
+    marked = bronze.select(
+        "*", ok.alias("_accepted"),
+        F.when(~ok, F.struct(*[F.col(c) for c in bronze.columns if c not in ("year", "month")])).alias("raw"),
+        F.when(~ok, failed_rule_ids(rules)).alias("failed_rules"))
+    accepted = F.col("_accepted")
+    return derive(marked).select(
+        *[F.when(accepted, F.col(_RAW_NAME.get(name, name)).cast(dtype)).alias(name)
+          for name, dtype in SILVER_COLUMNS if name not in ("year", "month")],
+        *SPLIT_COLUMNS, F.when(accepted, ACCEPTED).otherwise(REJECTED).alias("outcome"), "year", "month")
+
+
+def stored_rejected(rows: DataFrame) -> DataFrame:
+    """DC2 read back: the rejected rows of a split as ``rejected`` returns them."""
+    return rows.select("raw.*", "year", "month", "failed_rules", F.size("failed_rules").alias("failed_rule_count"))
+
+
 def reconcile(bronze: DataFrame, strict_payment_domain: bool = False) -> DataFrame:
     """RC1: per month bronze_count, silver_count, dropped_count in one pass."""
     keep = passes_all(silver_rules(strict_payment_domain))

@@ -7,6 +7,7 @@ long lineage, and a lost executor only repeats the current step.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,40 +23,50 @@ MART_TABLES = ["mart_daily_trip_revenue", "mart_hourly_demand",
                "mart_airport_trip_summary"]
 
 
-def table_paths(gold_base: str, with_marts: bool = True) -> dict[str, str]:
+# What the daily revenue report needs, the default build.
+DASHBOARD_TABLES = ["dim_date", "dim_hour", "dim_payment_type", "dim_rate_code", "dim_vendor",
+                    "fact_trip", "mart_daily_trip_revenue"]
+
+
+def table_paths(gold_base: str, tables: Iterable[str] = (*CORE_TABLES, *MART_TABLES)) -> dict[str, str]:
     """Table name -> folder under ``gold_base``."""
-    return {n: f"{gold_base.rstrip('/')}/{'marts' if n.startswith('mart') else 'core'}/{n}"
-            for n in CORE_TABLES + (MART_TABLES if with_marts else [])}
-
-
-def build_gold(spark: SparkSession, silver: DataFrame, zone_lookup: DataFrame,
-               gold_base: str, with_marts: bool = True) -> dict[str, str]:
-    """Write every Gold table under ``gold_base``; return name -> path."""
-    paths = table_paths(gold_base, with_marts)
-    write_partitioned_table(fact_ops.fact_trip(silver), paths["fact_trip"])
-    fact = spark.read.parquet(paths["fact_trip"])
-    # dim_date from the written fact: its dates are exactly the non-outlier
-    # Silver dates, and the fact is already filtered and column-pruned.
-    dates = fact.select(F.to_date("pickup_datetime").alias("date")).distinct()
-    write_table(dims.dates_to_dim(dates), paths["dim_date"])
-    _write_all(spark, {
-        "dim_hour": dims.dim_hour(spark),
-        "dim_payment_type": dims.dim_payment_type(spark),
-        "dim_rate_code": dims.dim_rate_code(spark),
-        "dim_vendor": dims.dim_vendor(spark),
-        "dim_zone": dims.dim_zone(zone_lookup),
-    }, paths)
-    if with_marts:
-        t = {n: spark.read.parquet(paths[n]) for n in CORE_TABLES}
-        _write_all(spark, {
-            "mart_daily_trip_revenue": marts.mart_daily_trip_revenue(fact, t["dim_date"]),
-            "mart_hourly_demand": marts.mart_hourly_demand(fact, t["dim_date"], t["dim_hour"]),
-            "mart_pickup_zone_performance":
-                marts.mart_pickup_zone_performance(fact, t["dim_zone"]),
-            "mart_payment_behavior": marts.mart_payment_behavior(fact, t["dim_payment_type"]),
-            "mart_airport_trip_summary": marts.mart_airport_trip_summary(fact, t["dim_zone"]),
-        }, paths)
-    return paths
+    return {n: f"{gold_base.rstrip('/')}/{'marts' if n.startswith('mart') else 'core'}/{n}" for n in tables}
+
+
+def build_gold(spark: SparkSession, silver: DataFrame, zone_lookup: DataFrame | None,
+               gold_base: str, tables: Iterable[str] = (*CORE_TABLES, *MART_TABLES)) -> dict[str, str]:
+    """Write the named Gold tables (all of them by default); return name -> path.
+
+    A table is built from the tables it needs, so those have to be named as
+    well or lie under ``gold_base`` from a build before.
+    """
+    wanted = list(tables)
+    paths = table_paths(gold_base)
+    if "fact_trip" in wanted:
+        write_partitioned_table(fact_ops.fact_trip(silver), paths["fact_trip"])
+    read = lambda n: spark.read.parquet(paths[n])
+    if "dim_date" in wanted:
+        # dim_date from the written fact: its dates are exactly the non-outlier
+        # Silver dates, and the fact is already filtered and column-pruned.
+        dates = read("fact_trip").select(F.to_date("pickup_datetime").alias("date")).distinct()
+        write_table(dims.dates_to_dim(dates), paths["dim_date"])
+    dimensions = {
+        "dim_hour": lambda: dims.dim_hour(spark),
+        "dim_payment_type": lambda: dims.dim_payment_type(spark),
+        "dim_rate_code": lambda: dims.dim_rate_code(spark),
+        "dim_vendor": lambda: dims.dim_vendor(spark),
+        "dim_zone": lambda: dims.dim_zone(zone_lookup),
+    }
+    built = {
+        "mart_daily_trip_revenue": lambda: marts.mart_daily_trip_revenue(read("fact_trip"), read("dim_date")),
+        "mart_hourly_demand": lambda: marts.mart_hourly_demand(read("fact_trip"), read("dim_date"), read("dim_hour")),
+        "mart_pickup_zone_performance": lambda: marts.mart_pickup_zone_performance(read("fact_trip"), read("dim_zone")),
+        "mart_payment_behavior": lambda: marts.mart_payment_behavior(read("fact_trip"), read("dim_payment_type")),
+        "mart_airport_trip_summary": lambda: marts.mart_airport_trip_summary(read("fact_trip"), read("dim_zone")),
+    }
+    for layer in (dimensions, built):
+        _write_all(spark, {n: make() for n, make in layer.items() if n in wanted}, paths)
+    return {n: paths[n] for n in wanted}
 
 
 def _write_all(spark: SparkSession, tables: dict[str, DataFrame], paths: dict[str, str],

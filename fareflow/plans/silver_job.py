@@ -1,62 +1,76 @@
-"""The Bronze -> Silver batch job for a list of months (IO1 + Silver + IO7 + RC1 + DC7).
+"""The Bronze -> Silver batch job for a list of months (IO1 + Silver + IO7 + RC1 + DC2 + DC6 + DC7).
 
-The Silver rows of all pending months are one write that replaces exactly
-those months.  Row counts per month are then taken from both tables by their
-partition columns alone, which reads file footers and no data pages.  Months
-already done are skipped unless ``force`` (BM5).
+One scan of Bronze splits the rows of all pending months by outcome and one
+write stores both sides; accepted rows become Silver, rejected rows a table
+beside it.  Row counts per month come from that write.  Months already done
+are skipped unless ``force`` (BM5), months that nothing was delivered for are
+reported and do not hold up the others, and with a quality bound (DC6) a month
+beyond it is reported before anything of it is written.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fareflow.operators import months as bm
-from fareflow.operators.silver import to_silver
+from fareflow.operators.profile import quality_gate
+from fareflow.operators.silver import ACCEPTED, REJECTED, split
 from fareflow.sources.bronze import month_path, read_bronze_months
-from fareflow.sources.paths import holds_files
-from fareflow.sources.sinks import write_month_partitions
-from fareflow.sources.tables import read_partitioned
+from fareflow.sources.paths import has_parquet_files
+from fareflow.sources.sinks import write_split_months
+from fareflow.sources.tables import register_silver_table
 
 
-def month_counts(table: DataFrame, name: str) -> DataFrame:
-    return table.groupBy("year", "month").agg(F.count(F.lit(1)).alias(name))
+def rejected_base(silver_base: str) -> str:
+    """Where the rejected rows lie unless the caller says otherwise."""
+    return f"{silver_base.rstrip('/')}_rejected"
 
 
 def run_silver_job(spark: SparkSession, bronze_base: str, silver_base: str,
                    months: Iterable[tuple[int, int]], force: bool = False,
-                   strict_payment_domain: bool = False) -> DataFrame:
+                   strict_payment_domain: bool = False, rejected: str | None = None,
+                   max_critical_ratio: float | None = None, table: str | None = None) -> DataFrame:
     """Process the months; return the run summary (DC7) as a DataFrame.
 
-    One row per requested month: ``status`` ('written' or 'skipped'), the
-    month's own bronze, silver and dropped counts (NULL where skipped), and
-    the output path.
+    One row per requested month: ``status`` ('written', 'skipped', 'missing'
+    or 'failed_gate'), the month's own bronze, silver and dropped counts (NULL
+    unless written), and the output path.  ``rejected`` is the base of the
+    rejected rows' table, ``table`` a catalog table that learns the written
+    months.
     """
     wanted = list(dict.fromkeys((int(y), int(m)) for y, m in months))
+    status = dict.fromkeys(wanted, "skipped")
     frame = bm.months_frame(spark, wanted)
-    todo = {(int(r["year"]), int(r["month"]))
-            for r in bm.pending_months(spark, frame, silver_base, force).collect()}
-    run = [ym for ym in wanted if ym in todo]
-    rows = [(f"{y:04d}-{m:02d}", f"{y:04d}", f"{m:02d}", "written" if (y, m) in todo else "skipped",
-             month_path(silver_base, y, m)) for y, m in wanted]
-    summary = spark.createDataFrame(
-        rows, "period string, year string, month string, status string, output_path string")
-    empty = spark.createDataFrame([], "year string, month string, n long")
-    bronze_n = silver_n = empty
+    for r in bm.pending_months(spark, frame, silver_base, force).collect():
+        status[int(r["year"]), int(r["month"])] = "written"
+    pending = [ym for ym in wanted if status[ym] == "written"]
+    with ThreadPoolExecutor(16) as pool:  # listings wait on storage
+        delivered = list(pool.map(lambda ym: has_parquet_files(spark, month_path(bronze_base, *ym)), pending))
+    status |= {ym: "missing" for ym, there in zip(pending, delivered) if not there}
+    run = [ym for ym in pending if status[ym] == "written"]
+    if run and max_critical_ratio is not None:
+        gate = quality_gate(read_bronze_months(spark, bronze_base, run), max_critical_ratio)
+        for r in gate.where("gate = 'failed'").collect():
+            status[r["year"], r["month"]] = "failed_gate"
+        run = [ym for ym in run if status[ym] == "written"]
+    counts: dict = {}
     if run:
-        bronze = read_bronze_months(spark, bronze_base, run)
-        write_month_partitions(to_silver(bronze, strict_payment_domain), silver_base, run)
-        bronze_n = month_counts(bronze, "n")
-        if holds_files(spark, silver_base):
-            silver_n = month_counts(bm.restrict(read_partitioned(spark, silver_base), run), "n")
-    counted = (summary.join(bronze_n.withColumnRenamed("n", "_b"), ["year", "month"], "left")
-               .join(silver_n.withColumnRenamed("n", "_s"), ["year", "month"], "left"))
-    own = lambda c: F.when(F.col("status") == "written", c)
-    bronze_count, silver_count = F.coalesce("_b", F.lit(0)), F.coalesce("_s", F.lit(0))
-    return counted.select(
-        "period", "year", "month", "status", "output_path",
-        own(bronze_count).cast("long").alias("bronze_count"),
-        own(silver_count).cast("long").alias("silver_count"),
-        own(bronze_count - silver_count).cast("long").alias("dropped_count"))
+        rows = split(read_bronze_months(spark, bronze_base, run), strict_payment_domain)
+        counts = write_split_months(rows, {ACCEPTED: silver_base, REJECTED: rejected or rejected_base(silver_base)}, run)
+        if table:
+            register_silver_table(spark, table, silver_base, run)
+
+    def line(ym):
+        own = (None, None, None)
+        if status[ym] == "written":
+            kept, dropped = counts.get((ACCEPTED, *ym), 0), counts.get((REJECTED, *ym), 0)
+            own = (kept + dropped, kept, dropped)
+        return (f"{ym[0]:04d}-{ym[1]:02d}", f"{ym[0]:04d}", f"{ym[1]:02d}", status[ym], month_path(silver_base, *ym), *own)
+
+    return spark.createDataFrame(
+        [line(ym) for ym in wanted],
+        "period string, year string, month string, status string, output_path string, "
+        "bronze_count long, silver_count long, dropped_count long")

@@ -75,6 +75,15 @@ def dc2(spark, sf):
     return rej.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+@register("dc2_rejected_read_back")
+def dc2_stored(spark, sf):
+    """DC2 + RC1: the rejected rows that the Silver job's one write left beside Silver."""
+    from fareflow.plans.silver_job import rejected_base
+    from fareflow.sources import landing
+    rows = spark.read.parquet(rejected_base(landing.silver_base(spark, sf)))
+    return sv.stored_rejected(rows).withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
 _RUNS: dict[str, str] = {}
 
 
@@ -136,9 +145,10 @@ def sn2(spark, sf):
 
 @register("io5_visible_years")
 def io5(spark, sf):
-    """IO5: trips per month of the visible years."""
-    from fareflow.sources.tables import visible_years
-    return visible_years(L.silver_table(spark, sf), 1994, 1996).groupBy("year", "month").agg(
+    """IO5: trips per month of the visible years, partitions by rule."""
+    from fareflow.sources import landing
+    from fareflow.sources.tables import projected_silver
+    return projected_silver(landing.silver_base(spark, sf), 1994, 1996).read(spark).groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("trip_count"))
 
 
@@ -146,7 +156,7 @@ def io5(spark, sf):
 def io8(spark, sf):
     """IO8: a mart as the Gold build wrote it."""
     from fareflow.sources import landing
-    return spark.read.parquet(landing.gold_paths(spark, sf)["mart_payment_behavior"])
+    return ex.reported(spark.read.parquet(landing.gold_paths(spark, sf)["mart_payment_behavior"]))
 
 
 @register("io9_gold_fact_read_back")
@@ -183,12 +193,12 @@ def io13(spark, sf):
 @register("pf_profile_one_pass")
 def pf_all(spark, sf):
     """PF1-PF4 for every month from one scan and one aggregate."""
-    return pf.profile(L.bronze(spark, sf))
+    return ex.reported(pf.profile(L.bronze(spark, sf)), only_means=True)
 
 
 @register("pf1_summary")
 def pf1(spark, sf):
-    return pf.summary(L.bronze(spark, sf))
+    return ex.reported(pf.summary(L.bronze(spark, sf)), only_means=True)
 
 
 @register("pf2_null_checks")
@@ -235,6 +245,22 @@ def dc1(spark, sf):
     return pf.distribution_profile(L.silver_table(spark, sf))
 
 
+@register("dc1_merged_years")
+def dc1_years(spark, sf):
+    """DC1 + PF8: yearly profiles merged from one stored sketch row a month.
+
+    The sketches' answers are estimates, so each is reported as whether it
+    lies within its stated error of the trips themselves.
+    """
+    from fareflow.operators import profile_state as ps
+    from fareflow.sources.sinks import write_month_partitions
+    from fareflow.sources.tables import read_partitioned
+    silver, path = L.silver_table(spark, sf), _fresh_folder(spark, "dc1")
+    write_month_partitions(ps.monthly_state(silver), path)
+    merged = ps.merged(read_partitioned(spark, path), "year")
+    return ps.verified(merged, silver, "year")
+
+
 @register("dc5_volume_checks")
 def dc5(spark, sf):
     return pf.volume_checks(L.bronze(spark, sf), L.zone_lookup(spark, sf))
@@ -264,28 +290,28 @@ def gf4(spark, sf):
 
 @register("mt1_daily_trip_revenue")
 def mt1(spark, sf):
-    return marts.mart_daily_trip_revenue(L.fact_trip(spark, sf), L.dim_date(spark, sf))
+    return ex.reported(marts.mart_daily_trip_revenue(L.fact_trip(spark, sf), L.dim_date(spark, sf)))
 
 
 @register("mt2_hourly_demand")
 def mt2(spark, sf):
-    return marts.mart_hourly_demand(L.fact_trip(spark, sf), L.dim_date(spark, sf),
-                                    dims.dim_hour(spark))
+    return ex.reported(marts.mart_hourly_demand(
+        L.fact_trip(spark, sf), L.dim_date(spark, sf), dims.dim_hour(spark)))
 
 
 @register("mt3_pickup_zone_performance")
 def mt3(spark, sf):
-    return marts.mart_pickup_zone_performance(L.fact_trip(spark, sf), L.dim_zone(spark, sf))
+    return ex.reported(marts.mart_pickup_zone_performance(L.fact_trip(spark, sf), L.dim_zone(spark, sf)))
 
 
 @register("mt4_payment_behavior")
 def mt4(spark, sf):
-    return marts.mart_payment_behavior(L.fact_trip(spark, sf), dims.dim_payment_type(spark))
+    return ex.reported(marts.mart_payment_behavior(L.fact_trip(spark, sf), dims.dim_payment_type(spark)))
 
 
 @register("mt5_airport_trip_summary")
 def mt5(spark, sf):
-    return marts.mart_airport_trip_summary(L.fact_trip(spark, sf), L.dim_zone(spark, sf))
+    return ex.reported(marts.mart_airport_trip_summary(L.fact_trip(spark, sf), L.dim_zone(spark, sf)))
 
 
 # ---- ad-hoc queries -----------------------------------------------------------
@@ -297,22 +323,22 @@ def aq0(spark, sf):
 
 @register("aq1_monthly_trip_summary")
 def aq1(spark, sf):
-    return aq.monthly_trip_summary(L.silver_table(spark, sf))
+    return ex.reported(aq.monthly_trip_summary(L.silver_table(spark, sf)))
 
 
 @register("aq2_payment_type_summary")
 def aq2(spark, sf):
-    return aq.payment_type_summary(L.silver_table(spark, sf))
+    return ex.reported(aq.payment_type_summary(L.silver_table(spark, sf)))
 
 
 @register("aq3_hourly_demand_pattern")
 def aq3(spark, sf):
-    return aq.hourly_demand_pattern(L.silver_table(spark, sf))
+    return ex.reported(aq.hourly_demand_pattern(L.silver_table(spark, sf)))
 
 
 @register("aq4_top_pickup_zones")
 def aq4(spark, sf):
-    return aq.top_pickup_zones(L.silver_table(spark, sf))
+    return ex.reported(aq.top_pickup_zones(L.silver_table(spark, sf)))
 
 
 @register("dc3_top_pickup_zones_named")

@@ -92,3 +92,7 @@ FACT_COLUMNS = [
     "has_warning_quality_issue", "is_extreme_speed", "is_fare_distance_mismatch",
     "is_distance_duration_mismatch", "is_same_zone_high_fare", "year", "month",
 ]
+
+# Columns of a split row beside the Silver columns: a rejected row as it was
+# delivered and the rules it failed (NULL for accepted rows).
+SPLIT_COLUMNS = ["raw", "failed_rules"]

@@ -2,14 +2,13 @@
 
 Bronze files drift between years: a fee column may be missing, a name may
 change case (``Airport_fee``), integer columns may be stored as doubles.
-Months that store the same schema are read in one scan; every such group is
+Files that store the same schema are read in one scan; every such group is
 normalised to one canonical raw schema before the groups are combined, so no
-month's columns depend on what another month stores.
+file's columns depend on what another file stores.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Iterable
 
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareflow.schema import BRONZE_COLUMNS, FEE_COLUMNS
+from fareflow.sources.manifest import schema_groups
 from fareflow.sources.paths import child_folders
 
 # Canonical raw types after normalisation (wide enough for every known month).
@@ -81,8 +81,9 @@ def normalize_schema(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
 
 def read_bronze_month(spark: SparkSession, base: str, year: int, month: int) -> DataFrame:
     """IO1: one month of Bronze, normalised, tagged with its partition."""
-    raw = spark.read.parquet(month_path(base, year, month))
-    return (normalize_schema(raw)
+    frames = [normalize_schema(spark.read.schema(schema).parquet(*paths))
+              for schema, paths in schema_groups(spark, base, [(int(year), int(month))])]
+    return (reduce(DataFrame.unionByName, frames)
             .withColumn("year", F.lit(f"{int(year):04d}"))
             .withColumn("month", F.lit(f"{int(month):02d}")))
 
@@ -101,23 +102,18 @@ def read_bronze_months(spark: SparkSession, base: str,
                        months: Iterable[tuple[int, int]]) -> DataFrame:
     """The listed months, whatever schema each of them stores.
 
-    One footer per month tells its schema (a month is one delivery).  Months
-    of equal schema are one scan, and each scan is normalised on its own, so
-    a fee that a month lacks is 0.0 and a column stored as another type is
-    cast, in every combination of months.  The union is narrow, and a filter
-    on ``year``/``month`` reaches every scan as a partition filter.
+    The manifest (``sources.manifest``) knows what every file stores.  Files
+    of equal schema are one scan, and each scan is normalised on its own, so a
+    fee that a file lacks is 0.0 and a column stored as another type is cast,
+    in every combination of months and of files within a month.  The union is
+    narrow, and a filter on ``year``/``month`` reaches every scan as a
+    partition filter.
     """
     months = list(dict.fromkeys((int(y), int(m)) for y, m in months))
     if not months:
         raise ValueError("no months given")
-    paths = [month_path(base, y, m) for y, m in months]
-    with ThreadPoolExecutor(8) as pool:  # footer reads wait on storage, not on the driver
-        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for schema, path in zip(schemas, paths):
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
-    frames = [normalize_schema(spark.read.schema(schema).option("basePath", base.rstrip("/")).parquet(*group),
-                               keep=("year", "month")) for schema, group in groups.values()]
+    frames = [normalize_schema(spark.read.schema(schema).option("basePath", base.rstrip("/")).parquet(*paths),
+                               keep=("year", "month")) for schema, paths in schema_groups(spark, base, months)]
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -70,7 +70,8 @@ def bronze_base(spark: SparkSession, sf_dir: str) -> str:
 # Source files whose code decides the Silver rows; their content is part of
 # the Silver folder key, so changed rules never reuse an older Silver.
 _SILVER_CODE = ["session.py", "schema.py", "functions/expressions.py", "functions/rules.py",
-                "sources/bronze.py", "operators/silver.py", "plans/silver_job.py"]
+                "sources/bronze.py", "sources/manifest.py", "sources/sinks.py", "operators/silver.py",
+                "plans/silver_job.py"]
 
 
 def _code_fingerprint(files: list[str]) -> str:

@@ -50,6 +50,54 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def listed_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, change time) of the data files directly under ``path``, by name.
+
+    One listing of that folder; names that start with ``_`` or ``.`` are not
+    data.
+    """
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p) if s.isFile()]
+    return sorted(f for f in found if not f[0].startswith(("_", ".")))
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole (overwrites)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Put the folder ``source`` in the place of ``target``; without a source nothing is left there."""
+    fs, a = _fs(spark, source)
+    _, b = _fs(spark, target)
+    fs.delete(b, True)
+    if not fs.exists(a):
+        return False
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"{source} could not be moved to {target}")
+    return True
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

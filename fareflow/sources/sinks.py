@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fareflow.session import configure
 from fareflow.sources.bronze import month_path
-from fareflow.sources.paths import delete_folder, touch
+from fareflow.sources.paths import delete_folder, holds_files, move, touch
 
 
 MONTH_DONE = "_DONE"
@@ -51,6 +51,45 @@ def write_month_partitions(df: DataFrame, base: str,
             touch(spark, f"{month_path(base, y, m)}{MONTH_DONE}")
 
 
+def write_split_months(rows: DataFrame, tables: dict[str, str],
+                       months: Iterable[tuple[int, int]]) -> dict[tuple[str, int, int], int]:
+    """One write of rows that belong to several tables; returns their counts.
+
+    ``rows`` ends with ``outcome, year, month``; ``tables`` maps an outcome to
+    the base of its table.  All rows are written once into a hidden folder of
+    the first table.  Then each listed month is put in its place: the month of
+    every table is replaced as a whole (by moving a folder), a month without
+    rows is cleared, and the month of the first table gets its marker last, so
+    a run that breaks off leaves its months pending.  Counts per outcome and
+    month are taken from the written files' footers and checked against what
+    the write itself observed.
+    """
+    import uuid
+
+    spark = configure(rows.sparkSession)
+    listed = list(dict.fromkeys((int(y), int(m)) for y, m in months))
+    main = next(iter(tables.values())).rstrip("/")
+    stage = f"{main}/_run-{uuid.uuid4().hex}"
+    for y, m in listed:
+        delete_folder(spark, f"{month_path(main, y, m)}{MONTH_DONE}")
+    seen = Observation()
+    (rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+     .write.partitionBy("outcome", "year", "month").parquet(stage))
+    counts: dict[tuple[str, int, int], int] = {}
+    if holds_files(spark, stage):
+        found = spark.read.parquet(stage).groupBy("outcome", "year", "month").agg(F.count(F.lit(1)).alias("n"))
+        counts = {(r["outcome"], int(r["year"]), int(r["month"])): r["n"] for r in found.collect()}
+    if sum(counts.values()) != seen.get["rows"]:
+        raise RuntimeError(f"{stage} holds {sum(counts.values())} rows of {seen.get['rows']}")
+    for y, m in listed:
+        for outcome, base in reversed(tables.items()):
+            part = month_path("", y, m).strip("/")
+            move(spark, f"{stage}/outcome={outcome}/{part}", month_path(base, y, m).rstrip("/"))
+        touch(spark, f"{month_path(main, y, m)}{MONTH_DONE}")
+    delete_folder(spark, stage)
+    return counts
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """IO8: full rebuild of a Gold table (overwrite the whole folder)."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

