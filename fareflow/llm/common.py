@@ -88,6 +88,14 @@ def worker_state(key=None, make=None):
     return _STATE.get(key)
 
 
+def free_name(df: DataFrame, stem: str, taken: tuple[str, ...] = ()) -> str:
+    """A column name that the table (and ``taken``) does not have in any case: ``stem`` or a longer one."""
+    used = {c.lower() for c in (*df.columns, *taken)}
+    while stem.lower() in used:
+        stem += "_"
+    return stem
+
+
 class Shared:
     """A broadcast value with a name by which workers know it again."""
 
@@ -156,41 +164,66 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+_PRIME = np.uint64((1 << 31) - 1)
+_BITS = np.uint64(31)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2**62 modulo the prime 2**31 - 1."""
+    x = (x & _PRIME) + (x >> _BITS)
+    x = (x & _PRIME) + (x >> _BITS)
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
 class Rolling:
     """Hashes of arbitrary ranges of a symbol array from prefix sums.
 
-    The hash of [s, e) is the sum of value[i] * r**(i-s) modulo 2**64, mixed
-    with the length, so it depends on the symbols alone and not on where they
-    stand.  ``seed`` selects independent families.
+    Two polynomials over the field of 2**31 - 1 elements, each over its own 31
+    bits of the symbols' values and at its own point, mixed with the length.
+    The hash of [s, e) is the sum of value[i] * r**(i-s), so it depends on the
+    symbols alone and not on where they stand.  (A polynomial modulo 2**64
+    would not do: there are short words that it cannot tell apart at any odd
+    point.)  ``seed`` selects independent families.
     """
 
     _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def __init__(self, values: np.ndarray, seed: int = 0):
-        r = pow(0x2545F4914F6CDD1D, 2 * seed + 1, 1 << 64)
         n = len(values) + 1
-        pw, inv = self._table(r, n)
-        self._inv = inv
-        self._pref = np.zeros(n, np.uint64)
-        np.cumsum(values * pw[:n - 1], out=self._pref[1:])
+        points = mix(np.arange(2 * seed, 2 * seed + 2, dtype=np.uint64) * _MULT + np.uint64(1)) % (_PRIME - np.uint64(2))
+        self._sides = []
+        for side, r in enumerate(points.tolist()):
+            pw, inv = self._table(r + 2, n)
+            part = _reduced((values >> np.uint64(31 * side)) & _PRIME)
+            pref = np.zeros(n, np.uint64)
+            np.cumsum(_reduced(part * pw[:n - 1]), out=pref[1:])
+            self._sides.append((pref, inv))
 
     @classmethod
     def _table(cls, r: int, n: int):
         have = cls._powers.get(r)
         if have is None or len(have[0]) < n:
             size = max(n, 1 << 16)
-            back = pow(r, -1, 1 << 64)
-            pw = np.full(size, r, np.uint64)
-            inv = np.full(size, back, np.uint64)
-            pw[0] = inv[0] = 1
-            have = (np.cumprod(pw), np.cumprod(inv))
+            prime = int(_PRIME)
+            have = tuple(cls._geometric(x, size) for x in (r % prime, pow(r, -1, prime)))
             if size <= 4 << 20:
                 cls._powers[r] = have
         return have
 
+    @staticmethod
+    def _geometric(r: int, size: int) -> np.ndarray:
+        """1, r, r**2, ... in the field, by doubling."""
+        out = np.ones(size, np.uint64)
+        k = 1
+        while k < size:
+            m = min(k, size - k)
+            out[k:k + m] = _reduced(out[:m] * np.uint64(pow(r, k, int(_PRIME))))
+            k += m
+        return out
+
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        length = (end - start).astype(np.uint64)
-        return mix((self._pref[end] - self._pref[start]) * self._inv[start] + length * _MULT)
+        (low, high) = (_reduced(_reduced(pref[end] - pref[start]) * inv[start]) for pref, inv in self._sides)
+        return mix((high << _BITS | low) + (end - start).astype(np.uint64) * _MULT)
 
 
 def byte_values(buf: np.ndarray) -> np.ndarray:

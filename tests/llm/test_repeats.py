@@ -131,3 +131,44 @@ def test_repeated_row_beside_a_document_that_shares_a_part(spark, hot):
     assert len(got) == 4 and all(words[d] == v for d, v in got)
     got = [(r.doc_id, (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept))) for r in colbwt.dedup(df, 60, 20, hot).collect()]
     assert len(got) == 4 and all(raw[d] == v for d, v in got)
+
+
+def thue_morse(k):
+    w = "a"
+    for _ in range(k):
+        w += w.translate(str.maketrans("ab", "ba"))
+    return w
+
+
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_words_that_powers_of_two_cannot_tell_apart(spark, hot):
+    prepare(spark)
+    one = thue_morse(10)
+    two = one.translate(str.maketrans("ab", "ba"))
+    common = [f"s{i}" for i in range(19)]
+    docs = {1: " ".join(common + [one]), 2: " ".join(common + [two]), 3: " ".join(common[::-1] + [two] + common)}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept.encode()) for r in rlz.dedup(frame(spark, docs), 20, 5, hot).collect()}
+    assert got == plain_words(docs, 20) and all(n == 0 for _, n, _ in got.values())
+    long = {i: t for i, t in enumerate([one * 2 + "x" * 500, two * 2 + "y" * 500, one + two + one])}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in colbwt.dedup(frame(spark, long), 400, 273, hot).collect()}
+    assert got == plain_bytes(long, 400)
+
+
+def test_rolling_hashes_follow_the_symbols():
+    from fareflow.llm.common import Rolling, byte_values
+    rnd = np.random.default_rng(1)
+    text = rnd.integers(97, 100, 3000).astype(np.uint8)
+    for seed in (0, 3, 6):
+        hashes = Rolling(byte_values(text), seed)
+        seen = {}
+        for n in (1, 2, 5, 40):
+            a = np.arange(len(text) - n + 1)
+            for i, h in zip(a.tolist(), hashes.of(a, a + n).tolist()):
+                assert seen.setdefault(h, text[i:i + n].tobytes()) == text[i:i + n].tobytes()
+        words = {}
+        for h, w in seen.items():
+            assert words.setdefault(w, h) == h
+    tm = np.frombuffer(thue_morse(12).encode(), np.uint8)
+    half = len(tm) // 2
+    one, two = Rolling(byte_values(tm), 1).of(np.array([0, half]), np.array([half, 2 * half]))
+    assert one != two
