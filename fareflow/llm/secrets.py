@@ -2,7 +2,8 @@
 
 Three fixed kinds of span are found by pattern: assignments to a secret-like
 name, access keys, and long lower-case hexadecimal strings.  Further
-candidates are long runs of encoding characters that hold a digit.  For each
+candidates are long runs of encoding characters that hold a digit or letters
+of both cases.  For each
 candidate the encoding is inferred from its characters, and three statistics
 are computed under the hypothesis that it is random text of that encoding:
 a chi-squared statistic of alphabet uniformity, the number of runs above and
@@ -11,7 +12,7 @@ smallest of the three p-values, times three, is the candidate's p-value.
 
 Structured strings (identifiers, slugs, serial names) are cleared by the
 Benjamini-Hochberg step-up rule at level ``FDR``, within strata of equal
-length class, because short strings give weak evidence and must not be judged
+length class (with and without digits apart), because short strings give weak evidence and must not be judged
 by the threshold that long ones allow.  Candidates that are not cleared are
 reported as ``random`` spans, unless they overlap a span found by pattern.
 
@@ -33,7 +34,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import let
+from fareflow.llm.common import free_name, let
 
 # Fixed patterns of the three kinds, and the shortest accepted lengths.
 ASSIGN_NAME = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -52,6 +53,9 @@ CANDIDATE = f"(?<!{RUN}){RUN}{{{CANDIDATE_LENGTH},}}+"
 FDR = 0.05
 # Bins of -log10(p): 1/BINS each, up to MAX_LOG.
 BINS, MAX_LOG = 50, 40
+# Added to the stratum of candidates without a digit: compound words and
+# identifiers are common among them, so they have thresholds of their own.
+DIGIT_FREE = 1000
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Encodings from the narrowest to the widest: pattern and alphabet.
@@ -61,6 +65,7 @@ ENCODINGS = (
     ("^[0-9A-F]+$", _DIGITS + _UPPER[:6]),
     ("^[A-Z2-7]+$", _UPPER + "234567"),
     ("^[a-z0-9]+$", _DIGITS + _LOWER),
+    ("^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$", _LOWER + _UPPER),
     ("^[A-Za-z0-9]+$", _DIGITS + _LOWER + _UPPER),
     ("^[A-Za-z0-9+/]+$", _DIGITS + _LOWER + _UPPER + "+/"),
     ("^[A-Za-z0-9_-]+$", _DIGITS + _LOWER + _UPPER + "_-"),
@@ -104,8 +109,12 @@ def base_spans(text: Column) -> Column:
 
 
 def candidate_spans(text: Column) -> Column:
-    """Runs of encoding characters with a digit in them, before any test."""
-    return _located(text, CANDIDATE, 3, lambda hit: hit.rlike("[0-9]"))
+    """Runs of encoding characters that an encoder could have made, before any test.
+
+    They hold a digit, or letters of both cases; runs of one case without a
+    digit are words, and separators are no text of any encoding.
+    """
+    return _located(text, CANDIDATE, 3, lambda hit: hit.rlike("[0-9]") | (hit.rlike("[a-z]") & hit.rlike("[A-Z]")))
 
 
 def normal_tail(z: Column) -> Column:
@@ -176,8 +185,9 @@ def battery(value: Column) -> Column:
 
 
 def length_class(value: Column) -> Column:
-    """Stratum of a candidate: half octaves of its length."""
-    return F.floor(2 * F.log2(F.length(value).cast("double"))).cast("int")
+    """Stratum of a candidate: half octaves of its length, apart for those without a digit."""
+    octaves = F.floor(2 * F.log2(F.length(value).cast("double"))).cast("int")
+    return F.when(value.rlike("[0-9]"), octaves).otherwise(octaves + DIGIT_FREE)
 
 
 def p_bin(p: Column) -> Column:
@@ -188,7 +198,7 @@ def p_bin(p: Column) -> Column:
 def thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[int, int]:
     """Per length class, the least bin that the step-up rule clears.
 
-    Only the thresholds, one per class of lengths (at most about 60), reach
+    Only the thresholds, one per class of lengths (at most about 120), reach
     the driver.
     """
     tested = docs.where(F.col(text).rlike(CANDIDATE)).select(
@@ -204,10 +214,11 @@ def thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[in
     return {r["stratum"]: r["bin"] for r in passed.groupBy("stratum").agg(F.min("bin").alias("bin")).collect()}
 
 
-def scan(docs: DataFrame, text: str = "text", fdr: float = FDR) -> DataFrame:
-    """Add ``secret_spans``: all spans (start, kind, end, value), by start and kind.
+def scan(docs: DataFrame, text: str = "text", fdr: float = FDR, spans: str = "secret_spans") -> DataFrame:
+    """Add ``spans``: all spans (start, kind, end, value), by start and kind.
 
-    ``kind`` is a position in ``KINDS``.
+    ``kind`` is a position in ``KINDS``.  A column of that name is replaced,
+    all others pass through.
     """
     source = docs.withColumn(text, F.coalesce(F.col(text).cast("string"), F.lit("")))
     cleared = thresholds(source, text, fdr)
@@ -219,9 +230,10 @@ def scan(docs: DataFrame, text: str = "text", fdr: float = FDR) -> DataFrame:
         apart = ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
         return apart & (p_bin(battery(c["value"])["p"]) < least)
 
-    found = source.withColumn("_base", base_spans(F.col(text))).withColumn("_more", candidate_spans(F.col(text)))
-    more = F.when(F.size("_more") > 0, F.filter("_more", lambda c: keep(c, F.col("_base")))).otherwise(F.col("_more"))
-    return found.withColumn("secret_spans", F.array_sort(F.concat("_base", more))).drop("_base", "_more")
+    base, runs = free_name(source, "_base"), free_name(source, "_runs")
+    found = source.withColumn(base, base_spans(F.col(text))).withColumn(runs, candidate_spans(F.col(text)))
+    more = F.when(F.size(runs) > 0, F.filter(runs, lambda c: keep(c, F.col(base)))).otherwise(F.col(runs))
+    return found.withColumn(spans, F.array_sort(F.concat(base, more))).drop(base, runs)
 
 
 def described(spans: Column) -> Column:

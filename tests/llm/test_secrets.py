@@ -90,7 +90,7 @@ def test_statistics_against_plain_formulas(spark):
 def test_random_strings_stay_and_structured_ones_are_cleared(spark):
     prepare(spark)
     rnd = random.Random(4)
-    alnum = secrets.ENCODINGS[5][1]
+    alnum = secrets.ENCODINGS[6][1]
     keys = ["".join(rnd.choice(alnum) for _ in range(40)) for _ in range(150)]
     slugs = [f"item-{i:04d}-item-{i:04d}-item-{i:04d}-item" for i in range(150)]
     rows = [(i, f"see {k} there") for i, k in enumerate(keys + slugs)]
@@ -106,3 +106,18 @@ def test_redaction(spark):
     df = spark.createDataFrame([(1, text), (2, "clean"), (3, "token=" + "0f" * 20)], "doc_id long, text string")
     got = {r.doc_id: r.t for r in secrets.scan(df).select("doc_id", secrets.redacted(F.col("text"), F.col("secret_spans")).alias("t")).collect()}
     assert got == {1: "é [secret], then [secret] end", 2: "clean", 3: "[secret]"}
+
+
+def test_random_keys_without_a_digit(spark):
+    prepare(spark)
+    rnd = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(rnd.choice(letters) for _ in range(30)) for _ in range(60)]
+    words = ["Geschwindigkeitsbegrenzungsschild", "internationalisationcommittee", "getCustomerAccountNumberFromSession"]
+    rows = [(i, f"see {k} there") for i, k in enumerate(keys)]
+    rows += [(100 + i, f"see {words[i % 3]} there ---------------------- ======================") for i in range(300)]
+    got = {r.doc_id: r.spans for r in secrets.report(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert sum(f"random:4:{4 + len(k)}" in got[i] for i, k in enumerate(keys)) >= 54
+    assert sum(got[100 + i] != "" for i in range(300)) <= 15
+    only = secrets.report(secrets.scan(spark.createDataFrame(rows[:2], "doc_id long, text string"))).collect()
+    assert all("random" in r.spans for r in only)
