@@ -45,6 +45,8 @@ TRAIN_DOCS = 6000
 FEATURES = 4000
 SNIPPETS = 6000
 REACH = 8
+# Featured tokens of a training text that get a window, spread over all of it.
+PLACES = 6
 PREFIXES = (3, 4, 5, 6, 7)
 MIN_DOCS, MIN_SHARE, MIN_PRECISION = 3, 0.01, 0.8
 SPAN_PROBABILITY = 0.5
@@ -251,11 +253,12 @@ def _features_of(text):
     return F.array_distinct(F.concat(words, *prefixes))
 
 
-def _windows(texts: DataFrame, features: dict[str, int], snippets: int) -> DataFrame:
+def _windows(texts: DataFrame, features: dict[str, int], snippets: int, places: int = PLACES) -> DataFrame:
     """Token windows for learning: around featured tokens, and plain ones.
 
-    ``(feats array<int> flattened, y, length)``; at most a few windows per
-    document so that no long document takes the sample over.
+    ``(feats array<int> flattened, y, length)``.  At most ``places`` featured
+    tokens a document, evenly spread from its first to its last one, so that
+    no long document takes the sample over and no part of a text is left out.
     """
     width = 2 * REACH + 1
     per = len(PREFIXES) + 1
@@ -267,7 +270,8 @@ def _windows(texts: DataFrame, features: dict[str, int], snippets: int) -> DataF
                 words = list(map(str.lower, _TOKEN.findall(text)))
                 feats = [[features[f] for f in token_features(w) if f in features] for w in words]
                 hits = [i for i, f in enumerate(feats) if f]
-                centres = hits[:6] + [len(words) // 2, len(words) // 5]
+                step = max(1.0, len(hits) / places)
+                centres = [hits[int(k * step)] for k in range(min(places, len(hits)))] + [len(words) // 2, len(words) // 5]
                 for c in centres if words else []:
                     x = np.full((width, per), -1, np.int32)
                     y = np.full(width, -1, np.int32)
@@ -285,7 +289,7 @@ def _windows(texts: DataFrame, features: dict[str, int], snippets: int) -> DataF
 
 
 def train(docs: DataFrame, marks: DataFrame, train_docs: int = TRAIN_DOCS, max_features: int = FEATURES,
-          snippets: int = SNIPPETS) -> Model:
+          snippets: int = SNIPPETS, places: int = PLACES) -> Model:
     """Learn from the texts of ``docs`` marked by ``marks (doc_id, toxic)``.
 
     The sample is picked by ids alone; only its rows' texts are then read on.
@@ -294,7 +298,8 @@ def train(docs: DataFrame, marks: DataFrame, train_docs: int = TRAIN_DOCS, max_f
     known = marks.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     ids = F.broadcast(chosen)  # at most train_docs ids
-    sample = saved(texts.join(ids, "doc_id").dropDuplicates(["text"]), "sample")
+    # Equal texts count once, as toxic if any copy is marked so.
+    sample = saved(texts.join(ids, "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic")), "sample")
     counts = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).first()
     n, t = counts["n"] or 0, counts["t"] or 0
     if not 0 < t < n:
@@ -307,7 +312,7 @@ def train(docs: DataFrame, marks: DataFrame, train_docs: int = TRAIN_DOCS, max_f
     if not rows:
         return Model(share=float(t) / n)
     names = {r["feature"]: i for i, r in enumerate(rows)}
-    got = _windows(sample, names, snippets).toPandas()
+    got = _windows(sample, names, snippets, places).toPandas()
     width, per = 2 * REACH + 1, len(PREFIXES) + 1
     x = np.array(got["x"].tolist(), np.int64).reshape(-1, width, per)
     y = np.array(got["y"].tolist(), np.int64).reshape(-1, width)

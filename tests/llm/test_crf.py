@@ -94,3 +94,18 @@ def test_without_usable_labels(spark):
     odd = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (99, 0, 1), (None, 0, 1)], "doc_id long, quality int, toxic int")
     assert {r.score for r in crf.tag(docs, crf.learn(docs, odd)).collect()} == {0.0}
     assert crf.tag(docs.limit(0), crf.Model()).collect() == []
+
+
+def test_windows_reach_the_end_of_a_long_text(spark):
+    from fareflow.llm import crf
+    prepare(spark)
+    words = ["plain"] * 4000
+    for at in range(0, 4000, 100):
+        words[at] = "early"
+    words[3999] = "late"
+    df = spark.createDataFrame([(" ".join(words), 1)], "text string, toxic int")
+    marked = [f for r in crf._windows(df, {"early": 0, "late": 1}, 100, places=8).collect() for f in r.x]
+    assert 0 in marked
+    spread = crf._windows(df, {"early": 0, "late": 1}, 1000, places=41).collect()
+    assert any(1 in r.x for r in spread) and len(spread) <= 43
+    assert len(crf._windows(df, {"early": 0, "late": 1}, 1000).collect()) <= crf.PLACES + 2
