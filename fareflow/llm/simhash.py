@@ -150,9 +150,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     marks = saved(fingerprints(docs, shingle), "fingerprints")
     fps = marks.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(fps.select("fp"), radius, pair_limit))
-    grouped = fps.join(roots, fps.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Tables, so that the join on a root that many fingerprints share reads two
+    # plain exchanges, which adaptive execution may split.
+    grouped = saved(fps.join(roots, fps.fp == roots.node, "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")), "grouped")
+    least = saved(grouped.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     member = grouped.join(least, "root").select("fp", "component_id")
     return marks.join(member, "fp").select("doc_id", "fp", "component_id")
 
