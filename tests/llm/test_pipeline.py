@@ -85,3 +85,20 @@ def test_toxicity_rejects_what_the_operator_predicts(spark, monkeypatch):
     monkeypatch.setattr(crf, "learn", lambda *a: None)
     monkeypatch.setattr(crf, "tag", lambda df, model, score="score", spans="spans": df.withColumn(score, value))
     assert [r.doc_id for r in cp.toxicity(spark, docs, SF).collect()] == [1]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    prepare(spark)
+    names = ["_base", "_more", "_runs", "secret_spans", "found_spans", "_leaked", "leaked_id", "_toxicity", "toxicity_score",
+             "_spans", "toxic_spans", "score", "spans", "fp", "component_id", "first", "root", "item_id", "Toxicity_Score_"]
+    docs = read(spark, SF, "documents").limit(30).select("*", *[F.concat(F.lit(f"{n}:"), "doc_id").alias(n) for n in names])
+    docs = saved(docs, "wide")
+    for name, stage in cp.STAGES[:-1]:
+        docs = saved(stage(spark, docs, SF), name)
+        assert docs.columns[-len(names):] == names
+    rows = docs.collect()
+    assert rows
+    for r in rows:
+        assert [r[n] for n in names] == [f"{n}:{r.doc_id}" for n in names]
+    last = cp.STAGES[-1][1](spark, docs, SF).collect()
+    assert len(last) == len(rows)
