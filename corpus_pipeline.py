@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.llm import bpe, crf, decontam, secrets, simhash
-from fareflow.llm.common import prepare, read, saved
+from fareflow.llm.common import free_name, prepare, read, saved
 from fareflow.llm.queries import tokenizer_file
 
 # Documents with this toxicity score or more are rejected: those op3 predicts toxic.
@@ -24,8 +24,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents that the chain scores as toxic."""
     prepare(spark)
     model = crf.learn(docs, read(spark, sf_dir, "labels"))
-    marked = crf.tag(docs, model, score="_toxicity", spans="_spans")
-    return marked.where(F.col("_toxicity") < REJECT).select(*docs.columns)
+    score = free_name(docs, "toxicity_score")
+    marked = crf.tag(docs, model, score=score, spans=free_name(docs, "toxic_spans"))
+    return marked.where(F.col(score) < REJECT).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,21 +46,22 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Drop documents into which a benchmark item leaked."""
     prepare(spark)
     leaks = decontam.matches(docs, read(spark, sf_dir, "benchmark"))
-    leaked = saved(leaks.select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
+    name = free_name(docs, "leaked_id")
+    leaked = saved(leaks.select(F.col("doc_id").alias(name)).distinct(), "leaked")
     if leaked.limit(decontam.BROADCAST_IDS + 1).count() <= decontam.BROADCAST_IDS:
         leaked = F.broadcast(leaked)  # counted ids of 8 bytes each
-    return docs.join(leaked, F.col("doc_id").cast("long") == F.col("_leaked"), "left_anti")
+    return docs.join(leaked, F.col("doc_id").cast("long") == F.col(name), "left_anti")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret found by a mark; the documents stay."""
     prepare(spark)
-    names = docs.columns
-    found = secrets.scan(docs)
-    clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col("secret_spans")))
+    names, spans = docs.columns, free_name(docs, "found_spans")
+    found = secrets.scan(docs, spans=spans)
+    clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col(spans)))
     if "n_chars" in names:
         clean = clean.withColumn("n_chars", F.when(
-            F.size("secret_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+            F.size(spans) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return clean.select(*names)
 
 
