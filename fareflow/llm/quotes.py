@@ -1,14 +1,22 @@
 """Quotation linking of conversations (operator 2, built-in functions only).
 
 A line of a message that starts with one or more ``>`` is quoted at that
-level.  Quoted lines are normalised (lower case, runs of anything but letters
-and digits to one blank) and hashed, and every quoted passage (line) is joined
-to the latest earlier message of its conversation that says it unquoted.  A
-message replies to the message to which most of its first-level passages
-lead, the later one if two have as many.  Messages without such a passage
-start a thread of their own.  The result holds every message without its
-quoted lines, and orders by ``(conv_id, thread, turn)``: a thread is the turn
-of its first message, and a reply always comes after what it replies to.
+level.  Mail clients wrap quoted text anew and users quote parts of it, so a
+message is taken apart twice: into its lines, and into the sentences of its
+runs, where a run is consecutive lines of one level joined by blanks (an empty
+line ends it).  Lines and sentences are normalised (lower case, runs of
+anything but letters and digits to one blank) and hashed; the distinct ones of
+a level are its *passages*.  A line that introduces a quotation ("On ...
+wrote:" before lines of a higher level) belongs to the quotation and is no
+passage.
+
+Every quoted passage is joined to the latest earlier message of its
+conversation that says it unquoted.  A message replies to the message to which
+most of its first-level passages lead, the later one if two have as many.
+Messages without such a passage start a thread of their own.  The result holds
+every message without its quoted and introducing lines, and orders by
+``(conv_id, thread, turn)``: a thread is the turn of its first message, and a
+reply always comes after what it replies to.
 
 The latest earlier message is an as-of lookup.  It runs in two levels: inside
 spans of ``SPAN`` turns, and over the latest mention of each span.  A passage
@@ -19,8 +27,10 @@ all.  Threads are found by pointer doubling over linked messages only.
 Defined cases: null texts are empty; messages without conv_id or turn are
 kept, start their own thread and are never linked; repeated rows are one
 message for linking and are all returned; passages without letters or digits
-are dropped with the quote but never linked; an empty table gives an empty
-table.
+are dropped with the quote but never linked; a passage quoted from the middle
+of a sentence is linked only by the whole lines it holds; an empty table gives
+an empty table.  Very long messages are read whole.  Only ``conv_id``,
+``turn``, ``role`` and ``text`` are read, so other columns play no part.
 """
 
 from __future__ import annotations
@@ -28,11 +38,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import saved
+from fareflow.llm.common import let, saved
 
 SPAN = 1024
 _MARKS = r"^((?:[ \t]{0,3}>)*)"
 MAX_ROUNDS = 64
+# Lines that introduce a quotation, in the languages of the corpus.
+INTRODUCTION = r"^\s*(?:On|Le|Am|El)\b.*\b(?:wrote|a \u00e9crit|schrieb|escribi\u00f3)\s*:\s*$"
+# Where a run is cut into sentences: behind closing marks.
+SENTENCE_END = r"(?<=[.!?\u2026])\s+|(?<=[\u3002\uff01\uff1f])"
+_GAP = "\u0001"
 
 
 def lines(text: Column) -> Column:
@@ -45,14 +60,42 @@ def lines(text: Column) -> Column:
     return F.transform(F.split(text, "\r?\n"), one)
 
 
+def marked(text: Column) -> Column:
+    """Lines as (level, said, intro): ``intro`` marks those that introduce a quotation."""
+    def of(found):
+        def one(x, i):
+            after, later = F.get(found, i + 1), F.get(found, i + 2)
+            quoted = (after["level"] > x["level"]) | ((F.trim(after["said"]) == "") & (later["level"] > x["level"]))
+            return F.struct(x["level"].alias("level"), x["said"].alias("said"),
+                            F.coalesce(quoted & x["said"].rlike(INTRODUCTION), F.lit(False)).alias("intro"))
+        return F.transform(found, one)
+    return let(lines(text), of)
+
+
+def passages(text: Column) -> Column:
+    """Lines and sentences of a message as (level, said), not yet normalised."""
+    def of(found):
+        said = F.transform(F.filter(found, lambda x: ~x["intro"]), lambda x: F.struct(x["level"].alias("level"), x["said"].alias("said")))
+
+        def runs(level):
+            here = F.transform(found, lambda x: F.when(
+                (x["level"] == level) & ~x["intro"] & (F.trim(x["said"]) != ""), x["said"]).otherwise(_GAP))
+            cut = F.split(F.array_join(here, " "), f" *{_GAP}[ {_GAP}]*")
+            return F.transform(F.flatten(F.transform(cut, lambda run: F.split(run, SENTENCE_END))),
+                               lambda sentence: F.struct(level.alias("level"), sentence.alias("said")))
+        levels = F.array_distinct(F.transform(found, lambda x: x["level"]))
+        return F.concat(said, F.flatten(F.transform(levels, runs)))
+    return let(marked(text), of)
+
+
 def normal(said: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(said), r"[^\p{L}\p{N}]+", " "))
 
 
 def _passages(messages: DataFrame) -> DataFrame:
-    """``(conv_id, turn, level, h1, h2)``: distinct normalised lines of every message."""
+    """``(conv_id, turn, level, h1, h2)``: normalised lines and sentences of every message."""
     said = messages.where("conv_id is not null and turn is not null").select(
-        "conv_id", "turn", F.explode(lines(F.col("text"))).alias("l")).select(
+        "conv_id", "turn", F.explode(passages(F.col("text"))).alias("l")).select(
         "conv_id", "turn", F.col("l.level").alias("level"), normal(F.col("l.said")).alias("said")).where("said <> ''")
     return said.select("conv_id", "turn", "level", F.xxhash64("said").alias("h1"),
                        F.xxhash64(F.reverse("said"), F.lit(1)).alias("h2"))
@@ -103,8 +146,8 @@ def threads(parents: DataFrame) -> DataFrame:
 
 
 def own_text(text: Column) -> Column:
-    """The message without its quoted lines."""
-    kept = F.transform(F.filter(lines(text), lambda x: x["level"] == 0), lambda x: x["said"])
+    """The message without its quoted lines and what introduces them."""
+    kept = F.transform(F.filter(marked(text), lambda x: (x["level"] == 0) & ~x["intro"]), lambda x: x["said"])
     return F.when(text.rlike(r"(?m)^[ \t]{0,3}>"), F.trim(F.array_join(kept, "\n"))).otherwise(text)
 
 
