@@ -27,7 +27,8 @@ and parsed as a stream.
 
 Defined cases: null html is an empty payload; null urls become ``urn:nil``;
 pages that repeat an id with the payload of that id's response are responses
-too; a page without an id is never the original of others, and its revisits
+too; a page of any length is one record, held in memory by one task; columns
+other than ``page_id``, ``url`` and ``html`` are not read; a page without an id is never the original of others, and its revisits
 refer to pages with ids only; an empty table gives empty archives.
 """
 
@@ -96,7 +97,13 @@ def arc_archive(version: int, name: str, records: list[tuple[str, str, bytes]])
 
 
 def parse_arc(data: bytes) -> Iterator[Record]:
-    """Records of an archive; the version block is the first of them."""
+    """Records of an archive; the version block is the first of them.
+
+    Legacy archives are usually stored with every record compressed as a
+    gzip member of its own; declared lengths then speak of the plain bytes.
+    """
+    if data[:2] == b"\x1f\x8b":
+        data = b"".join(unzipped(data))
     at, version = 0, 0
     while at < len(data):
         if data[at:at + 1] == b"\n":
@@ -141,7 +148,8 @@ def http_field(head: bytes, name: bytes) -> str | None:
 
 
 def warc_date(date: str) -> str:
-    d = date.ljust(14, "0")
+    """The 14-digit date; a shorter one means the first instant it names."""
+    d = date + "00010101000000"[len(date):]
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
@@ -174,12 +182,12 @@ def to_warc(record: Record) -> Record:
     return Record(fields, block, record.version, {"head": head, "digest": digest, "size": str(len(payload)), "page": page})
 
 
-def to_revisit(warc: Record, original: int) -> Record:
-    """The same record without its payload, referring to another page."""
+def to_revisit(warc: Record, original: int | str, original_id: str) -> Record:
+    """The same record without its payload, referring to another record and its page."""
     head = warc.extra["head"]
     fields = dict(warc.fields)
     fields |= {"WARC-Type": "revisit", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-               "WARC-Refers-To-Page": str(original), "WARC-Block-Digest": f"sha256:{hashlib.sha256(head).hexdigest()}"}
+               "WARC-Refers-To": original_id, "WARC-Refers-To-Page": str(original), "WARC-Block-Digest": f"sha256:{hashlib.sha256(head).hexdigest()}"}
     return Record(fields, head, warc.version, warc.extra)
 
 
@@ -288,11 +296,11 @@ def read_archives(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 
 def converted(archives: DataFrame, revisits: bool = True) -> DataFrame:
-    """``(page_id, digest, size, record, revisit)`` of every ARC record.
+    """``(page_id, digest, size, record_id, record, revisit)`` of every ARC record.
 
     ``record`` are the bytes of the full WARC record; ``revisit`` those of the
     revisit record that could stand for it, with ``@`` where the original's
-    page id goes, or null.
+    record id and page id go, or null.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,32 +310,35 @@ def converted(archives: DataFrame, revisits: bool = True) -> DataFrame:
                     w = to_warc(arc)
                     again = None
                     if w.fields["WARC-Type"] == "response":
-                        again = warc_bytes(to_revisit(w, "@"))
+                        again = warc_bytes(to_revisit(w, "@", "@"))
                     page = w.extra["page"]
-                    rows.append((int(page) if page else None, w.extra["digest"], int(w.extra["size"]), warc_bytes(w), again))
+                    rows.append((int(page) if page else None, w.extra["digest"], int(w.extra["size"]),
+                                 w.fields["WARC-Record-ID"], warc_bytes(w), again))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()))],
-                    names=["page_id", "digest", "size", "record", "revisit"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.binary()))],
+                    names=["page_id", "digest", "size", "record_id", "record", "revisit"])
 
-    return archives.mapInArrow(run, "page_id long, digest string, size long, record binary, revisit binary")
+    return archives.mapInArrow(run, "page_id long, digest string, size long, record_id string, record binary, revisit binary")
 
 
 def convert(archives: DataFrame, path: str) -> None:
     """Write the WARC archives that say what the ARC ``archives`` say."""
     rows = converted(archives)
-    keys = saved(rows.where("revisit is not null").select("page_id", "digest", "size"), "digests").where(
+    keys = saved(rows.where("revisit is not null").select("page_id", "digest", "size", "record_id"), "digests").where(
         F.col("size") >= REVISIT_BYTES)
-    first = keys.groupBy("digest").agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("n")).where(
-        "n > 1 and original is not null").select("digest", "original")
+    least = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "record_id")))
+    first = keys.groupBy("digest").agg(least.alias("least"), F.count(F.lit(1)).alias("n")).where(
+        "n > 1 and least is not null").select("digest", F.col("least.page_id").alias("original"), F.col("least.record_id").alias("original_id"))
     later = saved(keys.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("original"))).select(
-        F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "original").distinct(), "revisits")
+        F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "original", "original_id").distinct(), "revisits")
     if later.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         later = F.broadcast(later)
     marked = rows.join(later, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))
                        & F.col("revisit").isNotNull(), "left")
-    refers = F.concat(F.lit("\r\nWARC-Refers-To-Page: "), F.col("original").cast("string"), F.lit("\r\n"))
+    refers = F.concat(F.lit("\r\nWARC-Refers-To: "), F.col("original_id"),
+                      F.lit("\r\nWARC-Refers-To-Page: "), F.col("original").cast("string"), F.lit("\r\n"))
     text = F.when(F.col("original").isNull(), F.col("record").cast("string")).otherwise(
-        F.replace(F.col("revisit").cast("string"), F.lit("\r\nWARC-Refers-To-Page: @\r\n"), refers))
+        F.replace(F.col("revisit").cast("string"), F.lit("\r\nWARC-Refers-To: @\r\nWARC-Refers-To-Page: @\r\n"), refers))
     marked.select(text.alias("value")).write.option("lineSep", SEPARATOR).option("compression", "gzip").option(
         "maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
@@ -336,12 +347,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Page records of WARC archives.
 
     ``(page_id, target_uri, date, record_id, record_type, payload_bytes,
-    payload_digest, refers_to, payload)``; digest and length are those of the
+    payload_digest, refers_to, refers_to_record, payload)``; digest and length are those of the
     full payload, taken from the payload itself where the record has it, else
     from the headers.  A payload that does not fit its declared digest raises.
     """
     schema = ("page_id long, target_uri string, date string, record_id string, record_type string, "
-              "payload_bytes long, payload_digest string, refers_to long, payload binary")
+              "payload_bytes long, payload_digest string, refers_to long, refers_to_record string, payload binary")
     names = [x.split()[0] for x in schema.split(", ")]
 
     def row(r: Record) -> tuple:
@@ -356,10 +367,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             if hashlib.sha256(payload).hexdigest() != declared:
                 raise ValueError(f"payload of {f['WARC-Record-ID']} does not fit its digest")
         return (int(page) if page else None, f["WARC-Target-URI"], f["WARC-Date"], f["WARC-Record-ID"], f["WARC-Type"], size,
-                declared, int(f["WARC-Refers-To-Page"]) if "WARC-Refers-To-Page" in f else None, payload)
+                declared, int(f["WARC-Refers-To-Page"]) if "WARC-Refers-To-Page" in f else None,
+                f.get("WARC-Refers-To"), payload)
 
     def table(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,6 +75,11 @@ def test_pages_against_plain_rules(spark, tmp_path, monkeypatch):
         arc.convert(arc.page_archives(df), path)
         got = arc.read_warc(spark, path).collect()
         assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got], key=str) == expected(rows)
+        # A revisit names the record of its original.
+        ids = {(r.page_id, r.payload_digest): r.record_id for r in got if r.record_type == "response"}
+        for r in got:
+            assert (r.refers_to_record is None) == (r.record_type == "response")
+            assert r.record_type == "response" or r.refers_to_record == ids[r.refers_to, r.payload_digest]
         assert all(r.payload is None or bytes(r.payload) in {(h or "").encode() for _, _, h in rows} for r in got)
 
 
@@ -83,3 +88,24 @@ def test_no_pages(spark, tmp_path):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     arc.convert(arc.page_archives(df), f"file://{tmp_path}/none")
     assert arc.read_warc(spark, f"file://{tmp_path}/none").collect() == []
+
+
+@pytest.mark.parametrize("members", [True, False])
+def test_compressed_archives(spark, tmp_path, members):
+    prepare(spark)
+    records = [("http://a", "20050607080910", b"HTTP/1.1 200 OK\r\nX-Page-Id: 4\r\n\r\n" + b"z" * 200), ("http://b", "2005", b"plain")]
+    plain = arc.arc_archive(1, "x.arc", records)
+    cuts = [0, plain.index(b"http://a"), plain.index(b"http://b"), len(plain)]
+    parts = [plain[a:b] for a, b in zip(cuts, cuts[1:])] if members else [plain]
+    data = b"".join(gzip.compress(p) for p in parts)
+    assert [r.block for r in arc.parse_arc(data)][1:] == [b for _, _, b in records]
+    (tmp_path / "old.arc.gz").write_bytes(data)
+    arc.convert(arc.read_archives(spark, f"file://{tmp_path}", "*.arc.gz"), f"file://{tmp_path}/out")
+    got = {r.target_uri: r for r in arc.read_warc(spark, f"file://{tmp_path}/out").collect()}
+    assert got["http://a"].page_id == 4 and got["http://a"].payload_bytes == 200 and got["http://b"].date == "2005-01-01T00:00:00Z"
+
+
+def test_short_dates_name_their_first_instant():
+    assert arc.warc_date("2001") == "2001-01-01T00:00:00Z"
+    assert arc.warc_date("200112") == "2001-12-01T00:00:00Z"
+    assert arc.warc_date("20011231235958") == "2001-12-31T23:59:58Z"
