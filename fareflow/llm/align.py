@@ -40,6 +40,7 @@ from fareflow.llm import vocab
 from fareflow.llm.common import SLICE_BYTES, Shared, saved, slices, with_text, worker_state
 
 STRETCH = 2048
+CHUNKS = 500_000
 _SHIFT = 16  # both vocabularies have fewer ids than that many bits count
 
 
@@ -117,7 +118,7 @@ class _Aligner:
     def __init__(self, model_a: bytes, model_b: bytes, pairs: np.ndarray):
         self.a, self.b = vocab.ByteLevel(model_a), vocab.Pieces(model_b)
         self.words = Vocabularies(self.a.token_bytes(), self.b.token_bytes(), pairs)
-        self.known = vocab.Remembered()
+        self.known = vocab.Remembered(CHUNKS)
         self.digits = _digits(max(len(self.words.len_a), len(self.words.len_b)))
 
     def _learn(self, chunks: list[bytes]) -> dict:

@@ -18,8 +18,9 @@ import numpy as np
 
 from fareflow.llm.common import Shared, worker_state
 
-CHUNKS = 500_000
+CHUNKS = 1_000_000
 CHUNK_BYTES = 64
+_MARKS = b".,;:!?"
 
 # White space of the tokenizers' patterns (the Unicode property), as UTF-8.
 _WIDE = [chr(c).encode("utf-8") for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
@@ -100,7 +101,26 @@ class WordEncoder:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not met before; plain words are encoded as one text and told apart by length."""
+        """Ids of words not met before.
+
+        Marks behind letters are tokens of their own, so such a word is its
+        letters and its marks, both of which are likely to be known.
+        """
+        split, new = {}, set()
+        for w in words:
+            core = w.rstrip(_MARKS)
+            if len(core) < len(w) and core.decode("utf-8").isalpha():
+                split[w] = core, w[len(core):]
+                new.update(x for x in split[w] if x not in self.known)
+            else:
+                new.add(w)
+        out = self._encode_new(sorted(new))
+        for w, halves in split.items():
+            out[w] = b"".join(out[x] if x in out else self.known[x] for x in halves)
+        return out
+
+    def _encode_new(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids by the library; plain words are encoded as one text and told apart by length."""
         texts = [w.decode("utf-8") for w in words]
         plain, other = [], []
         for w, t in zip(words, texts):
