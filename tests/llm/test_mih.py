@@ -18,8 +18,9 @@ def plain(rows, queries, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("segments,k,n", [(4, 10, 250), (8, 3, 120), (4, 5, 4), (4, 10, 1)])
-def test_exact_against_all_pairs(spark, segments, k, n):
+@pytest.mark.parametrize("segments,k,n,probes", [(4, 10, 250, 1), (8, 3, 120, 1), (4, 5, 4, 1), (None, 10, 1, 1), (2, 10, 250, 600),
+                                                 (3, 10, 250, 300), (2, 3, 150, 32), (None, 10, 250, 1)])
+def test_exact_against_all_pairs(spark, segments, k, n, probes):
     prepare(spark)
     rnd = random.Random(n)
     centres = [rnd.getrandbits(64) for _ in range(5)]
@@ -32,7 +33,7 @@ def test_exact_against_all_pairs(spark, segments, k, n):
     rows += [(1000 + i, centres[0]) for i in range(n // 5)] + rows[:2]
     df = spark.createDataFrame([(i, signed(c)) for i, c in rows], "id long, code long")
     queries = [r for r in rows if r[0] % 10 == 0]
-    got = mih.search(df, df.where("id % 10 = 0"), k, segments).collect()
+    got = mih.search(df, df.where("id % 10 = 0"), k, segments, probes).collect()
     assert sorted((r.query_id, r["rank"], r.id, r.distance) for r in got) == plain(rows, queries, k)
 
 
@@ -46,3 +47,16 @@ def test_empty(spark):
     prepare(spark)
     df = spark.createDataFrame([], "id long, code long")
     assert mih.search(df, df).collect() == []
+
+
+def test_pieces_follow_the_number_of_codes():
+    assert [mih.segments_for(n) for n in (0, 1, 1000, 2**18, 2**21, 2**26, 10**10, 10**14)] == [4, 4, 4, 4, 3, 2, 2, 2]
+    for m in range(2, 9):
+        cuts = mih._cuts(m)
+        assert sum(w for _, w in cuts) == 64 and [a for a, _ in cuts[1:]] == [a + w for a, w in cuts[:-1]]
+
+
+def test_clashing_columns_and_coordinates_without_a_sign(spark):
+    df = spark.createDataFrame([(1, [float("nan"), 1.0, None], 7, "x"), (2, [-1.0, 2.0, 0.0], 8, "y")],
+                               "vec_id long, embedding array<double>, code long, id string")
+    assert {r.id: r.code for r in mih.codes(df).collect()} == {1: 2, 2: 2}
