@@ -70,7 +70,10 @@ def month_schemas(spark: SparkSession, base: str, months: Iterable[Month]) -> di
 
 
 def _kept(text: str | None, files: list) -> dict[str, str] | None:
-    entry = json.loads(text) if text else {}
+    try:
+        entry = json.loads(text) if text else {}
+    except ValueError:  # another session is just writing it
+        return None
     if entry.get("files") != [list(f) for f in files]:
         return None
     return {f[0]: entry["schemas"][i] for f, i in zip(files, entry["of"])}
