@@ -93,6 +93,32 @@ def op9(spark, sf):
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE["op9_column_bwt_dedup"] = """
+WITH b AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), w AS (
+  SELECT doc_id, i, md5(substr(x, 2 * i + 1, 800)) AS h
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 399)) AS i FROM b WHERE length(x) >= 800)
+), r AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1
+), f AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS fresh FROM r
+), s AS (
+  SELECT doc_id, min(i) AS a, max(i) + 400 AS z
+  FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM f) GROUP BY doc_id, run
+), c AS (
+  SELECT s.doc_id, a, z, substr(x, 2 * coalesce(lag(z) OVER d, 0) + 1, 2 * (a - coalesce(lag(z) OVER d, 0))) AS before,
+    CASE WHEN lead(a) OVER d IS NULL THEN substr(x, 2 * z + 1) ELSE '' END AS rest
+  FROM s JOIN b ON s.doc_id = b.doc_id WINDOW d AS (PARTITION BY s.doc_id ORDER BY a)
+), k AS (
+  SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, string_agg(before || rest, '' ORDER BY a) AS kept FROM c GROUP BY doc_id
+)
+SELECT b.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM b LEFT JOIN k ON b.doc_id = k.doc_id
+"""
+
+
 @register("op6_arc_to_warc")
 def op6(spark, sf):
     """Pages as legacy archives, converted to WARC, written and read back."""
