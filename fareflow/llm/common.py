@@ -56,7 +56,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/llm/{uuid.uuid4().hex}/{name}"
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    table.saved_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``saved`` that no later plan reads."""
+    for table in tables:
+        remove(table.sparkSession, table.saved_path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -37,7 +37,7 @@ from math import comb, log2
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import saved
+from fareflow.llm.common import discard, saved
 
 BITS = 64
 SEGMENTS = 4
@@ -141,6 +141,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, segments: int | None
     pieces = 0
     for m, radius in rounds:
         if m != pieces:
+            if pieces:
+                discard(index)
             pieces = m
             index = saved(entries.select("code", F.element_at("ids", 1).alias("least"), F.size("ids").alias("rows"),
                                          F.explode(_pieces("code", m)).alias("key")), f"index{m}")
@@ -160,10 +162,13 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, segments: int | None
         best = state.where("not done").drop("done")
         # Once k + 1 codes are known, nothing beyond the last of them matters.
         last = best.groupBy("q").agg(F.when(F.count(F.lit(1)) > k, F.max("distance")).alias("last"))
+        asked = still
         still = saved(still.join(finished[-1].select("q").distinct(), "q", "left_anti").join(last, "q", "left").select(
             "q", F.coalesce("last", "bound").alias("bound")), f"open{m}-{radius}")
+        discard(asked)
         if not still.limit(1).count():
             break
+    discard(index, still)
     nearest = finished[0]
     for more in finished[1:]:
         nearest = nearest.union(more)

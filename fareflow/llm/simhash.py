@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import saved, with_text, worker_state
+from fareflow.llm.common import discard, saved, with_text, worker_state
 from fareflow.llm.graph import components
 
 SHINGLE = 4
@@ -115,11 +115,12 @@ def _whole_ball(fps: DataFrame) -> DataFrame:
         F.col("fp").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b")).alias("key"), "fp")
 
 
-def links(fps: DataFrame, radius: int = RADIUS, pair_limit: int = PAIR_LIMIT) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, pair_limit: int = PAIR_LIMIT, made: list[DataFrame] | None = None) -> DataFrame:
     """``(u, v)``: links that connect all distinct ``fp`` within ``radius`` bits.
 
     Every pair within the radius is connected, directly or by way of links
-    that are themselves within the radius; no other fingerprints are.
+    that are themselves within the radius; no other fingerprints are.  The
+    tables that the links are read from are added to ``made``.
     """
     if radius != 4:
         raise ValueError("the balls are laid out for a radius of 4 bits")
@@ -132,6 +133,8 @@ def links(fps: DataFrame, radius: int = RADIUS, pair_limit: int = PAIR_LIMIT) ->
     # The planner does not count what explode multiplies and might broadcast a
     # ball for the few fingerprints it comes from; hence the merge hints.
     met = saved(ball.join(sizes.hint("merge"), "key"), "met")
+    if made is not None:
+        made += [sizes, met]
     lists = met.where(F.col("n") <= pair_limit).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("fp", "flip"))).alias("m"))
     near = lists.select(F.posexplode("m").alias("i", "u"), "m").select("u.fp", F.explode(F.filter(
@@ -149,7 +152,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """``(doc_id, fp, component_id)`` for every document."""
     marks = saved(fingerprints(docs, shingle), "fingerprints")
     fps = marks.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(fps.select("fp"), radius, pair_limit))
+    made: list[DataFrame] = []
+    roots = components(links(fps.select("fp"), radius, pair_limit, made))
+    discard(*made)  # the links are tables of the component search by now
     # Tables, so that the join on a root that many fingerprints share reads two
     # plain exchanges, which adaptive execution may split.
     grouped = saved(fps.join(roots, fps.fp == roots.node, "left").select(
