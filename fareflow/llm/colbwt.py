@@ -24,7 +24,9 @@ included, are removed, all copies alike.  Windows are judged on the input.
 Defined cases: null texts are empty; texts shorter than a window lose
 nothing; rows that repeat a doc_id are one document; rows without an id are
 returned but neither compared nor cut; an empty table gives an empty table.
-What is left may cut a character in two, so it is returned as binary.
+What is left may cut a character in two, so it is returned as binary.  Very
+long texts are read whole, one at a time in a worker.  Only ``doc_id`` and
+``text`` are read, so other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations

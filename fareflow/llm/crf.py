@@ -10,8 +10,9 @@ Labels mark documents, so the tokens are labelled from them: features found
 almost only in toxic training documents mark the toxic tokens there, and all
 other tokens are clean.  Learning uses the labelled rows the caller passes,
 at most ``TRAIN_DOCS`` of them (those with the least hash of their id) and at
-most ``FEATURES`` features and ``SNIPPETS`` token windows; these bounds are
-parameters of the model alone.  Scoring always covers whole texts.
+most ``FEATURES`` features and ``SNIPPETS`` token windows, of a text at most
+``PLACES`` windows around featured tokens, spread from its first to its last
+one; these bounds are parameters of the model alone.  Scoring always covers whole texts.
 
 Most tokens carry no feature and share one emission, so a stretch of L of
 them is one power of a 2x2 matrix.  Forward and backward passes step from
@@ -22,8 +23,9 @@ only.
 Defined cases: null and empty texts have no tokens and get the score of a
 document without evidence; repeated rows get equal scores; labels for unknown
 ids and repeated labels are ignored (one label per id, toxic if any row says
-so); with no labelled document of either kind every score is the share of
-toxic labels, or 0 without labels; an empty table gives an empty table.
+so; equal texts are one example, toxic if any copy is); with no labelled document of either kind every score is the share of
+toxic labels, or 0 without labels; an empty table gives an empty table.  Other
+columns pass through; columns named like the score or the spans are replaced.
 """
 
 from __future__ import annotations

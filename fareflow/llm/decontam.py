@@ -35,7 +35,9 @@ them in a row; a text without blanks is one token per run of letters, so an
 item in such a script is found between punctuation marks; equal items are each reported; rows that
 repeat a doc_id are one document whose windows are pooled, and each row gets
 the same answer; rows with a null id are kept and are never matched; an empty
-table on either side gives no matches.
+table on either side gives no matches.  Only ``doc_id`` and ``text`` of the
+documents and ``item_id`` and ``text`` of the benchmark are read, so other
+columns, whatever their names, play no part.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ Defined cases: a null text has no words; texts shorter than a window lose
 nothing; rows that repeat a doc_id are the same document and give equal
 results; rows without an id are returned but neither compared nor cut; an
 empty table gives an empty table.  A single text may be as long as a row can
-be: a worker holds one such text at a time.
+be: a worker holds one such text at a time.  Only ``doc_id`` and ``text`` are
+read, so other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations

@@ -24,7 +24,9 @@ Everything per document happens in its own row: nothing but those counts is
 shuffled, and a source or copy group of any size is split like any input.
 
 Defined cases: a null text is an empty one and has no spans; repeated rows
-are scanned each on its own; an empty table gives an empty table.
+are scanned each on its own; an empty table gives an empty table.  Very long
+texts are scanned whole.  Other columns pass through; helper columns take
+names that the table does not have.
 """
 
 from __future__ import annotations

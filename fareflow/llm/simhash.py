@@ -19,7 +19,9 @@ Everything works on distinct fingerprints: a million exact copies are one
 row.  Defined cases: texts without words (null or empty too) have fingerprint
 zero and are linked like any other; repeated rows share a component; rows
 with a null id get the component of their fingerprint; an empty table gives
-an empty table.
+an empty table.  Very long texts are read whole, their shingles hashed in
+chunks.  Only ``doc_id`` and ``text`` are read, so other columns, whatever
+their names, play no part.
 """
 
 from __future__ import annotations
