@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fareflow.operators import (
     checks, dims, marts, months as bm, profile as pf,
-    queries as aq, silver as sv,
+    queries as aq, silver as sv, unique,
 )
 from fareflow.functions import expressions as ex
 from fareflow.plans import layers as L
@@ -408,6 +408,13 @@ def qt_core(spark, sf):
     return checks.run_assertions(spark, _gold_tables(spark, sf), checks.CORE_ASSERTIONS)
 
 
+@register("qt2_duplicated_trip_ids")
+def qt2(spark, sf):
+    """QT2: the trip ids that more than one trip of the built fact has, and how many."""
+    found, _ = unique.duplicates(_gold_tables(spark, sf)["fact_trip"], "trip_id")
+    return found.select(F.col("value").alias("trip_id"), F.col("n").alias("trips"))
+
+
 @register("qt_mart_assertions")
 def qt_marts(spark, sf):
     return checks.run_assertions(spark, _gold_tables(spark, sf), checks.MART_ASSERTIONS)

@@ -520,6 +520,8 @@ SELECT 'zone_row_count' AS "check", count(*) AS row_count FROM zone_lookup""")
 QUERIES["gd1_dim_date"] = with_gold("SELECT * FROM dim_date")
 QUERIES["gd6_dim_zone"] = with_gold("SELECT * FROM dim_zone")
 QUERIES["gf4_fact_trip"] = with_gold("SELECT * FROM fact_trip")
+QUERIES["qt2_duplicated_trip_ids"] = with_gold(
+    "SELECT trip_id, count(*) AS trips FROM fact_trip GROUP BY trip_id HAVING count(*) > 1")
 
 AVG7 = ["total_amount", "fare_amount", "tip_amount", "tip_rate", "trip_distance",
         "trip_duration_minutes", "fare_per_mile"]
