@@ -21,9 +21,12 @@ shuffle, so one payload may make up any share of the pages; payloads never
 travel.  The list of revisits is broadcast while its count is at most
 ``BROADCAST_ROWS`` and joined by a shuffle above that.
 
-Archives are written by Spark's text writer with the WARC record separator
-between records, and read back in parallel, one file per task, decompressed
-and parsed as a stream.
+Every record is a gzip member of its own, so a reader can enter an archive at
+any record.  Members are gathered to archives of about ``FILE_BYTES`` compressed
+bytes (whatever the number of records; one record may be longer), each of
+which Spark's text writer puts into a file of its own, closed by an empty
+member.  Archives are read back in parallel, decompressed and parsed as a
+stream.
 
 Defined cases: null html is an empty payload; null urls become ``urn:nil``;
 pages that repeat an id with the payload of that id's response are responses
@@ -50,10 +53,10 @@ from fareflow.llm.common import saved
 from fareflow.session import checkpoint_dir
 
 REVISIT_BYTES = 100
-RECORDS_PER_FILE = 20_000
+FILE_BYTES = 32 << 20
 BROADCAST_ROWS = 200_000
 ARC_BYTES = 4 << 20
-SEPARATOR = "\r\n\r\n"
+SEPARATOR = b"\r\n\r\n"
 
 # Header fields of the two ARC versions and the length fields' names.
 ARC_FIELDS = {
@@ -234,6 +237,12 @@ def parse_warc(chunks: Iterator[bytes]) -> Iterator[Record]:
         held = held[end + 8 + size:]
 
 
+def member(data: bytes) -> bytes:
+    """A gzip member; the same data always give the same bytes."""
+    z = zlib.compressobj(wbits=31)
+    return z.compress(data) + z.flush()
+
+
 def unzipped(data: bytes, piece: int = 1 << 20) -> Iterator[bytes]:
     """Contents of a gzip file of one or more members, piece by piece."""
     rest = data
@@ -295,8 +304,26 @@ def read_archives(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("content")
 
 
-def converted(archives: DataFrame, revisits: bool = True) -> DataFrame:
-    """``(page_id, digest, size, record_id, record, revisit)`` of every ARC record.
+def payloads(archives: DataFrame) -> DataFrame:
+    """``(page_id, digest, size, record_id)`` of the payload of every HTTP exchange."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("content").to_pylist():
+                rows = []
+                for w in map(to_warc, parse_arc(data)):
+                    if w.fields["WARC-Type"] == "response":
+                        page = w.extra["page"]
+                        rows.append((int(page) if page else None, w.extra["digest"], int(w.extra["size"]), w.fields["WARC-Record-ID"]))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.string()))],
+                        names=["page_id", "digest", "size", "record_id"])
+
+    return archives.mapInArrow(run, "page_id long, digest string, size long, record_id string")
+
+
+def converted(archives: DataFrame) -> DataFrame:
+    """``(page_id, digest, record, revisit)`` of every ARC record.
 
     ``record`` are the bytes of the full WARC record; ``revisit`` those of the
     revisit record that could stand for it, with ``@`` where the original's
@@ -312,20 +339,39 @@ def converted(archives: DataFrame, revisits: bool = True) -> DataFrame:
                     if w.fields["WARC-Type"] == "response":
                         again = warc_bytes(to_revisit(w, "@", "@"))
                     page = w.extra["page"]
-                    rows.append((int(page) if page else None, w.extra["digest"], int(w.extra["size"]),
-                                 w.fields["WARC-Record-ID"], warc_bytes(w), again))
+                    rows.append((int(page) if page else None, w.extra["digest"], warc_bytes(w), again))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.binary()))],
-                    names=["page_id", "digest", "size", "record_id", "record", "revisit"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.binary(), pa.binary()))],
+                    names=["page_id", "digest", "record", "revisit"])
+
+    return archives.mapInArrow(run, "page_id long, digest string, record binary, revisit binary")
+
+
+def gathered(records: DataFrame, size: int) -> DataFrame:
+    """``(archive)``: the ``record`` rows as gzip members, joined to about ``size`` bytes a row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
+
+        def archive() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["archive"])
+
+        for batch in batches:
+            for record in batch.column("record"):
+                held.append(member(record.as_py() + SEPARATOR))
+                total += len(held[-1])
+                if total >= size:
+                    yield archive()
+                    held, total = [], 0
+        if held:
+            yield archive()
 
-    return archives.mapInArrow(run, "page_id long, digest string, size long, record_id string, record binary, revisit binary")
+    return records.mapInArrow(run, "archive binary")
 
 
 def convert(archives: DataFrame, path: str) -> None:
     """Write the WARC archives that say what the ARC ``archives`` say."""
     rows = converted(archives)
-    keys = saved(rows.where("revisit is not null").select("page_id", "digest", "size", "record_id"), "digests").where(
-        F.col("size") >= REVISIT_BYTES)
+    keys = saved(payloads(archives), "digests").where(F.col("size") >= REVISIT_BYTES)
     least = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "record_id")))
     first = keys.groupBy("digest").agg(least.alias("least"), F.count(F.lit(1)).alias("n")).where(
         "n > 1 and least is not null").select("digest", F.col("least.page_id").alias("original"), F.col("least.record_id").alias("original_id"))
@@ -337,10 +383,11 @@ def convert(archives: DataFrame, path: str) -> None:
                        & F.col("revisit").isNotNull(), "left")
     refers = F.concat(F.lit("\r\nWARC-Refers-To: "), F.col("original_id"),
                       F.lit("\r\nWARC-Refers-To-Page: "), F.col("original").cast("string"), F.lit("\r\n"))
-    text = F.when(F.col("original").isNull(), F.col("record").cast("string")).otherwise(
-        F.replace(F.col("revisit").cast("string"), F.lit("\r\nWARC-Refers-To: @\r\nWARC-Refers-To-Page: @\r\n"), refers))
-    marked.select(text.alias("value")).write.option("lineSep", SEPARATOR).option("compression", "gzip").option(
-        "maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    record = F.when(F.col("original").isNull(), F.col("record")).otherwise(
+        F.replace(F.col("revisit").cast("string"), F.lit("\r\nWARC-Refers-To: @\r\nWARC-Refers-To-Page: @\r\n"), refers).cast("binary"))
+    # The text writer puts down the bytes it is given; its "line end" is the closing member.
+    gathered(marked.select(record.alias("record")), FILE_BYTES).select(F.col("archive").cast("string").alias("value")).write.option(
+        "lineSep", member(b"").decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -389,7 +436,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield table(rows)
 
-    return read_archives(spark, path, "*.gz").mapInArrow(run, schema)
+    return read_archives(spark, path, "part-*").mapInArrow(run, schema)
 
 
 def archive_folder(spark: SparkSession) -> str:

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import random
+import zlib
 
 import pytest
 
@@ -109,3 +110,56 @@ def test_short_dates_name_their_first_instant():
     assert arc.warc_date("2001") == "2001-01-01T00:00:00Z"
     assert arc.warc_date("200112") == "2001-12-01T00:00:00Z"
     assert arc.warc_date("20011231235958") == "2001-12-31T23:59:58Z"
+
+
+def archives(path):
+    return [f.read_bytes() for f in sorted(path.glob("part-*"))]
+
+
+def members(data):
+    """Contents of the gzip members of an archive, one by one."""
+    out = []
+    while data:
+        z = zlib.decompressobj(31)
+        out.append(z.decompress(data))
+        assert z.eof
+        data = z.unused_data
+    return out
+
+
+def test_every_record_is_a_member_and_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    prepare(spark)
+    rnd = random.Random(2)
+    texts = [bytes(rnd.randrange(256) for _ in range(2_000)).hex() for _ in range(60)]
+    texts[7] = bytes(rnd.randrange(256) for _ in range(100_000)).hex()
+    rows = [(i, f"http://h/{i}", texts[i % 50]) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    monkeypatch.setattr(arc, "FILE_BYTES", 20_000)
+    arc.convert(arc.page_archives(df), f"file://{tmp_path}/w")
+    found = archives(tmp_path / "w")
+    assert len(found) > 5
+    longest = max(len(arc.member(t.encode())) for t in texts)
+    assert max(map(len, found)) < 20_000 + longest + 1_000
+    kinds = []
+    for data in found:
+        *records, end = members(data)
+        assert end == b"" and records
+        for record in records:
+            [one] = arc.parse_warc(iter([record]))
+            assert record == arc.warc_bytes(one) + b"\r\n\r\n"
+            kinds.append(one.fields["WARC-Type"])
+        assert gzip.decompress(data) == b"".join(records)
+    assert {k: kinds.count(k) for k in set(kinds)} == {"warcinfo": 2, "response": 50, "revisit": 10}
+    got = arc.read_warc(spark, f"file://{tmp_path}/w").collect()
+    assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got], key=str) == expected(rows)
+
+
+def test_blocks_that_are_not_text_come_back_byte_by_byte(spark, tmp_path):
+    prepare(spark)
+    rnd = random.Random(3)
+    bodies = [bytes(rnd.randrange(256) for _ in range(n)) for n in (0, 1, 300, 5_000)] + [b"\xff\xfe\x00\x1f\x8b" * 50]
+    records = [(f"http://h/{i}", "20050607080910", b"HTTP/1.1 200 OK\r\n\r\n" + b) for i, b in enumerate(bodies)]
+    (tmp_path / "old.arc").write_bytes(arc.arc_archive(2, "old.arc", records))
+    arc.convert(arc.read_archives(spark, f"file://{tmp_path}", "*.arc"), f"file://{tmp_path}/out")
+    got = {r.target_uri: bytes(r.payload) for r in arc.read_warc(spark, f"file://{tmp_path}/out").collect()}
+    assert got == {f"http://h/{i}": b for i, b in enumerate(bodies)}
