@@ -243,22 +243,23 @@ def member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def unzipped(data: bytes, piece: int = 1 << 20) -> Iterator[bytes]:
-    """Contents of a gzip file of one or more members, piece by piece."""
-    rest = data
-    while rest:
+def unzipped(data: bytes, piece: int = 1 << 14) -> Iterator[bytes]:
+    """Contents of a gzip file of one or more members, piece by piece.
+
+    Pieces are short because what follows a member in its last piece is
+    handed back and read again.
+    """
+    view, at = memoryview(data), 0
+    while at < len(view):
         z = zlib.decompressobj(31)
-        for i in range(0, len(rest), piece):
-            got = z.decompress(rest[i:i + piece])
+        while not z.eof:
+            if at >= len(view):
+                raise ValueError("the compressed archive is cut short")
+            fed = view[at:at + piece]
+            got = z.decompress(fed)
+            at += len(fed) - len(z.unused_data)
             if got:
                 yield got
-            if z.eof:
-                rest = z.unused_data + rest[i + piece:]
-                break
-        else:
-            if not z.eof:
-                raise ValueError("the compressed archive is cut short")
-            return
 
 
 # ---- Spark ----------------------------------------------------------------
