@@ -97,3 +97,27 @@ def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(path, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}}
+
+
+@pytest.mark.parametrize("center", ["least", "greatest", "middle"])
+def test_components_of_hubs_and_chains(spark, center):
+    """A hub with many neighbours, a chain, and a hub at the end of a chain, against a plain search."""
+    prepare(spark)
+    hub = {"least": 0, "greatest": 10_000, "middle": 500}[center]
+    edges = [(hub, x) for x in range(1, 1_000) if x != hub] + [(20_000 + i, 20_001 + i) for i in range(60)]
+    edges += [(30_000, 20_030)] + [(30_000, 30_001 + i) for i in range(50)] + [(7, 7), (40_000, 40_001), (40_001, 40_000), (None, 5)]
+    parent = {}
+
+    def top(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        if None not in (u, v) and u != v:
+            a, b = sorted((top(u), top(v)))
+            parent[b] = a
+    df = spark.createDataFrame(edges, "u long, v long")
+    got = {r.node: r.root for r in graph.components(df).collect()}
+    assert got == {x: top(x) for x in list(parent)}
