@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow.sources import fixture, landing
+from fareflow.sources.sinks import write_month_partitions
 
 from conftest import SF_SMALL
 
@@ -18,7 +19,9 @@ def rows(spark):
         "id", (1990 + F.col("id") % 20).cast("string").alias("year"), F.lpad((1 + F.col("id") % 12).cast("string"), 2, "0").alias("month"))
 
 
-@pytest.mark.parametrize("write", [lambda rows, base: landing.land_bronze(rows.sparkSession, SF_SMALL, base)])
+@pytest.mark.parametrize("write", [
+    write_month_partitions,
+    lambda rows, base: landing.land_bronze(rows.sparkSession, SF_SMALL, base)])
 def test_a_write_by_month_sorts_nothing(spark, rows, scratch, write):
     spark.conf.unset(SETTING)
     write(rows, f"{scratch}/out")
