@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow.sources import fixture, landing
-from fareflow.sources.sinks import write_month_partitions
+from fareflow.sources.sinks import write_month_partitions, write_split_months
 
 from conftest import SF_SMALL
 
@@ -19,8 +19,14 @@ def rows(spark):
         "id", (1990 + F.col("id") % 20).cast("string").alias("year"), F.lpad((1 + F.col("id") % 12).cast("string"), 2, "0").alias("month"))
 
 
+def split_write(rows, base):
+    outcome = F.when(F.col("id") % 9 == 0, "rejected").otherwise("accepted").alias("outcome")
+    months = [(int(r.year), int(r.month)) for r in rows.select("year", "month").distinct().collect()]
+    return write_split_months(rows.select("id", outcome, "year", "month"), {"accepted": base, "rejected": f"{base}_no"}, months)
+
+
 @pytest.mark.parametrize("write", [
-    write_month_partitions,
+    write_month_partitions, split_write,
     lambda rows, base: landing.land_bronze(rows.sparkSession, SF_SMALL, base)])
 def test_a_write_by_month_sorts_nothing(spark, rows, scratch, write):
     spark.conf.unset(SETTING)
@@ -34,6 +40,14 @@ def test_a_write_by_month_sorts_nothing(spark, rows, scratch, write):
     assert "InsertIntoHadoopFsRelation" in plan and "Sort [" not in plan
 
 
+def test_more_months_than_open_files(spark, rows, scratch):
+    """60 months and two outcomes in one task: 120 files where 64 may be open at a time."""
+    counts = split_write(rows.coalesce(1), f"{scratch}/s")
+    assert sum(counts.values()) == 5_000 and len(counts) > 64
+    back = spark.read.parquet(f"{scratch}/s").unionByName(spark.read.parquet(f"{scratch}/s_no"))
+    assert back.select("id", "year", "month").exceptAll(rows).count() == 0 and back.count() == 5_000
+
+
 def test_landing_shuffles_what_a_trip_is_derived_from(spark):
     """The trips' own columns are derived after the exchange."""
     for part in landing.landing_parts(spark, SF_SMALL):
