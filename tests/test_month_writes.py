@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow.sources import fixture, landing
-from fareflow.sources.sinks import write_month_partitions, write_split_months
+from fareflow.sources.sinks import write_month_partitions, write_partitioned_table, write_split_months
 
 from conftest import SF_SMALL
 
@@ -26,7 +26,7 @@ def split_write(rows, base):
 
 
 @pytest.mark.parametrize("write", [
-    write_month_partitions, split_write,
+    write_month_partitions, write_partitioned_table, split_write,
     lambda rows, base: landing.land_bronze(rows.sparkSession, SF_SMALL, base)])
 def test_a_write_by_month_sorts_nothing(spark, rows, scratch, write):
     spark.conf.unset(SETTING)
